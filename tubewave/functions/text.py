@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Wording written to and read from reports.
@@ -279,16 +279,22 @@ def nice_number(value: Column, rounded: bool = False) -> Column:
 TICK_FACTORS = [1.0, 0.5, 0.25, 0.2, 0.1, 0.05, 0.025, 0.01]
 
 
-def nice_axis(start: Column, end: Column, min_ticks: int = 10) -> Column:
-    """Axis start, end and tick width so that at least ``min_ticks`` ticks fit."""
-    width = F.abs(end - start)
-    base = nice_number(nice_number(width) / (min_ticks - 1), rounded=True)
-    tick = F.lit(None).cast("double")
-    for factor in reversed(TICK_FACTORS):
-        tick = F.when(F.floor(width / (base * factor)) + 1 >= min_ticks, base * factor).otherwise(tick)
-    ticked = F.struct(
-        (F.floor(start / tick) * tick).alias("first"), (F.ceil(end / tick) * tick).alias("last"), tick.alias("tick")
+def with_nice_axis(df: DataFrame, start: str, end: str, min_ticks: int = 10) -> DataFrame:
+    """Adds axis ``first``, ``last`` and ``tick`` width so that at least ``min_ticks`` ticks fit.
+
+    Each step is a column of its own, so that no step's expression is repeated inside the next.
+    """
+    a, b = F.col(start), F.col(end)
+    rows = df.withColumn("_width", F.abs(b - a))
+    rows = rows.withColumn("_part", nice_number(F.col("_width")) / (min_ticks - 1))
+    rows = rows.withColumn("_base", nice_number(F.col("_part"), rounded=True))
+    ticks = F.transform(F.array(*[F.lit(f) for f in TICK_FACTORS]), lambda f: f * F.col("_base"))
+    fine = F.filter(ticks, lambda t: F.floor(F.col("_width") / t) + 1 >= min_ticks)
+    rows = rows.withColumn("_tick", F.get(fine, F.lit(0)))
+    flat, forced = F.col("_width") == 0, F.col("_tick").isNull()
+    return (
+        rows.withColumn("first", F.when(flat | forced, a).otherwise(F.floor(a / F.col("_tick")) * F.col("_tick")))
+        .withColumn("last", F.when(flat | forced, b).otherwise(F.ceil(b / F.col("_tick")) * F.col("_tick")))
+        .withColumn("tick", F.when(flat, 0.0).when(forced, F.col("_width") / (min_ticks - 1)).otherwise(F.col("_tick")))
+        .drop("_width", "_part", "_base", "_tick")
     )
-    flat = F.struct(start.alias("first"), end.alias("last"), F.lit(0.0).alias("tick"))
-    forced = F.struct(start.alias("first"), end.alias("last"), (width / (min_ticks - 1)).alias("tick"))
-    return F.when(width == 0, flat).when(tick.isNull(), forced).otherwise(ticked)

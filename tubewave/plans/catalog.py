@@ -8,6 +8,8 @@ from .registry import ORACLES, QUERIES, Query
 
 MODULES = [
     "queries_matching",
+    "queries_functions",
+    "queries_ordered",
 ]
 
 
