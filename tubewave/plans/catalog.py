@@ -9,6 +9,7 @@ from .registry import ORACLES, QUERIES, Query
 MODULES = [
     "queries_matching",
     "queries_functions",
+    "queries_projection",
     "queries_ordered",
 ]
 

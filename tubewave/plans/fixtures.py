@@ -199,3 +199,60 @@ CTES["boxes"] = "SELECT " + ", ".join(BOX_COLUMNS).format(d="::DOUBLE") + " FROM
 
 def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _project(spark, sf_dir, "lineitem", [c.format(d="D") for c in BOX_COLUMNS])
+
+
+# --- flaws on the A-scan grid --------------------------------------------------------------------------
+
+CTES["grid_flaws"] = (
+    "SELECT scan_id, probe, concat(frame // 4, '-', label) AS flaw_id, min(frame) AS frame_start, max(frame) AS frame_end, "
+    "min(rotary_idx) AS rotary_start, least(min(rotary_idx) + 5, 63) AS rotary_end FROM (SELECT vec_id // 512 AS scan_id, "
+    "CASE WHEN (vec_id // 64) % 2 = 0 THEN 'NB1' ELSE 'NB2' END AS probe, (vec_id // 64) % 8 AS frame, vec_id % 64 AS rotary_idx, "
+    "label FROM embeddings) GROUP BY scan_id, probe, frame // 4, label"
+)
+
+
+def grid_flaws(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _project(
+        spark,
+        sf_dir,
+        "embeddings",
+        [
+            "vec_id DIV 512 AS scan_id",
+            "CASE WHEN (vec_id DIV 64) % 2 = 0 THEN 'NB1' ELSE 'NB2' END AS probe",
+            "(vec_id DIV 64) % 8 AS frame",
+            "vec_id % 64 AS rotary_idx",
+            "label",
+        ],
+    )
+    return (
+        rows.groupBy("scan_id", "probe", F.expr("frame DIV 4").alias("part"), "label")
+        .agg(
+            F.min("frame").alias("frame_start"),
+            F.max("frame").alias("frame_end"),
+            F.min("rotary_idx").alias("rotary_start"),
+            F.least(F.min("rotary_idx") + 5, F.lit(63)).alias("rotary_end"),
+        )
+        .withColumn("flaw_id", F.concat_ws("-", F.col("part").cast("string"), F.col("label").cast("string")))
+        .drop("part", "label")
+    )
+
+
+# --- axis of a scan: index to axial position in mm and rotary angle --------------------------------------
+
+CTES["axis"] = (
+    "SELECT p_partkey AS idx, round(2500 + p_partkey * 0.3 + p_size / 1000, 3) AS axial_mm, "
+    "round((0.1 * (p_partkey + 50)) % 360, 1) AS rotary_deg FROM part"
+)
+
+
+def axis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _project(
+        spark,
+        sf_dir,
+        "part",
+        [
+            "p_partkey AS idx",
+            "round(2500 + p_partkey * 0.3D + p_size / 1000, 3) AS axial_mm",
+            "round((0.1D * (p_partkey + 50)) % 360, 1) AS rotary_deg",
+        ],
+    )
