@@ -11,6 +11,8 @@ MODULES = [
     "queries_functions",
     "queries_projection",
     "queries_ordered",
+    "queries_statistics",
+    "queries_store",
 ]
 
 

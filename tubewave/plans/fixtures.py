@@ -159,7 +159,7 @@ def series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 CTES["cells"] = (
     "SELECT user_id AS scan_id, event_type AS flaw_id, event_id // 64 AS frame, event_id % 64 AS rotary_idx, "
-    "CASE WHEN event_id % 7 = 0 THEN NULL ELSE round(value / 200, 4) END AS depth, "
+    "CASE WHEN event_id % 7 = 0 THEN NULL ELSE round(value / 200, 5) END AS depth, "
     "CAST(floor(value * 7) AS BIGINT) % 128 AS amp FROM events"
 )
 
@@ -174,7 +174,7 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
             "event_type AS flaw_id",
             "event_id DIV 64 AS frame",
             "event_id % 64 AS rotary_idx",
-            "CASE WHEN event_id % 7 = 0 THEN NULL ELSE round(value / 200, 4) END AS depth",
+            "CASE WHEN event_id % 7 = 0 THEN NULL ELSE round(value / 200, 5) END AS depth",
             "CAST(floor(value * 7) AS BIGINT) % 128 AS amp",
         ],
     )
@@ -256,3 +256,42 @@ def axis(spark: SparkSession, sf_dir: str) -> DataFrame:
             "round((0.1D * (p_partkey + 50)) % 360, 1) AS rotary_deg",
         ],
     )
+
+
+# --- depth differences with category and flag -------------------------------------------------------------
+
+DELTA_COLUMNS = [
+    "l_orderkey AS scan_id",
+    f"{_IND} AS ind_num",
+    "CASE l_suppkey % 7 WHEN 0 THEN 'd' WHEN 1 THEN 'V' WHEN 2 THEN 'MV' WHEN 3 THEN 's' WHEN 4 THEN 'M' WHEN 5 THEN '7' "
+    "ELSE 'V+d' END AS category",
+    "round((l_discount - 0.05{d}) * 0.9{d} + l_linenumber * 0.001{d}, 4) AS delta1",
+    "CASE WHEN l_partkey % 11 = 0 THEN NULL ELSE round((l_tax - 0.04{d}) * 0.8{d} + (l_discount - 0.05{d}) * 0.3{d}, 4) END AS delta2",
+    "l_linenumber = 2 AS flagged",
+    "round(0.08{d} + l_quantity / 100, 4) AS depth",
+    "CASE WHEN l_partkey % 3 = 0 THEN NULL ELSE round(l_tax + 0.1{d}, 4) END AS depth_nb1",
+    "CASE WHEN l_partkey % 4 = 0 THEN NULL ELSE round(l_discount + 0.1{d}, 4) END AS depth_nb2",
+]
+CTES["deltas"] = "SELECT " + ", ".join(DELTA_COLUMNS).format(d="::DOUBLE") + " FROM lineitem"
+
+
+def deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _project(spark, sf_dir, "lineitem", [c.format(d="D") for c in DELTA_COLUMNS])
+
+
+# --- echo-group boxes: ten per frame --------------------------------------------------------------------------
+
+WAVE_BOX_COLUMNS = [
+    "event_id {div} 640 AS scan_id",
+    "(event_id {div} 10) % 64 AS frame",
+    "event_id AS box_id",
+    "CASE event_type WHEN 'click' THEN 'G2' WHEN 'view' THEN 'G3' WHEN 'purchase' THEN 'G4' WHEN 'error' THEN 'G4' ELSE 'G3' END AS cls",
+    "value AS box_start",
+    "value + 20 + event_id % 5 AS box_end",
+    "(event_id * 13) % 100 / 100.0{d} AS conf",
+]
+CTES["wave_boxes"] = "SELECT " + ", ".join(WAVE_BOX_COLUMNS).format(div="//", d="::DOUBLE") + " FROM events"
+
+
+def wave_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _project(spark, sf_dir, "events", [c.format(div="DIV", d="D") for c in WAVE_BOX_COLUMNS])

@@ -52,8 +52,8 @@ errors AS (SELECT r.flaw_type, round(
   FROM p_best b JOIN predicted p ON p.scan_id = b.scan_id AND p.ind_num = b.p_ind
   JOIN reported r ON r.scan_id = b.scan_id AND r.ind_num = b.r_ind),
 levels AS (SELECT flaw_type, err FROM errors UNION ALL SELECT 'ALL', err FROM errors)
-SELECT flaw_type, round(avg(abs(err)), 6) AS mean_abs, 2 * round(stddev_pop(err), 6) AS two_sigma,
-  round(avg(err), 6) AS mean, round(quantile_cont(err, 0.5), 6) AS median, count(*)::BIGINT AS n
+SELECT flaw_type, round(avg(abs(err)), 9) AS mean_abs, 2 * round(stddev_pop(err), 9) AS two_sigma,
+  round(avg(err), 9) AS mean, round(quantile_cont(err, 0.5), 9) AS median, count(*)::BIGINT AS n
 FROM levels WHERE err IS NOT NULL GROUP BY flaw_type""",
     ),
 )
