@@ -63,6 +63,29 @@ def numbered(df: DataFrame, s: Series, name: str = "pos") -> DataFrame:
     return running(df, s, {name: F.lit(1)}).withColumn(name, F.col(name).cast("bigint"))
 
 
+def highest_before(df: DataFrame, s: Series, values: dict[str, Column]) -> DataFrame:
+    """Largest value of all rows before each row."""
+    rows = df.withColumn("_chunk", s.chunk_of()).withColumns({f"_x_{n}": c for n, c in values.items()})
+    before = s.along().rowsBetween(Window.unboundedPreceding, -1)
+    joined = _with_summary(
+        rows, s, [F.max(f"_x_{n}").alias(f"_c_{n}") for n in values], {f"_c_{n}": lambda c: F.max(c).over(before) for n in values}
+    )
+    here = s.inside().rowsBetween(Window.unboundedPreceding, -1)
+    out = joined.withColumns({n: F.greatest(F.max(f"_x_{n}").over(here), F.col(f"_c_{n}")) for n in values})
+    return out.drop("_chunk", *[f"_{p}_{n}" for n in values for p in "xc"])
+
+
+def interval_islands(df: DataFrame, s: Series, start: str, end: str, gap: float = 0.0, out: str = "island") -> DataFrame:
+    """Number groups of intervals that are separated from all others by more than ``gap``.
+
+    ``s`` has to order the rows by ``start``. Intervals of different groups do not touch, nor do the
+    intervals that result from uniting intervals within a group.
+    """
+    reached = highest_before(df, s, {"_reach": F.col(end)})
+    opens = F.when(F.col("_reach").isNull() | (F.col(start) > F.col("_reach") + gap), 1).otherwise(0)
+    return running(reached, s, {out: opens}).drop("_reach")
+
+
 def known(df: DataFrame, s: Series, past: dict[str, Column] | None = None, future: dict[str, Column] | None = None) -> DataFrame:
     """Last non-NULL value at or before each row and first non-NULL value at or after it."""
     past, future = past or {}, future or {}

@@ -13,6 +13,7 @@ MODULES = [
     "queries_ordered",
     "queries_statistics",
     "queries_store",
+    "queries_merging",
 ]
 
 

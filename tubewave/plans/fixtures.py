@@ -295,3 +295,22 @@ CTES["wave_boxes"] = "SELECT " + ", ".join(WAVE_BOX_COLUMNS).format(div="//", d=
 
 def wave_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _project(spark, sf_dir, "events", [c.format(div="DIV", d="D") for c in WAVE_BOX_COLUMNS])
+
+
+# --- rows of measured boxes: sixteen rows per box, eight boxes per image ---------------------------------------
+
+BOX_ROW_COLUMNS = [
+    "event_id {div} 128 AS image_id",
+    "event_id {div} 16 AS box_id",
+    "CASE (event_id {div} 16) % 5 WHEN 0 THEN 'V' WHEN 1 THEN 'MR' WHEN 2 THEN 'Spaghetti' WHEN 3 THEN '7' ELSE 'default' END AS cls",
+    "event_id % 16 + (event_id {div} 16) % 8 * 3 AS y",
+    "CAST(floor(value) AS BIGINT) % 60 + 10 AS max_x",
+    "CAST(floor(value * 10) AS BIGINT) % 120 AS max_value",
+    "CAST(10 AS BIGINT) AS x1",
+    "CAST(70 AS BIGINT) AS x2",
+]
+CTES["box_rows"] = "SELECT " + ", ".join(BOX_ROW_COLUMNS).format(div="//") + " FROM events"
+
+
+def box_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _project(spark, sf_dir, "events", [c.format(div="DIV") for c in BOX_ROW_COLUMNS])

@@ -15,11 +15,11 @@ def read_frames(spark: SparkSession, path: str, layout: str = EXPORT_LAYOUT) ->
     A frame file holds a bounded number of lines (one turn), so it is read as one text.
     """
     # partition folders are part of the path pattern, not columns of their own
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
+    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
     place = F.col("_metadata.file_path")
     rows = files.select(
         *[F.regexp_extract(place, layout, i).alias(n) for i, n in ((1, "scan_id"), (2, "probe"), (3, "frame"))],
-        F.posexplode(F.split(F.rtrim("value"), r"\r?\n")).alias("rotary_idx", "line"),
+        F.posexplode(F.split(F.regexp_replace("value", r"\s+$", ""), r"\r?\n")).alias("rotary_idx", "line"),
     )
     samples = F.transform(F.split("line", ","), lambda v: F.trim(v).cast("smallint"))
     return rows.select("scan_id", "probe", F.col("frame").cast("int").alias("frame"), "rotary_idx", samples.alias("samples"))
