@@ -14,6 +14,7 @@ MODULES = [
     "queries_statistics",
     "queries_store",
     "queries_merging",
+    "queries_signal",
 ]
 
 
