@@ -69,8 +69,8 @@ WAVEGROUP = "start SMALLINT, stop SMALLINT, peak_index SMALLINT, peak_value SMAL
 def detect_echoes(ascans: DataFrame, count: int, threshold: float, width: int, level: int = 128, max_distance: int = 0, signed: bool = False) -> DataFrame:
     """Echo candidates of each A-scan as an array of structs, strongest first. Runs batch by batch without a shuffle."""
     kept = ascans.drop("samples")
-    target = kept.schema.add("echoes", T.ArrayType(T.StructType.fromDDL(WAVEGROUP)))
     names = kept.columns
+    target = T.StructType([*kept.schema.fields, T.StructField("echoes", T.ArrayType(T.StructType.fromDDL(WAVEGROUP)))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -15,6 +15,7 @@ MODULES = [
     "queries_store",
     "queries_merging",
     "queries_signal",
+    "queries_sizing",
 ]
 
 
