@@ -17,9 +17,9 @@ from .ordered import Series
 FRAME = ["scan_id", "probe", "frame"]
 
 
-def frame_series(chunk: int = 4096) -> Series:
-    """Rotary positions of one frame; a full turn has a few thousand of them, so one chunk is enough."""
-    return Series(FRAME, ["rotary_idx"], chunk)
+def frame_series() -> Series:
+    """Rotary positions of one frame; a full turn has a few thousand of them, so it needs no chunks."""
+    return Series(FRAME, ["rotary_idx"], None)
 
 
 def reference_positions(df: DataFrame, valid: str, n_row: int) -> DataFrame:

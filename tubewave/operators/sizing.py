@@ -194,7 +194,7 @@ def profile_summary(cells: DataFrame, keys: list[str], depth: str = "depth") ->
     return stats.withColumn("depth_cv", F.when(F.col("mean_depth") != 0, F.col("depth_std") / F.col("mean_depth")))
 
 
-def line_changes(cells: DataFrame, keys: list[str], line: str, along: str, value: str, chunk: int) -> DataFrame:
+def line_changes(cells: DataFrame, keys: list[str], line: str, along: str, value: str) -> DataFrame:
     """How a peak feature changes along the lines of a flaw.
 
     Per line: range, mean, longest rise and fall as a share of the line; per flaw: the largest and the
@@ -205,7 +205,7 @@ def line_changes(cells: DataFrame, keys: list[str], line: str, along: str, value
     ranges = known_cells.groupBy(*group).agg(
         (F.max(value) - F.min(value)).alias("_range"), F.avg(value).alias("_mean"), F.count(F.lit(1)).alias("_n")
     )
-    steps = longest_changes(known_cells.select(*group, along, value), Series(group, [along], chunk), value)
+    steps = longest_changes(known_cells.select(*group, along, value), Series(group, [along], None), value)
     shifted = known_cells.select(*keys, (F.col("_line") + 1).alias("_line"), along, F.col(value).alias("_before"))
     pairs = known_cells.select(*group, along, value).join(shifted, [*group, along])
     linked = pairs.groupBy(*group).agg(F.when(F.count(F.lit(1)) > 1, F.corr(value, "_before")).alias("_corr"))
@@ -219,10 +219,10 @@ def line_changes(cells: DataFrame, keys: list[str], line: str, along: str, value
     )
 
 
-def depth_flags(cells: DataFrame, keys: list[str], chunk: int, gradient: float, reportable: float, near: float, limit: float, depth: str = "depth") -> DataFrame:
+def depth_flags(cells: DataFrame, keys: list[str], gradient: float, reportable: float, near: float, limit: float, depth: str = "depth") -> DataFrame:
     """Signs of an unreliable depth map: steep steps, shallow frames, cells near and above limits."""
     line = [*keys, "frame"]
-    steps = adjacent(cells, Series(line, ["rotary_idx"], chunk), previous={"_p": F.col(depth)})
+    steps = adjacent(cells, Series(line, ["rotary_idx"], None), previous={"_p": F.col(depth)})
     jump = F.abs(F.col(depth) - F.col("_p"))
     frames = steps.groupBy(*line).agg(
         F.max(depth).alias("_max"), F.coalesce(F.sum(F.when(jump >= gradient, jump)), F.lit(0.0)).alias("_steep"), F.count(depth).alias("_n"),
@@ -331,7 +331,7 @@ def size_by_alignment(
         ).alias("b")
     ).select(*FRAME, "flaw_id", "rotary_idx", "b.*")
     depth = best.withColumn("raw_depth", text.samples_to_mm(F.col("lag"), cap_mm))
-    return drop_abrupt(depth, Series([*FRAME, "flaw_id"], ["rotary_idx"], 4096), "raw_depth", max_step, "depth")
+    return drop_abrupt(depth, [*FRAME, "flaw_id"], "rotary_idx", "raw_depth", max_step, "depth")
 
 
 def lowered_threshold(cells: DataFrame, keys: list[str], start: int, step: int = 2, lowest: int = 134) -> DataFrame:

@@ -14,7 +14,6 @@ from .registry import query
 # Rows per chunk. Small enough that the given tables span several chunks.
 CHUNK = 4000
 S = Series(["scan_id"], ["frame"], CHUNK)
-SR = Series(["scan_id", "flaw_id", "frame"], ["rotary_idx"], 32)
 
 
 @query(
@@ -131,18 +130,19 @@ def longest_changes(spark, sf_dir):
     "jump_mask_w8",
     with_tables(
         "series",
-        """, d AS (SELECT *, coalesce(abs(lag - lag(lag) OVER w) >= 6, FALSE) OR coalesce(abs(lag - lead(lag) OVER w) >= 6, FALSE) AS jump
+        """, d AS (SELECT *, frame // 64 AS fr, coalesce(abs(lag - lag(lag) OVER w) >= 6, FALSE) OR coalesce(abs(lag - lead(lag) OVER w) >= 6, FALSE) AS jump
   FROM series WINDOW w AS (PARTITION BY scan_id ORDER BY frame)),
-u AS (SELECT *, full_value - lag(full_value) OVER (PARTITION BY scan_id ORDER BY frame) >= 100 AS rise FROM d),
-u2 AS (SELECT *, CASE WHEN rise AND frame = min(CASE WHEN rise THEN frame END) OVER (PARTITION BY scan_id) THEN NULL ELSE full_value END AS v FROM u),
-f AS (SELECT *, lead(v) OVER (PARTITION BY scan_id ORDER BY frame) - v <= -100 AS fall FROM u2)
-SELECT scan_id, frame, jump, CASE WHEN fall AND frame = min(CASE WHEN fall THEN frame END) OVER (PARTITION BY scan_id) THEN NULL ELSE v END
+u AS (SELECT *, full_value - lag(full_value) OVER (PARTITION BY fr ORDER BY frame) >= 100 AS rise FROM d),
+u2 AS (SELECT *, CASE WHEN rise AND frame = min(CASE WHEN rise THEN frame END) OVER (PARTITION BY fr) THEN NULL ELSE full_value END AS v FROM u),
+f AS (SELECT *, lead(v) OVER (PARTITION BY fr ORDER BY frame) - v <= -100 AS fall FROM u2)
+SELECT scan_id, frame, jump, CASE WHEN fall AND frame = min(CASE WHEN fall THEN frame END) OVER (PARTITION BY fr) THEN NULL ELSE v END
   AS steady FROM f""",
     ),
 )
 def jump_mask(spark, sf_dir):
-    marked = ordered.jump_mask(series(spark, sf_dir), S, "lag", 6)
-    return ordered.drop_abrupt(marked, S, "full_value", 100.0, "steady").select("scan_id", "frame", "jump", "steady")
+    """Jumps along each scan, and abrupt steps within frames of 64 positions."""
+    marked = ordered.jump_mask(series(spark, sf_dir), S, "lag", 6).withColumn("fr", F.expr("frame DIV 64"))
+    return ordered.drop_abrupt(marked, ["fr"], "frame", "full_value", 100.0, "steady").select("scan_id", "frame", "jump", "steady")
 
 
 @query(

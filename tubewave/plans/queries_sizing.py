@@ -213,7 +213,7 @@ def line_changes(spark, sf_dir):
     cells = fx.ascans(spark, sf_dir).select(
         "scan_id", "probe", F.expr("frame DIV 2").alias("line"), "rotary_idx", F.array_max(F.transform("samples", lambda x: F.abs(x - 128))).alias("v")
     )
-    out = sizing.line_changes(cells, ["scan_id", "probe"], "line", "rotary_idx", "v", 4096)
+    out = sizing.line_changes(cells, ["scan_id", "probe"], "line", "rotary_idx", "v")
     return rounded(out, ["mean_range", "mean_value", "increase_percent", "decrease_percent", "mean_line_correlation", "min_line_correlation"])
 
 
@@ -229,7 +229,7 @@ SELECT scan_id, flaw_id, round(sum(steep), 6) AS steep_sum, round(100.0 * count(
     ),
 )
 def depth_flags(spark, sf_dir):
-    out = sizing.depth_flags(fx.cells(spark, sf_dir), FLAW, 4096, 0.2, 0.1, 0.05, 0.6)
+    out = sizing.depth_flags(fx.cells(spark, sf_dir), FLAW, 0.2, 0.1, 0.05, 0.6)
     return rounded(out, ["steep_sum", "below_reportable_percent", "near_max_percent"])
 
 
