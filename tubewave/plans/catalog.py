@@ -16,6 +16,7 @@ MODULES = [
     "queries_merging",
     "queries_signal",
     "queries_sizing",
+    "queries_learning",
 ]
 
 

@@ -45,8 +45,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the rows survive the loss of any executor."""
-    spark = df.sparkSession
-    spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "step") -> DataFrame:
+    """The rows as a table written to the shared folder, read back.
+
+    They survive the loss of any executor, later steps still read only the columns they need, and their
+    size is known when joins are planned.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
