@@ -17,6 +17,7 @@ MODULES = [
     "queries_signal",
     "queries_sizing",
     "queries_learning",
+    "queries_files",
 ]
 
 
