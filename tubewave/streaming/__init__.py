@@ -1 +1 @@
-
+"""Incremental runs over folders that keep receiving files."""
