@@ -29,7 +29,7 @@ def _project(spark: SparkSession, sf_dir: str, source: str, columns: list[str])
 
 # --- flaws ---------------------------------------------------------------------------------------
 
-_IND = "concat_ws('-', l_linenumber, l_partkey, l_suppkey, CAST(round(l_extendedprice * 100) AS BIGINT))"
+_IND = "concat_ws('-', l_linenumber, l_partkey, l_suppkey, CAST(floor((l_extendedprice * 100) + 0.5) AS BIGINT))"
 _TYPE = (
     "concat(CASE WHEN l_linestatus = 'O' AND l_linenumber > 4 THEN 'BM_' ELSE '' END, "
     "CASE l_returnflag WHEN 'R' THEN 'Debris' WHEN 'A' THEN 'CC' ELSE 'FBBPF' END, "
@@ -41,29 +41,29 @@ REPORTED_COLUMNS = [
     f"{_IND} AS ind_num",
     f"{_TYPE} AS flaw_type",
     "l_quantity AS axial_start",
-    "round(l_extendedprice % 20, 2) AS rotary_start",
-    "round(1 + 10 * l_tax, 2) AS length",
+    "floor((l_extendedprice % 20) * 100 + 0.5) / 100 AS rotary_start",
+    "floor((1 + 10 * l_tax) * 100 + 0.5) / 100 AS length",
     "CAST(5 + l_linenumber AS DOUBLE) AS width",
-    "round(l_tax + 0.1, 4) AS depth",
+    "floor((l_tax + 0.1) * 10000 + 0.5) / 10000 AS depth",
     "CASE WHEN l_tax < 0.02 THEN '< 0.1' WHEN l_linenumber = 6 THEN '> 0.3' "
-    "WHEN l_linenumber = 2 THEN concat(CAST(round(l_tax + 0.1, 4) AS {text}), ' (2)') "
-    "ELSE CAST(round(l_tax + 0.1, 4) AS {text}) END AS depth_text",
+    "WHEN l_linenumber = 2 THEN concat(CAST(floor((l_tax + 0.1) * 10000 + 0.5) / 10000 AS {text}), ' (2)') "
+    "ELSE CAST(floor((l_tax + 0.1) * 10000 + 0.5) / 10000 AS {text}) END AS depth_text",
 ]
 
 PREDICTED_COLUMNS = [
     "l_orderkey AS scan_id",
     f"{_IND} AS ind_num",
     f"CASE WHEN l_linenumber = 3 THEN 'Other' ELSE {_TYPE} END AS flaw_type",
-    "round(l_quantity + l_discount + CASE WHEN l_linestatus = 'F' AND l_returnflag = 'N' THEN 100 ELSE 0 END, 2) "
+    "floor((l_quantity + l_discount + CASE WHEN l_linestatus = 'F' AND l_returnflag = 'N' THEN 100 ELSE 0 END) * 100 + 0.5) / 100 "
     "AS axial_start",
-    "round(l_extendedprice % 20 + 0.3 * l_linenumber, 2) AS rotary_start",
-    "round(1 + 10 * l_tax + l_discount, 2) AS length",
+    "floor((l_extendedprice % 20 + 0.3 * l_linenumber) * 100 + 0.5) / 100 AS rotary_start",
+    "floor((1 + 10 * l_tax + l_discount) * 100 + 0.5) / 100 AS length",
     "CAST(5 + l_linenumber AS DOUBLE) AS width",
-    "round(l_discount * 10, 2) AS confidence",
-    "CASE WHEN l_suppkey % 13 = 0 THEN NULL ELSE round(l_tax + 0.1 + (l_discount - 0.05) / 10, 4) END AS depth",
+    "floor((l_discount * 10) * 100 + 0.5) / 100 AS confidence",
+    "CASE WHEN l_suppkey % 13 = 0 THEN NULL ELSE floor((l_tax + 0.1 + (l_discount - 0.05) / 10) * 10000 + 0.5) / 10000 END AS depth",
     "CASE WHEN l_suppkey % 13 = 0 THEN NULL WHEN l_linenumber = 4 THEN 'nan (2)' WHEN l_linenumber = 2 "
-    "THEN concat(CAST(round(l_tax + 0.1 + (l_discount - 0.05) / 10, 4) AS {text}), ' (2)') "
-    "ELSE CAST(round(l_tax + 0.1 + (l_discount - 0.05) / 10, 4) AS {text}) END AS depth_text",
+    "THEN concat(CAST(floor((l_tax + 0.1 + (l_discount - 0.05) / 10) * 10000 + 0.5) / 10000 AS {text}), ' (2)') "
+    "ELSE CAST(floor((l_tax + 0.1 + (l_discount - 0.05) / 10) * 10000 + 0.5) / 10000 AS {text}) END AS depth_text",
 ]
 
 CTES["reported"] = "SELECT " + ", ".join(REPORTED_COLUMNS).format(text="VARCHAR") + " FROM lineitem"
@@ -186,8 +186,8 @@ BOX_COLUMNS = [
     "l_orderkey AS image_id",
     f"{_IND} AS box_id",
     "CASE l_returnflag WHEN 'R' THEN 'V' WHEN 'A' THEN 'MR' ELSE 'Spaghetti' END AS cls",
-    "round(l_discount * 10, 2) AS conf",
-    "round(l_extendedprice % 1, 2) AS x",
+    "floor((l_discount * 10) * 100 + 0.5) / 100 AS conf",
+    "floor((l_extendedprice % 1) * 100 + 0.5) / 100 AS x",
     "l_quantity / 50 AS y",
     "(1 + l_linenumber) / 20.0{d} AS w",
     "l_tax + 0.04{d} AS h",
@@ -265,12 +265,12 @@ DELTA_COLUMNS = [
     f"{_IND} AS ind_num",
     "CASE l_suppkey % 7 WHEN 0 THEN 'd' WHEN 1 THEN 'V' WHEN 2 THEN 'MV' WHEN 3 THEN 's' WHEN 4 THEN 'M' WHEN 5 THEN '7' "
     "ELSE 'V+d' END AS category",
-    "round((l_discount - 0.05{d}) * 0.9{d} + l_linenumber * 0.001{d}, 4) AS delta1",
-    "CASE WHEN l_partkey % 11 = 0 THEN NULL ELSE round((l_tax - 0.04{d}) * 0.8{d} + (l_discount - 0.05{d}) * 0.3{d}, 4) END AS delta2",
+    "floor(((l_discount - 0.05{d}) * 0.9{d} + l_linenumber * 0.001{d}) * 10000 + 0.5) / 10000 AS delta1",
+    "CASE WHEN l_partkey % 11 = 0 THEN NULL ELSE floor(((l_tax - 0.04{d}) * 0.8{d} + (l_discount - 0.05{d}) * 0.3{d}) * 10000 + 0.5) / 10000 END AS delta2",
     "l_linenumber = 2 AS flagged",
-    "round(0.08{d} + l_quantity / 100, 4) AS depth",
-    "CASE WHEN l_partkey % 3 = 0 THEN NULL ELSE round(l_tax + 0.1{d}, 4) END AS depth_nb1",
-    "CASE WHEN l_partkey % 4 = 0 THEN NULL ELSE round(l_discount + 0.1{d}, 4) END AS depth_nb2",
+    "floor((0.08{d} + l_quantity / 100) * 10000 + 0.5) / 10000 AS depth",
+    "CASE WHEN l_partkey % 3 = 0 THEN NULL ELSE floor((l_tax + 0.1{d}) * 10000 + 0.5) / 10000 END AS depth_nb1",
+    "CASE WHEN l_partkey % 4 = 0 THEN NULL ELSE floor((l_discount + 0.1{d}) * 10000 + 0.5) / 10000 END AS depth_nb2",
 ]
 CTES["deltas"] = "SELECT " + ", ".join(DELTA_COLUMNS).format(d="::DOUBLE") + " FROM lineitem"
 
