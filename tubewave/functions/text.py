@@ -257,7 +257,9 @@ def label_probes(label: Column, type_d: Column) -> Column:
 def samples_to_mm(samples: Column, cap_mm: float | None = None, factor: float = SOUND_FACTOR) -> Column:
     """Time samples to depth in mm, four decimals, not below zero."""
     mm = F.greatest(F.round(samples * MM_PER_SAMPLE * factor, 4), F.lit(0.0))
-    return mm if cap_mm is None else F.least(mm, F.lit(cap_mm))
+    capped = mm if cap_mm is None else F.least(mm, F.lit(cap_mm))
+    # greatest and least pass over NULL, but an unknown lag has no depth
+    return F.when(samples.isNotNull(), capped)
 
 
 def mm_to_samples(mm: Column, factor: float = SOUND_FACTOR) -> Column:

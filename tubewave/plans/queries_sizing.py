@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from ..operators import ranking, signal, sizing
 from ..operators import projections as pj
 from ..operators.signal import FRAME
+from ..session import scratch_path
+from ..sources import results
 from . import fixtures as fx
 from .fixtures import with_tables
 from .queries_signal import first_references
@@ -261,9 +263,26 @@ def debris_depth(spark, sf_dir):
     return sizing.debris_depth(fx.grid_flaws(spark, sf_dir), fx.ascans(spark, sf_dir), 2, 16, 16, 160)
 
 
-@query("cc_depth_e3_x14")
+CC_SQL = """, fp AS (SELECT scan_id, probe, frame, rotary_idx, flip, list_min([i FOR i IN range(1, 63) IF s[i + 1] >= 140 AND s[i + 1] > s[i] AND s[i + 1] >= s[i + 2]]) AS pk
+  FROM (SELECT *, FALSE AS flip, samples AS s FROM ascans UNION ALL SELECT *, TRUE, [256 - x FOR x IN samples] FROM ascans)),
+c AS (SELECT scan_id, probe, frame, rotary_idx FROM ascans a WHERE NOT EXISTS (SELECT 1 FROM grid_flaws g WHERE g.scan_id = a.scan_id AND g.probe = a.probe
+  AND a.frame BETWEEN frame_start AND frame_end AND a.rotary_idx BETWEEN rotary_start AND rotary_end)),
+n AS (SELECT g.scan_id, g.probe, c.frame, g.flaw_id, c.rotary_idx, c.rotary_idx < rotary_start AS low_side, row_number() OVER (PARTITION BY g.scan_id, g.probe, c.frame, g.flaw_id,
+  c.rotary_idx < rotary_start ORDER BY abs(c.rotary_idx - CASE WHEN c.rotary_idx < rotary_start THEN rotary_start ELSE rotary_end END)) AS rk
+  FROM grid_flaws g JOIN c ON c.scan_id = g.scan_id AND c.probe = g.probe AND c.frame BETWEEN frame_start AND frame_end WHERE NOT c.rotary_idx BETWEEN rotary_start AND rotary_end),
+sd AS (SELECT n.scan_id, n.probe, n.frame, n.flaw_id, flip, low_side, avg(pk) AS a FROM n JOIN fp USING (scan_id, probe, frame, rotary_idx) WHERE rk <= 3 GROUP BY ALL),
+su AS (SELECT scan_id, probe, frame, flaw_id, flip, avg(a) AS surface FROM sd GROUP BY ALL),
+ce AS (SELECT g.scan_id, g.probe, g.flaw_id, fp.flip, CASE WHEN surface IS NOT NULL AND pk IS NOT NULL THEN greatest(round((surface - pk) * 0.008 * 0.71, 4), 0.0) END AS d
+  FROM grid_flaws g JOIN fp ON fp.scan_id = g.scan_id AND fp.probe = g.probe AND fp.frame BETWEEN frame_start AND frame_end AND fp.rotary_idx BETWEEN rotary_start AND rotary_end
+  LEFT JOIN su ON su.scan_id = g.scan_id AND su.probe = g.probe AND su.frame = fp.frame AND su.flaw_id = g.flaw_id AND su.flip = fp.flip),
+a AS (SELECT scan_id, probe, flaw_id, flip, max(d) AS d, count(*) FILTER (d IS NULL) * 100.0 / count(*) AS m FROM ce GROUP BY ALL)
+SELECT scan_id, probe, flaw_id, CASE WHEN (p.d IS NULL OR p.m > 50) AND f.d IS NOT NULL THEN f.d ELSE p.d END::DOUBLE AS depth, (p.d IS NULL OR p.m > 50) AND f.d IS NOT NULL AS flipped,
+  round(least(p.m, f.m), 6)::DOUBLE AS missing_percent FROM (SELECT * FROM a WHERE NOT flip) p JOIN (SELECT * FROM a WHERE flip) f USING (scan_id, probe, flaw_id)"""
+
+
+@query("cc_depth_e3_x14", with_tables("ascans, grid_flaws", CC_SQL))
 def cc_depth(spark, sf_dir):
-    return sizing.cc_depth(fx.grid_flaws(spark, sf_dir), fx.ascans(spark, sf_dir), 3, 140, 50.0)
+    return rounded(sizing.cc_depth(fx.grid_flaws(spark, sf_dir), fx.ascans(spark, sf_dir), 3, 140, 50.0), ["missing_percent"])
 
 
 @query("alternative_depth_e5")
@@ -303,3 +322,21 @@ def sizing_dispatch(spark, sf_dir):
     return fx.predicted(spark, sf_dir).select(
         "scan_id", "ind_num", first.alias("method"), second.alias("second_method"), sizing.category_depth(order, depths).alias("note1_depth")
     )
+
+
+@query(
+    "sizing_tables_s16",
+    with_tables(
+        "cells",
+        """SELECT scan_id, flaw_id, count(depth)::BIGINT AS n_cells, max(depth) AS max_depth, count(*) FILTER (depth IS NULL)::BIGINT AS n_rejects FROM cells GROUP BY 1, 2""",
+    ),
+)
+def sizing_tables(spark, sf_dir):
+    """Cells, statistics and rejects written as tables and read back."""
+    folder = scratch_path(spark, "sizing")
+    rows = fx.cells(spark, sf_dir).withColumn("error", F.when(F.col("depth").isNull(), "no depth"))
+    results.write_sizing_tables(rows, FLAW, folder)
+    stats, rejects = (spark.read.parquet(f"{folder}/{t}") for t in ("depth_stats", "rejects"))
+    failed = rejects.groupBy(*FLAW).agg(F.count(F.lit(1)).alias("n_rejects"))
+    out = stats.select(*FLAW, "n_cells", "max_depth").join(failed, FLAW, "full")
+    return out.select(*FLAW, *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n_cells", "n_rejects")], "max_depth")
