@@ -33,12 +33,13 @@ def brute_iou(a, b):
     return shared / (a.width * a.length + b.width * b.length - shared)
 
 
+@pytest.mark.parametrize("dense", [5, 2000])
 @pytest.mark.parametrize("fallback", [False, True])
-def test_best_match(spark, fallback):
+def test_best_match(spark, fallback, dense):
     left, left_df = random_boxes(spark, 150)
     right, right_df = random_boxes(spark, 150)
     fn = matching.best_match_or_first if fallback else matching.best_match
-    got = {(r.scan_id, r.ind_num): (r.match._order if r.match else None, r.iou) for r in fn(left_df, right_df, ["scan_id"]).collect()}
+    got = {(r.scan_id, r.ind_num): (r.match._order if r.match else None, r.iou) for r in fn(left_df, right_df, ["scan_id"], dense=dense).collect()}
     assert len(got) == len(left)
     for a in left.itertuples():
         pairs = [(-brute_iou(a, b), b.ind_num) for b in right[right.scan_id == a.scan_id].itertuples()]

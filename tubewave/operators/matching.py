@@ -91,6 +91,36 @@ def overlapping_pairs(
     return pairs.where(F.col("iou") > 0)
 
 
+# Scans with more distinct boxes than this are matched from the best overlap downwards.
+DENSE_SCAN = 2000
+LADDER = (0.95, 0.85, 0.6)
+
+
+def _near_pairs(left: DataFrame, right: DataFrame, keys: list[str], limit: float) -> DataFrame:
+    """Pairs with an IoU of at least ``limit``, from cells as small as such an overlap allows.
+
+    Two such boxes differ in size by at most a factor and in position by a share of their size. Right
+    boxes go to one cell of the grid of their size class, left boxes look into the few cells in reach.
+    """
+    for axis, size in (("x", "w"), ("y", "h")):
+        # two size classes per doubling; ``largest`` is the upper end of a class
+        largest = F.pow(F.lit(2.0), (F.col(f"_k{axis}") + 1) / 2)
+        cell = 2 * (1 - limit) * largest
+        right = right.withColumn(f"_k{axis}", F.floor(2 * F.log2(f"b_{size}")))
+        right = right.withColumn(f"_c{axis}", F.floor(F.col(f"b_{axis}") / cell))
+        w = F.col(f"a_{size}")
+        classes = F.sequence(F.floor(2 * F.log2(w * limit) - 1e-9), F.floor(2 * F.log2(w / limit) + 1e-9))
+        left = left.withColumn(f"_k{axis}", F.explode(classes))
+        reach = (1 - limit) * F.least(F.greatest(w, largest), w / limit) + 1e-9
+        left = left.withColumn(f"_c{axis}", F.explode(F.sequence(F.floor((F.col(f"a_{axis}") - reach) / cell), F.floor((F.col(f"a_{axis}") + reach) / cell))))
+    pairs = left.join(right, [*keys, "_kx", "_ky", "_cx", "_cy"]).withColumn("iou", iou(_side("a_"), _side("b_")))
+    return pairs.where(F.col("iou") >= limit)
+
+
+def _best_of(pairs: DataFrame, keys: list[str]) -> DataFrame:
+    return pairs.groupBy(*keys, *[f"a_{g}" for g in GEOMETRY]).agg(F.min(F.struct((-F.col("iou")).alias("neg_iou"), F.col("b_first"))).alias("_best"))
+
+
 def best_match(
     left: DataFrame,
     right: DataFrame,
@@ -100,38 +130,48 @@ def best_match(
     payload: list[str] = (),
     min_iou: float = 0.0,
     grid: Grid = Grid(),
+    dense: int = DENSE_SCAN,
 ) -> DataFrame:
     """Every left row with the overlapping right row of highest IoU.
 
     Adds ``iou`` and a struct ``match`` (``_order`` and the payload columns), both NULL where nothing
     overlaps with at least ``min_iou``. Equal IoU goes to the right row that comes first in ``order``.
+
+    In a crowded scan most boxes have a very similar partner. There, pairs with a high IoU are looked for
+    first; a box that has one is done, because nothing below can beat it, and only the others go on to the
+    next lower limit. So a scan that holds a third of all rows does not list all its overlapping pairs.
     """
-    pairs = overlapping_pairs(left.select(*dict.fromkeys([*keys, *box.names(), order])), right, keys, box, order, [], payload, grid)
-    best = (
-        pairs.where(F.col("iou") >= min_iou)
-        .groupBy(*keys, "a_x", "a_y", "a_w", "a_h")
-        .agg(F.min(F.struct((-F.col("iou")).alias("neg_iou"), F.col("b_first"))).alias("_best"))
-        .select(
-            *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-            "a_x", "a_y", "a_w", "a_h",
-            (-F.col("_best.neg_iou")).alias("iou"),
-            F.col("_best.b_first").alias("match"),
-        )
+    geometry = [f"a_{g}" for g in GEOMETRY]
+    a = distinct_boxes(left.select(*dict.fromkeys([*keys, *box.names(), order])), keys, box, order, [], "a_").select(*keys, *geometry)
+    b = distinct_boxes(right, keys, box, order, list(payload), "b_")
+    crowded = b.groupBy(*keys).agg(F.count(F.lit(1)).alias("_boxes")).where(F.col("_boxes") > dense).select(*keys)
+    rest = a.where((F.col("a_w") > 0) & (F.col("a_h") > 0)).join(crowded, keys, "left_semi")
+    crowd = b.where((F.col("b_w") > 0) & (F.col("b_h") > 0)).join(crowded, keys, "left_semi")
+    found = None
+    for limit in [t for t in LADDER if t > min_iou]:
+        hits = _best_of(_near_pairs(rest, crowd, keys, limit), keys)
+        rest = rest.join(hits, [*keys, *geometry], "left_anti")
+        found = hits if found is None else found.unionByName(hits)
+    others = a if found is None else a.join(found, [*keys, *geometry], "left_anti")
+    pairs = _join_cells(others, b, keys, grid).withColumn("iou", iou(_side("a_"), _side("b_")))
+    last = _best_of(pairs.where((F.col("iou") > 0) & (F.col("iou") >= min_iou)), keys)
+    best = (last if found is None else found.unionByName(last)).select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], *geometry, (-F.col("_best.neg_iou")).alias("iou"), F.col("_best.b_first").alias("match")
     )
     on = [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)]
     on += [F.col(c).cast("double") == F.col(f"a_{g}") for c, g in zip(box.names(), GEOMETRY)]
-    return left.join(best, on, "left").drop(*[f"_k{i}" for i in range(len(keys))], "a_x", "a_y", "a_w", "a_h")
+    return left.join(best, on, "left").drop(*[f"_k{i}" for i in range(len(keys))], *geometry)
 
 
 def best_match_or_first(
-    left: DataFrame, right: DataFrame, keys: list[str], box: BoxColumns = BoxColumns(), order: str = "ind_num", payload: list[str] = ()
+    left: DataFrame, right: DataFrame, keys: list[str], box: BoxColumns = BoxColumns(), order: str = "ind_num", payload: list[str] = (), dense: int = DENSE_SCAN
 ) -> DataFrame:
     """As ``best_match``, but a left row without any overlap is paired with the first right row of its scan.
 
     This is the argmax of the full IoU matrix: a row of zeros points at the first column.
     """
     first = right.groupBy(*keys).agg(F.min(F.struct(F.col(order).alias("_order"), *payload)).alias("_first"))
-    matched = best_match(left, right, keys, box, order, payload)
+    matched = best_match(left, right, keys, box, order, payload, dense=dense)
     return (
         matched.join(first, keys, "left")
         .withColumn("match", F.coalesce("match", "_first"))
