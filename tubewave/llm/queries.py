@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .decontaminate import decontaminate
+from .packing import pack
 from .url_rules import judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,3 +89,11 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     marked = decontaminate(docs, table(spark, sf_dir, "benchmark"), clean=False)
     return marked.selectExpr("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "n_hit > 0 AS contaminated")
+
+
+@query("op3_packing")
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequences of 2048 ids; the rest of each merged group is cut into powers of two, so nothing is padded."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    packed = pack(docs, public_tokenizers.path("word_bpe_49k.json"), "dropped", end_id=1, keep=["doc_id"], with_ids=False)
+    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
