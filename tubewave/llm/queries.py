@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .decontaminate import decontaminate
 from .packing import pack
+from .toxicity import fit_lexicon, score_toxicity
 from .url_rules import judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,3 +99,20 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     packed = pack(docs, public_tokenizers.path("word_bpe_49k.json"), "dropped", end_id=1, keep=["doc_id"], with_ids=False)
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+@query("op2_toxicity")
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score_toxicity(docs, fit_lexicon(docs, training_labels(table(spark, sf_dir, "labels"))))
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= TOXIC_SCORE).cast("int").alias("predicted"), "n_hits")
+
+
+#: Score from which a document counts as toxic.
+TOXIC_SCORE = 0.3
+
+
+def training_labels(labels: DataFrame) -> DataFrame:
+    """Labels that may be learned from: the checksum of the key, modulo 4, is not 2."""
+    return labels.where(F.crc32(F.col("doc_id").cast("string")) % 4 != 2).select("doc_id", "toxic")
