@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontaminate import decontaminate
+from .html_text import extract_text, fit_weights
 from .packing import pack
 from .toxicity import fit_lexicon, score_toxicity
 from .url_rules import judge_urls
@@ -116,3 +117,9 @@ TOXIC_SCORE = 0.3
 def training_labels(labels: DataFrame) -> DataFrame:
     """Labels that may be learned from: the checksum of the key, modulo 4, is not 2."""
     return labels.where(F.crc32(F.col("doc_id").cast("string")) % 4 != 2).select("doc_id", "toxic")
+
+
+@query("op6_html_extraction")
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extract_text(pages, fit_weights(pages)).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
