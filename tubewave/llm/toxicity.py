@@ -20,7 +20,7 @@ TRAINING_ROWS = 20_000
 #: Most terms of a learned lexicon; the strongest stay.
 MOST_TERMS = 20_000
 #: Distinct labelled texts a term must occur in, least weight (log ratio of rates), letters of a word beginning.
-LEAST_TEXTS, LEAST_WEIGHT, BEGINNINGS = 8, 1.5, range(4, 9)
+LEAST_TEXTS, LEAST_WEIGHT, BEGINNINGS = 5, 1.5, range(4, 9)
 #: Harmless phrases around lexicon words.
 EXCEPTIONS = ("trash can", "trash bag", "clown fish", "idiot proof", "pathetic fallacy", "moron river")
 
