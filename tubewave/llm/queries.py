@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .decontaminate import decontaminate
 from .html_text import extract_text, fit_weights
 from .packing import pack
+from .sanitise import KINDS, find_personal_data, span_text
 from .toxicity import fit_lexicon, score_toxicity
 from .url_rules import judge_urls
 
@@ -123,3 +124,11 @@ def training_labels(labels: DataFrame) -> DataFrame:
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return extract_text(pages, fit_weights(pages)).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+@query("op1_pii")
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    number = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = span_text(F.filter("spans", lambda s: s["kind"] != "term"))
+    return found.select("doc_id", *map(number, KINDS), F.sha2(base, 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans"))
