@@ -124,7 +124,7 @@ def disclosing_terms(texts: DataFrame, n_texts: int) -> DataFrame:
     """
     spans = texts.select("key", F.explode("spans").alias("s"))
     value = F.concat("s.kind", F.lit(":"), F.when(F.col("s.kind").isin("card", "phone"), _digits(F.col("s.value"))).otherwise(F.lower("s.value")))
-    shown = spans.select("key", value.alias("value"), (F.col("s.start") - CONTEXT).alias("from"), (F.col("s.end") + CONTEXT).alias("to"))
+    shown = spans.select("key", F.md5(value).alias("value"), (F.col("s.start") - CONTEXT).alias("from"), (F.col("s.end") + CONTEXT).alias("to"))
     # value and term meet in strips of the text, so that a text with many of both is not multiplied out
     strips = shown.withColumn("strip", F.explode(F.expr(f"sequence(`from` DIV {CONTEXT}, `to` DIV {CONTEXT})")))
     placed = texts.select("key", F.explode("terms").alias("t")).select("key", F.expr(f"t.start DIV {CONTEXT}").alias("strip"), "t.start", "t.end", F.col("t.value").alias("term"))
