@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .decontaminate import decontaminate
 from .html_text import extract_text, fit_weights
+from .jaccard import similar_documents
 from .packing import pack
 from .sanitise import KINDS, find_personal_data, span_text
 from .toxicity import fit_lexicon, score_toxicity
@@ -132,3 +133,8 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     base = span_text(F.filter("spans", lambda s: s["kind"] != "term"))
     return found.select("doc_id", *map(number, KINDS), F.sha2(base, 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans"))
+
+
+@query("op5_ngram_jaccard")
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
