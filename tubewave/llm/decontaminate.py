@@ -242,6 +242,7 @@ def _by_digest(docs: DataFrame, items: DataFrame, text: str, window: int, clean:
     ranges = found.groupBy("body").agg(F.collect_set(F.struct("start", "size")).alias("_ranges"), F.collect_set("item").alias("_items"))
     key = own_name("_body", docs.columns)
     body_key = F.pandas_udf(lambda s: s.map(lambda t: xxhash.xxh3_128_digest((t or "").encode())), "binary")
+    columns = docs.columns
     joined = docs.withColumn(key, body_key(F.col(text))).join(ranges.withColumnRenamed("body", key), key, "left").drop(key)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,6 +254,6 @@ def _by_digest(docs: DataFrame, items: DataFrame, text: str, window: int, clean:
                 for r in ranges or []:
                     hit[r["start"] : r["start"] + r["size"]] = True
                 rows.append(_row(body, n, hit, names or [], clean))
-            yield _append(batch.select(docs.columns), rows)
+            yield _append(batch.select(columns), rows)
 
     return joined.mapInArrow(run, with_schema(docs, ADDED))

@@ -13,6 +13,7 @@ from .html_text import extract_text, fit_weights
 from .jaccard import similar_documents
 from .packing import pack
 from .sanitise import KINDS, find_personal_data, span_text
+from .substrings import remove_repeats
 from .toxicity import fit_lexicon, score_toxicity
 from .url_rules import judge_urls
 
@@ -138,3 +139,9 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_ngram_jaccard")
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op7_substring_dedup")
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
