@@ -16,6 +16,7 @@ from .sanitise import KINDS, find_personal_data, span_text
 from .substrings import remove_repeats
 from .toxicity import fit_lexicon, score_toxicity
 from .url_rules import judge_urls
+from .vectors import near_vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -145,3 +146,8 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("op4_embedding_near_dedup")
+def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
