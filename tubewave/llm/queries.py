@@ -8,12 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from .decontaminate import decontaminate
 from .html_text import extract_text, fit_weights
 from .jaccard import similar_documents
 from .packing import pack
 from .sanitise import KINDS, find_personal_data, span_text
 from .substrings import remove_repeats
+from .token_files import read_token_files, write_token_files
 from .toxicity import fit_lexicon, score_toxicity
 from .url_rules import judge_urls
 from .vectors import near_vectors
@@ -151,3 +153,10 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_embedding_near_dedup")
 def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+@query("op8_token_files")
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    write_token_files(table(spark, sf_dir, "documents").select("doc_id", "text"), path, public_tokenizers.path("byte_bpe_50k.json"), "kept", end_id=2)
+    return read_token_files(spark, path, with_ids=False).select(F.col("key").alias("doc_id"), "start", "n_tokens", "ids_crc32")
