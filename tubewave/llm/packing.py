@@ -97,12 +97,13 @@ def pack(
     if length & (length - 1):
         raise ValueError("length must be a power of two")
     new = [part.split()[0] for part in PIECE.split(", ")] + ["part", "window"]
-    source = docs.select(*(keep or []), F.col(text).alias(own_name("_text", keep or [])))
+    kept_columns = [F.col(c) for c in keep or []] or [F.lit(None).cast("int").alias("_none")]  # rows need a column
+    source = docs.select(*kept_columns, F.col(text).alias(own_name("_text", keep or [])))
     text = source.columns[-1]
-    names = [own_name(c, [*(keep or []), *new]) if c in new else c for c in keep or []]
+    names = [own_name(c, [*source.columns, *new]) if c in new else c for c in source.columns[:-1]]
     source = source.toDF(*names, text)
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1])
-    schema = f"{kinds}, {PIECE}" if kinds else PIECE
+    schema = f"{kinds}, {PIECE}"
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,13 +155,13 @@ def pack(
             windows.add(row, start, ids, total)
         windows.close()
         group = table.column("part")[0].as_py() // MERGED_PARTITIONS
-        kept = table.select(names).combine_chunks().to_batches() if names else [pa.RecordBatch.from_struct_array(pa.array([{}] * table.num_rows, pa.struct([])))]
+        kept = table.select(names).combine_chunks().to_batches()
         return pa.Table.from_batches(list(pieces(kept, 0, windows.take(), (1 << 62) + (group << 32), None))).drop_columns(["part", "window"])
 
     first = cut_lineage(source.mapInArrow(run, f"{schema}, part long, window int"), "packed")
     done = first.where("part IS NULL").drop("part", "window")
     left = first.where("part IS NOT NULL").groupBy(F.expr(f"part DIV {MERGED_PARTITIONS}")).applyInArrow(merge, schema)
-    return done.unionByName(left)
+    return done.unionByName(left).drop(*([] if keep else names))
 
 
 def _offsets(pieces: list[tuple]) -> list[int]:
