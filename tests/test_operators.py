@@ -238,3 +238,19 @@ def test_flag_model_learns_a_threshold(spark):
     model = learning.train_flag_model(ready, ["depth"], ["kind"], trees=10, depth=3)
     scored = learning.flag_probability(model, ready, ["depth"], ["kind"]).toPandas()
     assert ((scored.probability >= 0.5).astype(int) == scored.flagged).mean() > 0.97
+
+
+def test_tiles_cover_small_and_odd_images(spark):
+    images = spark.createDataFrame([("odd", 340, 510), ("small", 200, 900), ("exact", 256, 256)], "image STRING, h BIGINT, w BIGINT")
+    found = {}
+    for r in merging.tiles(images, ["image"], "h", "w", 256, 128).collect():
+        found.setdefault(r.image, set()).add((r.tile_y, r.tile_x))
+    assert found["odd"] == {(y, x) for y in (0, 84) for x in (0, 128, 254)}
+    assert found["small"] == {(0, x) for x in (0, 128, 256, 384, 512, 640, 644)} and found["exact"] == {(0, 0)}
+
+
+def test_resampling_keeps_positions_of_one_frame(spark):
+    cells = spark.createDataFrame([("s", 0, 0, 1.0), ("s", 0, 1, 5.0), ("s", 1, 0, 3.0)], "scan STRING, frame BIGINT, rotary_idx INT, amp DOUBLE")
+    rows = projections.resample_axial(cells.withColumn("pitch", F.lit(0.45)), ["scan"], "pitch", "amp").collect()
+    assert {(r.frame, r.rotary_idx) for r in rows} == {(0, 0), (0, 1), (1, 0), (1, 1), (2, 0)}  # frame 2 only draws on a frame without position 1
+    assert {r.amp for r in rows if r.rotary_idx == 1} == {5.0}

@@ -340,24 +340,35 @@ def class_counts(boxes: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def tiles(images: DataFrame, keys: list[str], height: str, width: str, size: int, step: int) -> DataFrame:
-    """Overlapping square tiles of each image with their origin."""
-    last_y, last_x = F.col(height) - size, F.col(width) - size
-    fits = images.where((last_y >= 0) & (last_x >= 0))
-    grid = fits.select(*keys, F.explode(F.sequence(F.lit(0), last_y, F.lit(step))).alias("tile_y"), last_x.alias("_lx"))
-    return grid.select(*keys, "tile_y", F.explode(F.sequence(F.lit(0), "_lx", F.lit(step))).alias("tile_x"))
+    """Origins of overlapping square tiles that cover each image.
+
+    Tiles start at multiples of ``step``; a last one is flush with the edge. An image shorter than a tile
+    has one tile along that side, which ends with the image.
+    """
+
+    def origins(extent: str):
+        last = F.greatest(F.col(extent) - size, F.lit(0))
+        return F.array_union(F.sequence(F.lit(0).cast("bigint"), last.cast("bigint"), F.lit(step).cast("bigint")), F.array(last.cast("bigint")))
+
+    grid = images.select(*keys, F.explode(origins(height)).alias("tile_y"), origins(width).alias("_x"))
+    return grid.select(*keys, "tile_y", F.explode("_x").alias("tile_x"))
 
 
 def boxes_on_tiles(boxes: DataFrame, keys: list[str], size: int, step: int) -> DataFrame:
     """Boxes cut to every tile they touch and moved to tile coordinates.
 
     Tiles start at multiples of ``step``, so the tiles of a box are computed, not searched. ``last_x``
-    and ``last_y`` are the largest tile origins of the image.
+    and ``last_y`` are the largest tile origins of the image (0 for an image shorter than a tile); the
+    tile there is flush with the edge.
     """
 
     def origins(start: str, end: str, last: str):
         first = F.greatest(F.floor((F.col(start) - size) / step) + 1, F.lit(0)) * step
         final = F.least(F.floor(F.col(end) / step) * step, F.floor(F.col(last) / step) * step)
-        return F.when(final >= first, F.sequence(first, final, F.lit(step).cast("bigint"))).otherwise(F.array().cast("array<bigint>"))
+        none = F.array().cast("array<bigint>")
+        inner = F.when(final >= first, F.sequence(first, final, F.lit(step).cast("bigint"))).otherwise(none)
+        flush = F.when((F.col(end) >= F.col(last)) & (F.col(start) < F.col(last) + size), F.array(F.col(last).cast("bigint"))).otherwise(none)
+        return F.array_union(inner, flush)
 
     spread = boxes.withColumn("tile_y", F.explode(origins("y1", "y2", "last_y"))).withColumn("tile_x", F.explode(origins("x1", "x2", "last_x")))
     cut = {

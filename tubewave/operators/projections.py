@@ -135,7 +135,7 @@ def normalise(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame
 def resample_axial(cmap: DataFrame, keys: list[str], pitch: str, value: str, target_mm: float = 0.3) -> DataFrame:
     """Map rows moved to another axial pitch, linear between the two nearest source frames.
 
-    Pixel centres are aligned, ends repeat the outermost frame. ``cmap`` has one row per key, frame and
+    A position that only one of the two frames has takes the value of that one. Pixel centres are aligned, ends repeat the outermost frame. ``cmap`` has one row per key, frame and
     rotary position, frames counted from 0; every source frame is sent to the few targets it feeds.
     """
     length = cmap.groupBy(*keys).agg((F.max("frame") + 1).alias("_n"), F.max(pitch).alias("_pitch"))
@@ -152,9 +152,9 @@ def resample_axial(cmap: DataFrame, keys: list[str], pitch: str, value: str, tar
     plan = placed.select(*keys, "_t", F.explode(feeds).alias("f")).select(*keys, "_t", "f.frame", "f.weight")
     joined = cmap.join(plan, [*keys, "frame"])
     blended = joined.groupBy(*keys, F.col("_t").alias("frame"), "rotary_idx").agg(
-        F.sum(F.col(value) * F.col("weight")).alias(value), F.count(F.lit(1)).alias("_parts")
+        F.when(F.count(F.lit(1)) == 2, F.sum(F.col(value) * F.col("weight"))).otherwise(F.max(value)).alias(value)
     )
-    return blended.where("_parts = 2").drop("_parts")
+    return blended
 
 
 def widened_rotary(start: Column, end: Column, size: Column) -> tuple[Column, Column]:

@@ -32,12 +32,15 @@ def detect_on_maps(maps: DataFrame, value: str, make_detector: Callable[[], Dete
     """Flaws on a map of each scan and probe, as inclusive frame and rotary ranges.
 
     A map has one value per position of a scan; scans longer than the instrument's range are split before.
+    Every frame is part of the map: values stand at their rotary position, positions without one are 0.
     """
+    keys = ["scan_id", "probe"]
     scaled = pj.normalise(maps, ["scan_id", "probe"], value, "pixel").withColumn("pixel", F.coalesce("pixel", F.lit(0.0)))
-    turn = F.sort_array(F.collect_list(F.struct("rotary_idx", "pixel")))
-    lines = scaled.groupBy(*FRAME).agg(F.transform(turn, lambda e: e["pixel"]).alias("line"))
-    widths = lines.groupBy("scan_id", "probe").agg(F.max(F.size("line")).alias("_w"))
-    whole = lines.join(widths, ["scan_id", "probe"]).where(F.size("line") == F.col("_w"))
+    reach = scaled.groupBy(*keys).agg(F.min("rotary_idx").alias("_first"), F.max("rotary_idx").alias("_last"))
+    places = scaled.select(*FRAME).distinct().join(reach, keys).select(*FRAME, F.explode(F.sequence("_first", "_last")).alias("rotary_idx"))
+    filled = places.join(scaled.select(*FRAME, "rotary_idx", "pixel"), [*FRAME, "rotary_idx"], "left")
+    turn = F.sort_array(F.collect_list(F.struct("rotary_idx", F.coalesce("pixel", F.lit(0.0)).alias("pixel"))))
+    whole = filled.groupBy(*FRAME).agg(F.transform(turn, lambda e: e["pixel"]).alias("line"))
     images = scoring.frame_images(whole, ["scan_id", "probe"], "frame", "line")
     rows = whole.select(*FRAME, F.row_number().over(_frames_of_scan()).alias("_row"))
     boxes = scoring.score_images(images, ["scan_id", "probe"], make_detector, classes, size)
@@ -47,10 +50,10 @@ def detect_on_maps(maps: DataFrame, value: str, make_detector: Callable[[], Dete
     )
     top = rows.select("scan_id", "probe", (F.col("_row") - 1).alias("_top"), F.col("frame").alias("frame_start"))
     bottom = rows.select("scan_id", "probe", (F.col("_row") - 1).alias("_bottom"), F.col("frame").alias("frame_end"))
-    placed = corners.join(top, ["scan_id", "probe", "_top"]).join(bottom, ["scan_id", "probe", "_bottom"])
+    placed = corners.join(top, ["scan_id", "probe", "_top"]).join(bottom, ["scan_id", "probe", "_bottom"]).join(reach, keys)
     return placed.select(
         "scan_id", "probe", F.concat_ws("-", "probe", "cls", F.col("box_no").cast("string")).alias("flaw_id"), F.col("cls").alias("flaw_type"),
-        F.col("conf").alias("confidence"), "frame_start", "frame_end", "rotary_start", "rotary_end",
+        F.col("conf").alias("confidence"), "frame_start", "frame_end", (F.col("_first") + F.col("rotary_start")).alias("rotary_start"), (F.col("_first") + F.col("rotary_end")).alias("rotary_end"),
     )
 
 

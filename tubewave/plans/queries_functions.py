@@ -33,7 +33,7 @@ def measure_texts(spark, sf_dir):
 CATEGORY_DEPTHS_SQL = """SELECT scan_id, ind_num,
   CASE WHEN substr(ind_num, 1, 1) = '1' THEN NULL ELSE [depth_text, CASE WHEN substr(ind_num, 1, 1) = '2' THEN '0.05 (2)' ELSE '0.07' END] END AS vals,
   CASE WHEN substr(ind_num, 1, 1) = '1' THEN NULL ELSE ['CC', 'Debris'] END AS names
-FROM predicted WHERE depth_text IS NOT NULL AND depth_text <> 'nan (2)'"""
+FROM predicted"""
 
 
 @query(
@@ -46,7 +46,7 @@ SELECT scan_id, ind_num,
        WHEN TRY_CAST(split_part(vals[1], ' ', 1) AS DOUBLE) < 0.1 AND TRY_CAST(split_part(vals[2], ' ', 1) AS DOUBLE) < 0.1
        THEN CASE WHEN contains(vals[1], '(2)') OR contains(vals[2], '(2)') THEN '< 0.1 (1)(2)' ELSE '< 0.1 (1)' END
        ELSE 'see possible category flaw depth' END AS depth_out,
-  CASE WHEN vals IS NULL THEN NULL ELSE names[1] || ': ' || vals[1] || '. ' || names[2] || ': ' || vals[2] || '.' END AS sentence
+  CASE WHEN vals IS NULL THEN NULL ELSE concat_ws(' ', names[1] || ': ' || vals[1] || '.', names[2] || ': ' || vals[2] || '.') END AS sentence
 FROM c""",
     ),
 )
@@ -58,7 +58,7 @@ def category_depth_text(spark, sf_dir):
             F.lit("CC"), F.col("depth_text"), F.lit("Debris"), F.when(first == "2", "0.05 (2)").otherwise("0.07")
         ),
     )
-    rows = predicted(spark, sf_dir).where("depth_text IS NOT NULL AND depth_text <> 'nan (2)'")
+    rows = predicted(spark, sf_dir)
     return rows.select(
         "scan_id", "ind_num", text.category_depth_text(depths).alias("depth_out"), text.map_sentence(depths).alias("sentence")
     )

@@ -195,14 +195,14 @@ def boxes_on_tiles(spark, sf_dir):
     "tile_origins_x12",
     with_tables(
         "scans",
-        """, i AS (SELECT scan_id, 300 + scan_unit * 40 AS h, 500 + scan_unit * 10 AS w FROM scans),
-t AS (SELECT scan_id, unnest(range(0, h - 256 + 1, 128)) AS tile_y, w FROM i)
-SELECT scan_id, tile_y, unnest(range(0, w - 256 + 1, 128)) AS tile_x FROM t""",
+        """, i AS (SELECT scan_id, 200 + scan_unit * 40 AS h, 500 + scan_unit * 10 AS w FROM scans),
+t AS (SELECT scan_id, unnest(list_distinct(list_append(range(0, greatest(h - 256, 0) + 1, 128), greatest(h - 256, 0)))) AS tile_y, w FROM i)
+SELECT scan_id, tile_y, unnest(list_distinct(list_append(range(0, greatest(w - 256, 0) + 1, 128), greatest(w - 256, 0)))) AS tile_x FROM t""",
     ),
 )
 def tile_origins(spark, sf_dir):
     images = fx.scans(spark, sf_dir).select(
-        "scan_id", (300 + F.col("scan_unit") * 40).cast("bigint").alias("h"), (500 + F.col("scan_unit") * 10).cast("bigint").alias("w")
+        "scan_id", (200 + F.col("scan_unit") * 40).cast("bigint").alias("h"), (500 + F.col("scan_unit") * 10).cast("bigint").alias("w")
     )
     return merging.tiles(images, ["scan_id"], "h", "w", 256, 128)
 

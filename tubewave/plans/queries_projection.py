@@ -293,8 +293,10 @@ n AS (SELECT scan_id, max(frame) + 1 AS n FROM f GROUP BY 1),
 t AS (SELECT scan_id, n, unnest(range(CAST(round_even(n * 0.5 / 0.3, 0) AS BIGINT))) AS t, CAST(round_even(n * 0.5 / 0.3, 0) AS BIGINT) AS mm FROM n),
 p AS (SELECT *, greatest(least((t + 0.5) * n / mm - 0.5, n - 1.0), 0.0) AS pos FROM t),
 q AS (SELECT scan_id, t, CAST(floor(pos) AS BIGINT) AS lo, least(CAST(floor(pos) AS BIGINT) + 1, n - 1) AS hi, pos - floor(pos) AS share FROM p)
-SELECT q.scan_id, q.t AS frame, a.rotary_idx, round(a.amp * (1 - share) + b.amp * share, 4) AS amp FROM q
-JOIN f a ON a.scan_id = q.scan_id AND a.frame = lo JOIN f b ON b.scan_id = q.scan_id AND b.frame = hi AND b.rotary_idx = a.rotary_idx""",
+SELECT g.scan_id, g.t AS frame, g.rotary_idx, round(coalesce(a.amp * (1 - share) + b.amp * share, a.amp, b.amp), 4) AS amp
+FROM (SELECT DISTINCT q.*, f.rotary_idx FROM q JOIN f ON f.scan_id = q.scan_id AND f.frame IN (lo, hi)) g
+LEFT JOIN f a ON a.scan_id = g.scan_id AND a.frame = lo AND a.rotary_idx = g.rotary_idx
+LEFT JOIN f b ON b.scan_id = g.scan_id AND b.frame = hi AND b.rotary_idx = g.rotary_idx""",
     ),
 )
 def resampled_map(spark, sf_dir):

@@ -93,14 +93,14 @@ def adjusted_labels(spark, sf_dir):
     with_tables(
         "cells",
         """, p AS (SELECT scan_id, frame, rotary_idx, depth AS "ToF_flat", amp AS tof FROM cells WHERE flaw_id IN ('click', 'view')),
-b AS (SELECT scan_id, frame, rotary_idx, depth AS "ToF_flat", amp AS tof FROM cells WHERE flaw_id = 'error')
+b AS (SELECT scan_id, frame, rotary_idx, depth AS "ToF_flat", amp AS tof FROM cells WHERE flaw_id NOT IN ('click', 'view'))
 SELECT * FROM p UNION ALL SELECT * FROM b WHERE scan_id NOT IN (SELECT scan_id FROM p)""",
     ),
 )
 def cached_maps(spark, sf_dir):
     rows = fx.cells(spark, sf_dir).select("scan_id", "flaw_id", "frame", "rotary_idx", F.col("depth").alias("tof_flat"), F.col("amp").alias("ToF"))
     primary = rows.where(F.col("flaw_id").isin("click", "view")).drop("flaw_id")
-    return tables.with_backup(primary, rows.where("flaw_id = 'error'").drop("flaw_id"))
+    return tables.with_backup(primary, rows.where("flaw_id NOT IN ('click', 'view')").drop("flaw_id"))
 
 
 @query(
@@ -397,9 +397,10 @@ def upsert_scans(spark, sf_dir):
 
 @query(
     "rejects_u9",
-    with_tables("predicted", "SELECT scan_id, ind_num, 'depth is not a number' AS error FROM predicted WHERE depth_text IS NOT NULL AND TRY_CAST(depth_text AS DOUBLE) IS NULL"),
+    with_tables("predicted", "SELECT scan_id, ind_num, CASE WHEN depth_text IS NULL THEN 'depth is missing' ELSE 'depth is not a number' END AS error FROM predicted WHERE TRY_CAST(depth_text AS DOUBLE) IS NULL"),
 )
 def rejects(spark, sf_dir):
     number = F.col("depth_text").try_cast("double")
-    rows = fx.predicted(spark, sf_dir).where("depth_text IS NOT NULL").select("scan_id", "ind_num", F.when(number.isNull(), "depth is not a number").alias("error"))
+    error = F.when(F.col("depth_text").isNull(), "depth is missing").when(number.isNull(), "depth is not a number")
+    rows = fx.predicted(spark, sf_dir).select("scan_id", "ind_num", error.alias("error"))
     return store.split_failures(rows)[1]
