@@ -46,19 +46,8 @@ SELECT scan_id, probe, frame, rotary_idx, CAST(peak AS INTEGER) AS peak_index, d
     ),
 )
 def strongest_echo(spark, sf_dir):
-    """The single-echo case as plain expressions."""
-    width, limit = 10, 10
-    dev = F.transform("samples", lambda x: F.abs(x - 128))
-    rows = fx.ascans(spark, sf_dir).withColumn("dev", dev).withColumn("p0", sm.first_argmax(F.col("dev")))
-    lo, hi = F.greatest(F.col("p0") - width, F.lit(0)), F.least(F.col("p0") + width, F.size("samples") - 1)
-    around = F.reverse(F.slice("samples", lo + 2, hi - lo))
-    rows = rows.withColumn("peak_index", (hi + 1 - F.array_position(around, F.array_max(around))).cast("int"))
-    start, stop = F.greatest(F.col("peak_index") - width, F.lit(0)), F.least(F.col("peak_index") + width, F.size("samples") - 1)
-    span = F.slice("dev", start + 1, stop - start)
-    value = F.get("dev", F.col("peak_index"))
-    return rows.where(value >= limit).select(
-        *KEYS, "peak_index", value.alias("peak_value"), start.alias("start"), stop.alias("stop"), F.round(sm.total(span) / F.size(span), 4).alias("avg")
-    )
+    found = signal.detect_echoes(fx.ascans(spark, sf_dir), 1, 10, 20).select(*KEYS, F.explode("echoes").alias("e"))
+    return found.select(*KEYS, F.col("e.peak_index").cast("int").alias("peak_index"), F.col("e.peak_value").cast("bigint").alias("peak_value"), F.col("e.start").cast("int").alias("start"), F.col("e.stop").cast("int").alias("stop"), F.round(F.col("e.avg").cast("double"), 4).alias("avg"))
 
 
 @query("echo_candidates_x1_x2")
