@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +43,14 @@ def minimisers(words: list[bytes], window: int = WINDOW, size: int = MINIMISER)
     return low[edges[:-1]].view(np.int64), edges[:-1], np.diff(edges)
 
 
+def _runs(places: list[int]) -> list[tuple[int, int]]:
+    """Rising numbers as runs: the first of neighbours and how many there are."""
+    if not places:
+        return []
+    edges = [0, *(k for k in range(1, len(places)) if places[k] != places[k - 1] + 1), len(places)]
+    return [(places[a], b - a) for a, b in pairwise(edges)]
+
+
 def _order(key: Column) -> Column:
     """NULL keys come after all others."""
     return F.struct(key.isNull().alias("none"), key.alias("key"))
@@ -61,7 +71,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
     2. Each text names the minimisers of its runs of windows (super-k-mers). Only those of two or more texts go on.
     3. Such super-k-mers travel as packed words to the bucket of their minimiser, where their windows are sorted and equal
        ones told apart from all others word by word. A minimiser with more than ``BUCKET_WINDOWS`` windows has no bucket: its
-       windows are compared by 128-bit digest in an aggregate and a join, however many documents share them.
+       windows are compared by 128-bit digest in an aggregate and a join, in which pieces of rows ask once for each window,
+       however many documents share it.
     """
     new = [part.split()[0] for part in ADDED.split(", ")]
     for name in new:
@@ -95,22 +106,33 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
     held = held.select("row", "first", "text", "wanted")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 1 << 19):
+        """Light super-k-mers with their words; heavy ones with the digests of their windows, and once in a piece of rows
+        (about 1 MB of text) each window with the smallest and largest key that showed it."""
+        schema = pa.schema([("piece", pa.int64()), ("row", pa.int64()), ("first", first_type), ("last", first_type), ("minimiser", pa.int64()), ("start", pa.int32()), ("packed", pa.binary()), ("digest", pa.binary())])
+        part = TaskContext.get().partitionId() << 24
+        for number, batch in enumerate(slices(batches, "text", 1 << 20)):
+            piece, firsts = part + number, batch.column("first").to_pylist()
+            order = sorted(range(len(firsts)), key=lambda k: (firsts[k]["none"], firsts[k]["key"]))
+            texts, wanted, rows = texts_of(batch, "text"), batch.column("wanted").to_pylist(), batch.column("row").to_pylist()
             out = []
-            for at, (body, wanted) in enumerate(zip(texts_of(batch, "text"), batch.column("wanted").to_pylist(), strict=True)):
-                words = body.split()
-                for run in wanted:
+            shown: dict[bytes, list] = {}
+            for at in order:
+                words, first = texts[at].split(), firsts[at]
+                for run in wanted[at]:
                     start, n = run["start"], run["windows"]
-                    if run["many"]:
-                        out += [(at, None, s, b"", xxhash.xxh3_128_digest(b" ".join(words[s : s + window]))) for s in range(start, start + n)]
-                    else:
-                        out.append((at, run["minimiser"], start, b" ".join(words[start : start + n + window - 1]), None))
-            taken = batch.select(["row", "first"]).take(pa.array([o[0] for o in out], pa.int64()))
-            kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([*taken.columns, *(pa.array([o[k + 1] for o in out], t) for k, t in enumerate(kinds))], ["row", "first", "minimiser", "start", "packed", "digest"])
-
-    first_kind = f"first struct<none: boolean, key: {kind}>"
-    pieces = cut_lineage(held.mapInArrow(cut, f"row long, {first_kind}, minimiser long, start int, packed binary, digest binary"), "packed-windows")
+                    if not run["many"]:
+                        out.append((None, rows[at], first, None, run["minimiser"], start, b" ".join(words[start : start + n + window - 1]), None))
+                        continue
+                    digests = [xxhash.xxh3_128_digest(b" ".join(words[k : k + window])) for k in range(start, start + n)]
+                    for digest in digests:
+                        shown.setdefault(digest, [first, None])[1] = first
+                    out.append((piece, rows[at], first, None, None, start, b"".join(digests), None))
+            out += [(piece, None, first, last, None, None, None, digest) for digest, (first, last) in shown.items()]
+            yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], f.type) for k, f in enumerate(schema)], schema=schema)
+
+    first_type = pa.struct([("none", pa.bool_()), ("key", lead.select("key").limit(0).toArrow().schema.field("key").type)])
+    first_kind = f"first struct<none: boolean, key: {kind}>, last struct<none: boolean, key: {kind}>"
+    pieces = cut_lineage(held.mapInArrow(cut, f"piece long, row long, {first_kind}, minimiser long, start int, packed binary, digest binary"), "packed-windows")
 
     def buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, held = None, []
@@ -135,9 +157,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
                     gone.setdefault(at, []).append(k)
             out = []
             for at, places in gone.items():
-                places = np.sort(np.array(places))
-                edges = np.concatenate(([0], np.flatnonzero(np.diff(places) > 1) + 1, [len(places)]))
-                out += [(held[at][1][0], held[at][1][1] + int(places[a]), int(b - a)) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+                out += [(held[at][1][0], held[at][1][1] + a, n) for a, n in _runs(sorted(places))]
             return out
 
         def out(rows: list[tuple[int, int, int]]) -> pa.RecordBatch:
@@ -157,11 +177,29 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
 
     light = pieces.where("minimiser IS NOT NULL").select("row", "first", "minimiser", "start", "packed")
     light = light.repartition("minimiser").sortWithinPartitions("minimiser", "first", "row", "start").mapInArrow(buckets, "row long, start int, windows int")
-    digests = pieces.where("digest IS NOT NULL").select("row", "first", "start", "digest")
-    earliest = digests.groupBy("digest").agg(F.min("first").alias("low"), F.max("first").alias("high")).where("low < high").select("digest", "low")
-    heavy = digests.join(earliest, "digest").where("low < first").select("row", "start", F.lit(1).alias("windows"))
-    gone = light.union(heavy).groupBy("row").agg(F.collect_list(F.struct("start", "windows")).alias("gone"))
-    fate = cut_lineage(holder.join(gone, "row", "left"), "repeats").withColumnRenamed("row", "of")
+    one = F.struct("start", "windows")
+    gone = light.groupBy("row").agg(F.collect_list(one).alias("light")).withColumnRenamed("row", "of")
+    # heavy: pieces of rows ask for the smallest key of each of their windows once, and look it up for all of their rows
+    windows = pieces.where("digest IS NOT NULL").select("piece", "first", "last", "digest")
+    earliest = windows.groupBy("digest").agg(F.min("first").alias("low"), F.max("last").alias("high")).where("low < high").select("digest", "low")
+    lows = windows.select(F.col("piece").alias("asking"), "digest").join(earliest, "digest")
+    members = pieces.where("piece IS NOT NULL AND row IS NOT NULL").select("piece", "row", "first", "start", "packed")
+
+    def look_up(asking: pa.Table, told: pa.Table) -> pa.Table:
+        order = lambda key: (key["none"], key["key"])
+        low = {d: order(k) for d, k in zip(told.column("digest").to_pylist(), told.column("low").to_pylist(), strict=True)}
+        out: list[tuple] = []
+        for own, first, start, packed in zip(*(asking.column(c).to_pylist() for c in ("row", "first", "start", "packed")), strict=True):
+            first = order(first)
+            gone = [k for k in range(len(packed) // 16) if (found := low.get(packed[16 * k : 16 * k + 16])) is not None and found < first]
+            out += [(own, start + a, n) for a, n in _runs(gone)]
+        return pa.table([pa.array([o[k] for o in out], t) for k, t in enumerate((pa.int64(), pa.int32(), pa.int32()))], ["row", "start", "windows"])
+
+    found = members.groupBy("piece").cogroup(lows.groupBy("asking")).applyInArrow(look_up, "row long, start int, windows int")
+    heavy = found.groupBy("row").agg(F.collect_list(one).alias("heavy")).withColumnRenamed("row", "of")
+    holder = holder.withColumnRenamed("row", "of").join(gone, "of", "left").join(heavy, "of", "left")
+    none = F.array().cast("array<struct<start: int, windows: int>>")
+    fate = cut_lineage(holder.select("of", "first", F.concat(F.coalesce("light", none), F.coalesce("heavy", none)).alias("gone")), "repeats")
 
     names = docs.columns
 
