@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 from tubewave.llm.components import union_find
 from tubewave.llm.decontaminate import Automaton, without_words, words_of
 from tubewave.llm.html_text import DEFAULT_WEIGHTS, main_text
-from tubewave.llm.jaccard import PrefixTree, least_overlap, prefix_size, shingles
+from tubewave.llm.jaccard import PrefixTree, class_parts, least_overlap, shingles, signatures, size_class
 from tubewave.llm.packing import Windows
 from tubewave.llm.substrings import minimisers
 from tubewave.llm.token_coder import decode_blocks, encode_blocks
@@ -67,7 +67,6 @@ def test_tree_joins_what_all_pairs_join(share):
                 if share[1] * both >= share[0] * (len(a) + len(b) - both):
                     unite(i, j)
                     assert both >= least_overlap(len(a), len(b), share)
-                    assert set(a[: prefix_size(len(a), share)]) & set(b[: prefix_size(len(b), share)])
         own_find, own_unite = union_find(len(sets))
         for i, j in PrefixTree(sets).links(share, list(range(len(sets)))):
             own_unite(i, j)
@@ -171,3 +170,24 @@ def test_checksums_are_of_little_endian_ids():
     path = public_tokenizers.path("word_bpe_49k.json")
     assert zlib.crc32(encoder(path, "dropped").encode([b"one"])[0]) == zlib.crc32(np.array(encoder(path, "whole").tokenizer.encode("one", add_special_tokens=False).ids, "<u4").tobytes())
     assert re.fullmatch(rb"(....)*", encoder(path, "dropped").encode([b"one two"])[0], re.S)
+
+
+@pytest.mark.parametrize("share", [(90, 100), (80, 100)])
+def test_similar_sets_have_a_signature_in_common(share):
+    rng = np.random.default_rng(6)
+    for n in [*range(1, 60), 100, 300, 1000]:
+        for _ in range(20):
+            a = np.unique(rng.integers(0, 1 << 63, n, np.uint64) * np.uint64(2))
+            b = np.concatenate([a[rng.permutation(len(a))[: len(a) - rng.integers(0, n // 8 + 1)]], rng.integers(0, 1 << 63, rng.integers(0, n // 8 + 1), np.uint64)])
+            b = np.unique(b)
+            both = len(np.intersect1d(a, b))
+            if share[1] * both >= share[0] * (len(a) + len(b) - both):
+                assert set(signatures(a, share).tolist()) & set(signatures(b, share).tolist()), (n, len(a), len(b), both)
+
+
+def test_size_classes_follow_one_another():
+    for share in ((90, 100), (80, 100)):
+        for n in range(1, 3000):
+            number, last = size_class(n, share)
+            assert n <= last and size_class(last, share)[0] == number and size_class(n * share[1] // share[0], share)[0] <= number + 1
+            assert class_parts(last, share)[0] > 2 * last * (share[1] - share[0]) // (share[1] + share[0])

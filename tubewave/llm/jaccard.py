@@ -14,14 +14,12 @@ from ..session import cut_lineage
 from .common import slices, texts_of
 from .components import components, union_find
 
-#: Most shingles that are known to be common in every task: no more than that many can occur ``total / COMMON`` times.
-COMMON = 200_000
-#: Occurrences that a common shingle has at least.
-COMMON_TIMES = 16
 #: Sets that one prefix tree holds.
 TREE_SETS = 500
-#: Shingles of a task that are counted at a time, and words whose digests a worker remembers.
-COUNTED, REMEMBERED = 3_000_000, 300_000
+#: Words whose digests a worker remembers.
+REMEMBERED = 300_000
+#: A size class reaches so many times as far as sizes of similar sets can differ.
+CLASS_STEPS = 3
 
 _LOWER = bytes(c + 32 if 0x41 <= c <= 0x5A else c for c in range(256))
 _ODD = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB]
@@ -59,9 +57,53 @@ def least_overlap(a: int, b: int, share: tuple[int, int]) -> int:
     return -(-share[0] * (a + b) // (share[0] + share[1]))
 
 
-def prefix_size(n: int, share: tuple[int, int]) -> int:
-    """Of two sets in the same order that reach the share, these first elements have one in common."""
-    return n - -(-share[0] * n // share[1]) + 1
+def size_class(n: int, share: tuple[int, int]) -> tuple[int, int]:
+    """Number and largest size of the class of ``n``; a set of one class can only reach the share with one of the next."""
+    number, last = 0, 0
+    while True:
+        first = last + 1
+        last = first
+        for _ in range(CLASS_STEPS):
+            last = last * share[1] // share[0]
+        if n <= last:
+            return number, last
+        number += 1
+
+
+def class_parts(last: int, share: tuple[int, int]) -> tuple[int, int]:
+    """Parts into which sets of a class are cut, and how many of a set's parts may be empty without further ado.
+
+    Sets that reach the share differ in ``2 last (1 - t) / (1 + t)`` elements at most, so all parts but that many are equal.
+    """
+    most = 2 * last * (share[1] - share[0]) // (share[1] + share[0])
+    spare = most // 8
+    return most + 1 + spare, spare
+
+
+def signatures(own: np.ndarray, share: tuple[int, int]) -> np.ndarray:
+    """Digests of the parts of a sorted set, for its size class and, where a similar set can be in it, the next one.
+
+    Two sets that reach the share have a digest in common: of their equal parts at least one is not empty, unless both have
+    more empty parts than are spared, and then their empty parts have digests, too.
+    """
+    out = []
+    number, last = size_class(len(own), share)
+    schemes = [(number, last)]
+    if len(own) * share[1] // share[0] > last:
+        schemes.append(size_class(last + 1, share))
+    for scheme, reach in schemes:
+        parts, spare = class_parts(reach, share)
+        at = ((own >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+        starts = np.concatenate(([0], np.flatnonzero(at[1:] != at[:-1]) + 1))
+        sums = np.add.reduceat((own ^ (own >> np.uint64(29))) * np.uint64(_ODD[2]), starts)
+        named = at[starts]
+        if parts - len(named) > spare:
+            empty = np.setdiff1d(np.arange(parts), named)
+            named, sums = np.concatenate([named, empty]), np.concatenate([sums, np.zeros(len(empty), np.uint64)])
+        mixed = sums + named.astype(np.uint64) * np.uint64(_ODD[3]) + np.uint64((scheme + 1) * _ODD[5] % (1 << 64))
+        mixed ^= mixed >> np.uint64(32)
+        out.append(mixed * np.uint64(_ODD[1]))
+    return np.concatenate(out)
 
 
 class PrefixTree:
@@ -171,10 +213,10 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text",
     ``component_id`` is the smallest key reachable by links. NULL and empty texts have no shingles and link with nothing, so
     their component is their own key. NULL keys count as keys larger than all; repeated rows and copies link like any other.
 
-    1. Rows with the same word sequence are one set (64-bit digest). Shingles met twice within a task are counted over all
-       tasks; the commonest go last in the order of elements, so that a passage of many documents stays out of prefixes.
-    2. Sets that share an element of their prefixes are candidates. Each prefix element links its sets to the smallest of
-       them, which is linear; the components of these links are clusters outside of which no set can have a partner.
+    1. Rows with the same word sequence are one set (64-bit digest).
+    2. Sets are cut into parts by the range of their elements, more parts than similar sets can differ in, so similar sets
+       have an equal part. Each part's digest links its sets to the smallest of them, which is linear; the components of
+       these links are clusters outside of which no set can have a partner.
     3. A cluster is dealt to trees of at most ``TREE_SETS`` sets, the smallest set being in each. Where a cluster has several
        trees and is not in one piece yet, the sets outside its largest piece meet every tree, again in groups of that size.
     """
@@ -182,60 +224,25 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text",
     kind = lead.schema["key"].dataType.simpleString()
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting, seen, held = [], set(), 0
-
-        def common() -> pa.RecordBatch:
-            tokens, times = np.unique(np.concatenate(waiting), return_counts=True)
-            return _batch(["token", "times"], [tokens[times > 1].view(np.int64), times[times > 1]], read_schema)
-
         for batch in slices(batches, "text"):
-            uids, sizes = [], []
+            seen: set[int] = set()
+            uids, sizes, digests = [], [], []
             for body in texts_of(batch, "text"):
                 uid, own = shingles(body, size)
                 uids.append(uid if len(own) else None)
                 sizes.append(len(own))
-                if len(own) and uid not in seen:
-                    seen.add(uid)
-                    waiting.append(own)
-                    held += len(own)
-            yield _batch(["key", "row", "uid", "n"], [batch.column("key"), batch.column("row"), pa.array(uids, pa.int64()), pa.array(sizes, pa.int64())], read_schema)
-            if held > COUNTED:
-                yield common()
-                waiting, seen, held = [], set(), 0
-        if waiting:
-            yield common()
-
-    probe = lead.select("key").limit(0).toArrow().schema.field("key").type
-    read_schema = pa.schema([("key", probe), ("row", pa.int64()), ("uid", pa.int64()), ("n", pa.int64()), ("token", pa.int64()), ("times", pa.int64())])
-    known = cut_lineage(lead.mapInArrow(read, f"key {kind}, row long, uid long, n long, token long, times long"), "shingles")
-    rows = known.where("token IS NULL").select("key", "row", "uid", "n")
-
-    total = rows.agg(F.sum("n")).first()[0] or 0
-    least = max(COMMON_TIMES, -(-total // COMMON))
-    common = known.where("token IS NOT NULL").groupBy("token").agg(F.sum("times").alias("times")).where(F.col("times") >= least)
-    found = common.orderBy("times", "token").select("token").toPandas()["token"].to_numpy(np.int64).view(np.uint64)  # COMMON at most
-    shared = docs.sparkSession.sparkContext.broadcast((np.sort(found), np.argsort(found).astype(np.int32)))
-
-    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, places = shared.value
-        for batch in slices(batches, "text"):
-            out, seen = [], set()
-            for body in texts_of(batch, "text"):
-                uid, own = shingles(body, size)
-                if not len(own) or uid in seen:
-                    continue
+                fresh = len(own) and uid not in seen
                 seen.add(uid)
-                at = np.minimum(np.searchsorted(tokens, own), max(len(tokens) - 1, 0))
-                late = np.where(tokens[at] == own, places[at] + 1, 0) if len(tokens) else np.zeros(len(own), np.int32)
-                first = np.lexsort((own, late))[: prefix_size(len(own), share)]
-                out.append((uid, own[first]))
-            if out:
-                uids = np.repeat(np.array([u for u, _ in out], np.int64), [len(t) for _, t in out])
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([t for _, t in out]).view(np.int64)), pa.array(uids)], ["token", "uid"])
-
-    prefix = cut_lineage(lead.select("text").mapInArrow(prefixes, "token long, uid long"), "prefixes")
-    smallest = prefix.groupBy("token").agg(F.min("uid").alias("low"), F.max("uid").alias("high")).where("low < high").select("token", "low")
-    stars = prefix.join(smallest, "token").where("uid <> low").select(F.col("low").alias("a"), F.col("uid").alias("b")).distinct()
+                digests.append(signatures(own, share).view(np.int64) if fresh else np.zeros(0, np.int64))
+            offsets = pa.array(np.cumsum([0, *map(len, digests)]).astype(np.int32))
+            lists = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(digests)))
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("row"), pa.array(uids, pa.int64()), pa.array(sizes, pa.int64()), lists], ["key", "row", "uid", "n", "parts"])
+
+    known = cut_lineage(lead.mapInArrow(read, f"key {kind}, row long, uid long, n long, parts array<long>"), "shingles")
+    rows = known.select("key", "row", "uid", "n")
+    parts = known.where("size(parts) > 0").select("uid", F.explode("parts").alias("token"))
+    smallest = parts.groupBy("token").agg(F.min("uid").alias("low"), F.max("uid").alias("high")).where("low < high").select("token", "low")
+    stars = parts.join(smallest, "token").where("uid <> low").select(F.col("low").alias("a"), F.col("uid").alias("b")).distinct()
     clusters = components(stars).withColumnRenamed("node", "uid").withColumnRenamed("component", "cluster")
 
     counts = clusters.groupBy("cluster").agg(F.count("*").alias("members"))
@@ -245,19 +252,9 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text",
     chosen = rows.where("uid IS NOT NULL").groupBy("uid").agg(F.min(F.struct("row", "key")).alias("one")).select("uid", "one.row", F.col("one.key").alias("key"))
     chosen = cut_lineage(chosen.join(dealt, "uid"), "members")
 
-    def tokens_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            own = pa.array([shingles(body, size)[1].tobytes() for body in texts_of(batch, "text")], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("uid"), own], ["uid", "tokens"])
-
-    same = (lead["row"] == chosen["row"]) & lead["key"].eqNullSafe(chosen["key"])
-    sets = lead.join(chosen, same).select(chosen["uid"], lead["text"]).mapInArrow(tokens_of, "uid long, tokens binary")
-
     # the cluster's smallest set goes to all of its trees
     places = chosen.select("uid", "cluster", F.expr("explode(if(uid = cluster, sequence(0, trees - 1), array(tree)))").alias("tree"))
-    placed = places.withColumn("part", F.lit(0)).withColumn("joined", F.col("uid"))
-    sets = cut_lineage(sets.join(chosen.select("uid"), "uid", "left_semi"), "sets")
-    links = cut_lineage(_tree_links(sets.join(placed, "uid"), share), "tree-links")
+    links = cut_lineage(_tree_links(lead, chosen, places.withColumn("part", F.lit(0)).withColumn("joined", F.col("uid")), size, share), "tree-links")
 
     several = chosen.where("trees > 1").select("uid", "cluster", "tree", "trees")
     if not several.isEmpty():
@@ -270,7 +267,7 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text",
         state = state.join(outside, "cluster").withColumn("parts", F.ceil(F.col("outside") / TREE_SETS).cast("int"))
         home = state.select("uid", "cluster", "tree", F.expr("explode(sequence(0, parts - 1))").alias("part"), "joined")
         foreign = state.where("joined <> top").select("uid", "cluster", F.expr("explode(sequence(0, trees - 1))").alias("tree"), F.pmod(F.xxhash64("uid", F.lit(7)), F.col("parts")).cast("int").alias("part"), "joined")
-        links = links.union(_tree_links(sets.join(home.union(foreign), "uid"), share))
+        links = links.union(_tree_links(lead, chosen, home.union(foreign), size, share))
 
     joined = components(links).withColumnRenamed("node", "uid")
     named = rows.join(joined, "uid", "left").withColumn("class", F.coalesce("component", "uid"))
@@ -279,41 +276,41 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text",
     return named.join(low, "class", "left").select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("low", "key").alias("component_id"))
 
 
-def _batch(names: list[str], columns: list, schema: pa.Schema) -> pa.RecordBatch:
-    given = dict(zip(names, columns, strict=True))
-    n = len(columns[0])
-    return pa.RecordBatch.from_arrays([pa.array(given[f.name], f.type) if f.name in given and not isinstance(given[f.name], pa.Array) else given.get(f.name, pa.nulls(n, f.type)) for f in schema], schema=schema)
-
+def _tree_links(lead: DataFrame, chosen: DataFrame, places: DataFrame, size: int, share: tuple[int, int]) -> DataFrame:
+    """Links ``a, b`` found by trees, one for each ``cluster, tree, part`` of ``places``, of the sets that ``chosen`` rows hold.
 
-def _tree_links(placed: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """Links ``a, b`` found by the trees of ``uid, tokens, cluster, tree, part, joined``, one tree for each cluster, tree and part."""
+    The text travels, because it is smaller than its digests; the tree's task makes the set.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group: tuple | None = None
-        held: dict[int, tuple[bytes, int]] = {}
+        held: dict[int, tuple[np.ndarray, int]] = {}
 
         def links() -> list[tuple[int, int]]:
             uids = list(held)
             if len(uids) < 2:
                 return []
-            tree = PrefixTree([np.frombuffer(held[u][0], np.uint64) for u in uids])
+            tree = PrefixTree([held[u][0] for u in uids])
             return [(uids[i], uids[j]) for i, j in tree.links(share, [held[u][1] for u in uids])]
 
         def out(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], ["a", "b"])
 
-        for batch in batches:
+        for batch in slices(batches, "text"):
             found: list[tuple[int, int]] = []
-            columns = [batch.column(c).to_pylist() for c in ("cluster", "tree", "part", "uid", "tokens", "joined")]
-            for cluster, tree, part, uid, tokens, joined in zip(*columns, strict=True):
+            columns = [batch.column(c).to_pylist() for c in ("cluster", "tree", "part", "uid", "joined")]
+            for cluster, tree, part, uid, joined, body in zip(*columns, texts_of(batch, "text"), strict=True):
                 if (cluster, tree, part) != group:
                     found += links()
                     group, held = (cluster, tree, part), {}
-                held[uid] = (tokens, joined)
+                if uid not in held:
+                    held[uid] = (shingles(body, size)[1], joined)
             if found:
                 yield out(found)
         if found := links():
             yield out(found)
 
-    dealt = placed.select("cluster", "tree", "part", "uid", "tokens", "joined").repartition("cluster", "tree", "part").sortWithinPartitions("cluster", "tree", "part")
+    holders = chosen.select("uid", F.col("row").alias("of"), F.col("key").alias("holder")).join(places, "uid")
+    placed = lead.join(holders, (F.col("row") == F.col("of")) & F.col("key").eqNullSafe(F.col("holder")))
+    dealt = placed.select("cluster", "tree", "part", "uid", "text", "joined").repartition("cluster", "tree", "part").sortWithinPartitions("cluster", "tree", "part")
     return dealt.mapInArrow(run, "a long, b long").distinct()
