@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -11,14 +12,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .components import components, union_find
+from .components import components
 
 #: Dimensions of a block, and leading ones of a block by which it is dealt to cells.
-BLOCK, CELL_DIMENSIONS = 8, 2
+BLOCK, CELL_DIMENSIONS = 16, 2
 #: Vectors from which the rotation and the shares of the blocks are computed.
 ROTATION_ROWS = 5_000
-#: Vectors of one side of a tile.
-TILE = 1_000
+#: Vectors at home in a tile, which are held in memory, and vectors that visit it, which pass by.
+HOMES, VISITORS = 8_000, 40_000
+#: Visitors that are compared with all homes at a time.
+ABREAST = 512
 
 
 class Rotation:
@@ -54,6 +57,20 @@ def unit(vector) -> np.ndarray | None:
     return own / length if length > 0 else None
 
 
+def pack(vector) -> tuple[int, bytes] | None:
+    """Dimensions and bytes of a usable vector, in single precision if that loses nothing; None for one that has no unit."""
+    if unit(vector) is None:
+        return None
+    own = np.asarray(vector, np.float64)
+    single = own.astype(np.float32)
+    return len(own), (single if (single == own).all() else own).tobytes()
+
+
+def unpack(vectors: list[bytes], size: int) -> np.ndarray:
+    """Unit vectors, one a row, in double precision."""
+    return np.stack([unit(np.frombuffer(v, np.float32 if len(v) == 4 * size else np.float64)) for v in vectors]) if vectors else np.zeros((0, size))
+
+
 def near_vectors(table: DataFrame, key: str = "vec_id", vector: str = "embedding", cosine: float = 0.9) -> DataFrame:
     """``key, n_links, component_id, kept`` for every row of ``table``.
 
@@ -65,7 +82,7 @@ def near_vectors(table: DataFrame, key: str = "vec_id", vector: str = "embedding
     Vectors are scaled to length 1 and rotated to principal axes (fitted to at most ``ROTATION_ROWS`` rows, which changes
     speed only). If the cosine is reached, the squared distance is at most ``2 - 2 cosine``, so in one block at least it is
     within that block's share of it. Each block is range-joined by cells of its leading axes: a vector is at home in one
-    cell and visits those within its radius. Cells are dealt to tiles of at most ``TILE`` vectors a side. Candidates within
+    cell and visits those within its radius. Cells are dealt to tiles of ``HOMES`` and ``VISITORS``. Candidates within
     a block's budget are verified with all dimensions; a pair counts in its first such block only, so links are counted
     without being listed, and tiles give sums by vector and the links of a spanning forest.
     """
@@ -75,15 +92,15 @@ def near_vectors(table: DataFrame, key: str = "vec_id", vector: str = "embedding
 
     def scale(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [unit(v) for v in batch.column("vector").to_pylist()]
-            packed = [None if v is None else v.tobytes() for v in found]
+            found = [pack(v) for v in batch.column("vector").to_pylist()]
+            packed = [f and f[1] for f in found]
             # copies of a vector are told by its digest
             uids = [None if p is None else xxhash.xxh3_64_intdigest(p) - (1 << 63) for p in packed]
-            yield pa.RecordBatch.from_arrays([batch.column("key").cast(probe), pa.array(uids, pa.int64()), pa.array(packed, pa.binary())], ["key", "uid", "unit"])
+            yield pa.RecordBatch.from_arrays([batch.column("key").cast(probe), pa.array(uids, pa.int64()), pa.array([f and f[0] for f in found], pa.int32()), pa.array(packed, pa.binary())], ["key", "uid", "size", "vector"])
 
-    rows = cut_lineage(lead.mapInArrow(scale, f"key {kind}, uid long, unit binary"), "units")
-    distinct = cut_lineage(rows.where("uid IS NOT NULL").groupBy("uid").agg(F.first("unit").alias("unit"), F.count("*").alias("copies")), "distinct-vectors")
-    links = [_links_of(distinct.where(F.octet_length("unit") == size[0]), size[0] // 8, cosine) for size in distinct.select(F.octet_length("unit")).distinct().orderBy(F.octet_length("unit")).collect()]
+    rows = cut_lineage(lead.mapInArrow(scale, f"key {kind}, uid long, size int, vector binary"), "vectors")
+    distinct = cut_lineage(rows.where("uid IS NOT NULL").groupBy("uid").agg(F.first("size").alias("size"), F.first("vector").alias("vector"), F.count("*").alias("copies")), "distinct-vectors")
+    links = [_links_of(distinct.where(F.col("size") == r.size), r.size, cosine) for r in distinct.select("size").distinct().orderBy("size").collect()]
 
     named = rows.select("key", "uid").join(distinct.select("uid", "copies"), "uid", "left")
     if not links:
@@ -104,8 +121,8 @@ def _result(named: DataFrame, key: str) -> DataFrame:
 
 def _links_of(vectors: DataFrame, size: int, cosine: float) -> tuple[DataFrame, DataFrame]:
     """For distinct unit vectors of ``size`` dimensions: ``uid, links`` (linked rows of other vectors), and links ``a, b``."""
-    sample = vectors.orderBy("uid").limit(ROTATION_ROWS).select("unit").toPandas()["unit"]
-    rotation = Rotation(np.stack([np.frombuffer(u) for u in sample]))
+    sample = vectors.orderBy("uid").limit(ROTATION_ROWS).select("vector").toPandas()["vector"].tolist()
+    rotation = Rotation(unpack(sample, size))
     budget = max(2 - 2 * cosine, 0) * (1 + 1e-9) + 1e-12
     budgets = rotation.shares * budget
     shared = vectors.sparkSession.sparkContext.broadcast(rotation)
@@ -113,7 +130,7 @@ def _links_of(vectors: DataFrame, size: int, cosine: float) -> tuple[DataFrame,
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row for each block and cell that a vector lives in or visits."""
         for batch in batches:
-            own = np.stack([np.frombuffer(u) for u in batch.column("unit").to_pylist()]) if batch.num_rows else np.zeros((0, size))
+            own = unpack(batch.column("vector").to_pylist(), size)
             parts = []
             for number, block in enumerate(shared.value.blocks(own)):
                 radius = np.sqrt(budgets[number])
@@ -129,71 +146,101 @@ def _links_of(vectors: DataFrame, size: int, cosine: float) -> tuple[DataFrame,
             at, number, cell, home = (np.concatenate([p[k] for p in parts]) for k in range(4))
             yield pa.RecordBatch.from_arrays([batch.column("uid").take(pa.array(at)), pa.array(number.astype(np.int32)), pa.array(cell), pa.array(home.astype(bool))], ["uid", "block", "cell", "home"])
 
-    placed = cut_lineage(vectors.select("uid", "unit").mapInArrow(cells, "uid long, block int, cell long, home boolean"), "cells")
-    tiles = placed.groupBy("block", "cell").agg(F.ceil(F.sum(F.col("home").cast("int")) / TILE).cast("int").alias("homes"), F.ceil(F.count("*") / TILE).cast("int").alias("visits")).where("homes > 0")
+    placed = cut_lineage(vectors.select("uid", "vector").mapInArrow(cells, "uid long, block int, cell long, home boolean"), "cells")
+    tiles = placed.groupBy("block", "cell").agg(F.ceil(F.sum(F.col("home").cast("int")) / HOMES).cast("int").alias("homes"), F.ceil(F.count("*") / VISITORS).cast("int").alias("visits")).where("homes > 0")
     dealt = placed.join(tiles, ["block", "cell"])
     left = dealt.where("home").select("uid", "block", "cell", F.pmod(F.xxhash64("uid", "block"), F.col("homes")).cast("int").alias("row"), F.expr("explode(sequence(0, visits - 1))").alias("col"), F.lit(True).alias("home"))
     right = dealt.select("uid", "block", "cell", F.expr("explode(sequence(0, homes - 1))").alias("row"), F.pmod(F.xxhash64("uid", "block", F.lit(3)), F.col("visits")).cast("int").alias("col"), F.lit(False).alias("home"))
-    members = left.union(right).join(vectors, "uid")
+    members = left.union(right).join(vectors.drop("size"), "uid")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, held = None, []
-
-        def out() -> list[tuple]:
-            homes, guests = ([h for h in held if h[0] is side] for side in (True, False))
-            return _tile(homes, guests, group[0], shared.value, budgets, cosine) if homes and guests else []
-
-        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(3)], ["uid", "links", "other"])
-
+        tile, group = None, None
+        names = ("block", "cell", "row", "col")
         for batch in batches:
             rows: list[tuple] = []
-            names = ("block", "cell", "row", "col", "home", "uid", "unit", "copies")
-            for block, cell, row, col, *own in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
-                if (block, cell, row, col) != group:
-                    if held:
-                        rows += out()
-                    group, held = (block, cell, row, col), []
-                held.append(own)
+            keys = list(zip(*(batch.column(c).to_pylist() for c in (*names, "home")), strict=True))
+            edges = [0, *(k for k in range(1, len(keys)) if keys[k] != keys[k - 1]), len(keys)]
+            for start, stop in pairwise(edges):
+                *own, home = keys[start]
+                if own != group:
+                    rows += tile.result() if tile else []
+                    group, tile = own, _Tile(own[0], shared.value, budgets, cosine, size)
+                part = batch.slice(start, stop - start)
+                tile.add(home, *(part.column(c).to_pylist() for c in ("uid", "copies", "vector")))
             if rows:
-                yield batch_of(rows)
-        if held and (rows := out()):
-            yield batch_of(rows)
+                yield _link_batch(rows)
+        if tile and (rows := tile.result()):
+            yield _link_batch(rows)
 
     keys = ["block", "cell", "row", "col"]
-    found = cut_lineage(members.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(compare, "uid long, links long, other long"), "tiles")
+    found = members.select(*keys, "home", "uid", "copies", "vector").repartition(*keys).sortWithinPartitions(*keys, F.desc("home"))
+    found = cut_lineage(found.mapInArrow(compare, "uid long, links long, other long"), "tiles")
     return found.where("other IS NULL").select("uid", "links"), found.where("other IS NOT NULL").select(F.col("uid").alias("a"), F.col("other").alias("b"))
 
 
-def _tile(homes: list, guests: list, block: int, rotation: Rotation, budgets: np.ndarray, cosine: float) -> list[tuple]:
-    """Links of a tile that have their first block within budget here: sums by vector, and a spanning forest."""
-    ids = [np.array([h[1] for h in side], np.int64) for side in (homes, guests)]
-    units = [np.stack([np.frombuffer(h[2]) for h in side]) for side in (homes, guests)]
-    copies = [np.array([h[3] for h in side], np.int64) for side in (homes, guests)]
-    a, b = (rotation.blocks(u)[block] for u in units)
-    near = (a**2).sum(1)[:, None] + (b**2).sum(1)[None, :] - 2 * (a @ b.T) <= budgets[block] + 1e-9
-    # the vector with the smaller number is the one at home
-    i, j = np.nonzero(near & (ids[0][:, None] < ids[1][None, :]))
-    kept_i, kept_j = [], []
-    for s in range(0, len(i), 100_000):
-        pi, pj = i[s : s + 100_000], j[s : s + 100_000]
-        x, y = units[0][pi], units[1][pj]
-        linked = np.einsum("ij,ij->i", x, y) >= cosine
-        pi, pj, gap = pi[linked], pj[linked], x[linked] - y[linked]
-        within = np.stack([(part**2).sum(axis=1) <= own for part, own in zip(rotation.blocks(gap), budgets, strict=True)], axis=1) if len(gap) else np.zeros((0, len(budgets)), bool)
-        first = within.argmax(axis=1) == block
-        kept_i.append(pi[first])
-        kept_j.append(pj[first])
-    i, j = np.concatenate(kept_i or [np.zeros(0, np.int64)]), np.concatenate(kept_j or [np.zeros(0, np.int64)])
-    sums: dict[int, int] = {}
-    for own, others in ((ids[0][i], copies[1][j]), (ids[1][j], copies[0][i])):
-        for uid, n in zip(own.tolist(), others.tolist(), strict=True):
-            sums[uid] = sums.get(uid, 0) + n
-    place = {uid: k for k, uid in enumerate(sums)}
-    find, unite = union_find(len(place))
-    forest = []
-    for x, y in zip(ids[0][i].tolist(), ids[1][j].tolist(), strict=True):
-        if find(place[x]) != find(place[y]):
-            unite(place[x], place[y])
-            forest.append((x, None, y))
-    return [(uid, n, None) for uid, n in sums.items()] + forest
+def _link_batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(3)], ["uid", "links", "other"])
+
+
+class _Tile:
+    """Vectors at home in a cell, held, and visitors that pass by; counts links that have their first block within budget here."""
+
+    def __init__(self, block: int, rotation: Rotation, budgets: np.ndarray, cosine: float, size: int):
+        self.block, self.rotation, self.budgets, self.cosine, self.size = block, rotation, budgets, cosine, size
+        self.waiting: list[list] = [[], [], []]
+        self.homes: tuple | None = None
+        self.sums: dict[int, int] = {}
+        self.links: list[tuple[int, int]] = []
+        self.parent: dict[int, int] = {}
+
+    def add(self, home: bool, uids: list[int], copies: list[int], vectors: list[bytes]) -> None:
+        if home:
+            for own, new in zip(self.waiting, (uids, copies, vectors), strict=True):
+                own.extend(new)
+            return
+        if self.homes is None:
+            self.homes = self._read(*self.waiting)
+            self.waiting = [[], [], []]
+        for s in range(0, len(uids), ABREAST):
+            self._meet(*self._read(uids[s : s + ABREAST], copies[s : s + ABREAST], vectors[s : s + ABREAST]))
+
+    def _read(self, uids: list[int], copies: list[int], vectors: list[bytes]) -> tuple:
+        units = unpack(vectors, self.size)
+        own = units @ self.rotation.axes[self.block]
+        return np.array(uids, np.int64), np.array(copies, np.int64), units, own.astype(np.float32), ((own**2).sum(axis=1) / 2).astype(np.float32)
+
+    def _meet(self, uids: np.ndarray, copies: np.ndarray, units: np.ndarray, own: np.ndarray, half: np.ndarray) -> None:
+        ids, weights, others, block, halves = self.homes
+        # candidates: squared distance within budget, in single precision with slack
+        near = own @ block.T - halves >= (half - np.float32(self.budgets[self.block] / 2 + 1e-5))[:, None]
+        j, i = np.nonzero(near)
+        first = ids[i] < uids[j]  # of a pair the smaller number is the one at home
+        i, j = i[first], j[first]
+        for s in range(0, len(i), 50_000):
+            pi, pj = i[s : s + 50_000], j[s : s + 50_000]
+            x, y = others[pi], units[pj]
+            linked = np.einsum("ij,ij->i", x, y) >= self.cosine
+            pi, pj, gap = pi[linked], pj[linked], x[linked] - y[linked]
+            if not len(pi):
+                continue
+            within = np.stack([(part**2).sum(axis=1) <= own for part, own in zip(self.rotation.blocks(gap), self.budgets, strict=True)], axis=1)
+            here = within.argmax(axis=1) == self.block
+            pi, pj = pi[here], pj[here]
+            for a, b, n, m in zip(ids[pi].tolist(), uids[pj].tolist(), copies[pj].tolist(), weights[pi].tolist(), strict=True):
+                self.sums[a] = self.sums.get(a, 0) + n
+                self.sums[b] = self.sums.get(b, 0) + m
+                ra, rb = self._root(a), self._root(b)
+                if ra != rb:
+                    self.parent[max(ra, rb)] = min(ra, rb)
+                    self.links.append((a, b))
+
+    def _root(self, x: int) -> int:
+        parent = self.parent
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent.setdefault(parent[x], parent[x])
+            x = parent[x]
+        return x
+
+    def result(self) -> list[tuple]:
+        """Sums by vector, then a spanning forest of the links."""
+        return [(uid, n, None) for uid, n in self.sums.items()] + [(a, None, b) for a, b in self.links]
