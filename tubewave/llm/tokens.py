@@ -5,11 +5,12 @@ from __future__ import annotations
 import os
 import re
 from functools import lru_cache
+from itertools import chain, pairwise
 
 import numpy as np
 
 #: Most words that a Python worker remembers (about 0.2 kB each); the memory starts afresh beyond it.
-REMEMBERED_WORDS = 500_000
+REMEMBERED_WORDS = 1_200_000
 _TWO_SPACES = re.compile(r"\s\s")
 
 
@@ -39,16 +40,19 @@ class Encoder:
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         parts = [self.split(text) for text in texts]
-        missing = list(set().union(*parts).difference(self.known))
-        if len(self.known) + len(missing) > REMEMBERED_WORDS:
-            self.known.clear()
-            missing = list(set().union(*parts))
-        found = self.tokenizer.encode_batch([word.decode() for word in missing], add_special_tokens=False)
-        self.known.update(zip(missing, (np.array(one.ids, dtype="<u4").tobytes() for one in found), strict=True))
-        out = [b"".join(map(self.known.__getitem__, own)) for own in parts]
-        for word in missing:
+        known = self.known
+        if len(known) > REMEMBERED_WORDS:
+            known.clear()
+        fresh = list({word for own in parts for word in own if word not in known})
+        if fresh:
+            found = [one.ids for one in self.tokenizer.encode_batch_fast([word.decode() for word in fresh], add_special_tokens=False)]
+            flat = np.fromiter(chain.from_iterable(found), "<u4").tobytes()
+            ends = np.cumsum([4 * len(ids) for ids in found]).tolist()
+            known.update(zip(fresh, (flat[start:stop] for start, stop in pairwise([0, *ends])), strict=True))
+        out = [b"".join(map(known.__getitem__, own)) for own in parts]
+        for word in fresh:
             if len(word) > 64:
-                del self.known[word]
+                del known[word]
         return out
 
 
