@@ -168,7 +168,10 @@ def fit_weights(pages: DataFrame, page: str = "html", rows: int = TRAINING_PAGES
     A kind of token weighs the log of how much more often it is met inside than outside the labelled region; words stay
     positive and tags negative. Without labelled pages the default weights are returned.
     """
-    labelled = pages.select(page).where(F.lower(page).rlike("<(article|main)[ >]")).orderBy(F.xxhash64(page)).limit(rows)
+    marked = pages.select(F.col(page).alias(page), F.xxhash64(page).alias("_digest")).where(F.lower(page).rlike("<(article|main)[ >]"))
+    chosen = marked.select(F.col("_digest").alias("_chosen")).distinct().orderBy("_chosen").limit(rows)
+    found = marked.join(F.broadcast(chosen), F.col("_digest") == F.col("_chosen"))  # `rows` numbers at most
+    labelled = found.groupBy("_digest").agg(F.first(page).alias(page)).select(page)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, page):
