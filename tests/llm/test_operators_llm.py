@@ -106,6 +106,20 @@ def test_personal_data(spark, docs, none):
     assert re.fullmatch(r"email,(ip,)*ip", ",".join(s.kind for s in find_personal_data(long).first()["spans"]))
 
 
+def test_telling_terms_at_all_places(spark):
+    rows = [(0, "we saw zorander with zor@x.org there"), (1, "again zorander, zor@x.org and so on"), (2, "Zorander left. (ZORANDER) 7zorander"), (3, "talk of 王小明 wei@y.cn"), (4, "王小明")]
+    rows += [(10 + k, f"we saw with there again and so on talk of nothing left in text {k}") for k in range(2000)]
+    rows += [(9, rows[0][1])] * 3
+    found = {r.doc_id: r for r in sanitise(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
+    assert [(s.kind, s.start, s.end) for s in found[0].spans] == [("term", 7, 15), ("email", 21, 30)]
+    assert [(s.start, s.end) for s in found[2].spans] == [(0, 8), (16, 24), (27, 35)] and "zor" not in found[2].clean_text.lower()
+    assert [(s.kind, s.start, s.end) for s in found[4].spans] == [("term", 0, 3)] and found[10].spans == []
+    # words cut off by the ends of a context or of a piece, and values behind many pieces
+    long = "a " * 5000 + "Quimbly zed@q.org " + "b" * 101 + " Querty " + "c " * 50
+    spans = [r for r in sanitise(spark.createDataFrame([(0, long), *rows[5:1000]], "doc_id int, text string")).collect() if r.doc_id == 0][0].spans
+    assert [(s.kind, long[s.start : s.end]) for s in spans if s.end - s.start < 20] == [("term", "Quimbly"), ("email", "zed@q.org"), ("term", "Querty")]
+
+
 def test_toxicity(spark, docs, none):
     rows = [(k, f"{'you scum scum go' if k % 4 == 0 else 'a kind word'} number {k} of many") for k in range(200)]
     texts = spark.createDataFrame(rows, "doc_id int, text string")

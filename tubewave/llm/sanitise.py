@@ -7,7 +7,9 @@ nearly all of the information that the value itself carries.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
@@ -28,14 +30,19 @@ PATTERNS = {
 _HINTS = {"email": "@", "phone": "+"}
 _HINT_PATTERNS = {"ip": r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){11}"}
 
-#: A term: a word with a capital in the middle of a sentence.
-TERM = r"(?<=[\p{Ll},;:]\x20)\p{Lu}[\p{L}\p{N}'-]{2,}+"
+#: A term: any word, in any case and at any place. Scripts without spaces give runs between other characters.
+TERM = r"\p{L}[\p{L}\p{M}\p{N}]*+"
+#: Words that may be names: met with a capital, or without case.
+NAMED = r"^[\p{Lu}\p{Lt}\p{Lo}]"
 #: Matches whose places are summed up at a time.
 BLOCK = 128
 #: Characters to either side of a protected value in which terms count as its context.
 CONTEXT = 120
-#: Distinct texts that must show value and term together.
-LEAST_TEXTS = 3
+#: Texts without the value that are added to those a term was counted in: what few texts show is trusted less, words that
+#: never look like a name least.
+UNSEEN_NAMED, UNSEEN = 1, 3
+#: Characters of a text that are looked through at a time, and bytes of the first test of a term.
+PIECE, SLOTS = 4096, 1 << 18
 #: Shares of the value's information from which a term is generalised, and from which it is removed.
 GENERALISED, REMOVED = 0.8, 0.95
 
@@ -47,10 +54,11 @@ def _blocks(matches: Column, gaps: Column) -> Column:
     return F.transform(numbers, lambda number: F.arrays_zip(part(matches, number).alias("value"), F.slice(part(gaps, number), F.lit(1), F.size(part(matches, number))).alias("gap")))
 
 
-def _places(blocks: Column) -> Column:
+def _places(blocks: Column, wanted: Callable[[Column], Column] | None = None) -> Column:
     """Matches with their places, ``array<struct<start, end, value>>`` in code points, from blocks of matches and gaps.
 
-    Appending copies an array, so places are summed up within blocks and the blocks are put together at the end.
+    Appending copies an array, so places are summed up within blocks and the blocks are put together at the end; matches that
+    are not ``wanted`` only count for the places of the others.
     """
     none = F.array().cast("array<struct<start:int,end:int,value:string>>")
 
@@ -58,7 +66,8 @@ def _places(blocks: Column) -> Column:
         start = state["at"] + pair["gap"]
         end = start + F.length(pair["value"])
         one = F.struct(start.alias("start"), end.alias("end"), pair["value"].alias("value"))
-        return F.struct(end.alias("at"), F.concat(state["out"], F.array(one)).alias("out"))
+        longer = F.concat(state["out"], F.array(one))
+        return F.struct(end.alias("at"), (longer if wanted is None else F.when(wanted(pair["value"]), longer).otherwise(state["out"])).alias("out"))
 
     def block(state: Column, own: Column) -> Column:
         inner = F.aggregate(own, F.struct(state["at"].alias("at"), none.alias("out")), step)
@@ -88,9 +97,9 @@ def _shaped(found: Column, place: int, kind: str) -> Column:
     return F.transform(valid, lambda m: F.struct(*fields(m)))
 
 
-def with_base_spans(docs: DataFrame, text: Column, spans: str, terms: str | None = None) -> DataFrame:
+def with_base_spans(docs: DataFrame, text: Column, spans: str, terms: str | None = None, wanted: Callable[[Column], Column] | None = None) -> DataFrame:
     """``docs`` with base spans, ``array<struct<start, place, end, kind, value>>`` by start and kind, and on demand the
-    places of terms. Each pattern reads a text twice at most, and only if the text has what every match needs."""
+    places of ``wanted`` terms. Each pattern reads a text twice at most, and only if the text has what every match needs."""
     names = [f"_{spans}_{kind}" for kind in KINDS]
     kinds = KINDS[:4] + (["term"] if terms else [])
     raw = {}
@@ -106,7 +115,7 @@ def with_base_spans(docs: DataFrame, text: Column, spans: str, terms: str | None
     found = found.withColumns(gaps)
     blocks = {f"{name}_b": _blocks(F.col(f"{name}_m"), F.col(f"{name}_g")) for name in names[: len(kinds)]}
     found = found.withColumns(blocks)
-    places = {name: _places(F.col(f"{name}_b")) for name in names[: len(kinds)]}
+    places = {name: _places(F.col(f"{name}_b"), wanted if kind == "term" else None) for kind, name in zip(kinds, names, strict=False)}
     shaped = [_shaped(places[name], place, kind) for place, (kind, name) in enumerate(zip(KINDS[:4], names, strict=False))]
     out = {spans: F.array_sort(F.concat(*shaped))} | ({terms: places[names[4]]} if terms else {})
     return found.withColumns(out).drop(*raw, *gaps, *blocks)
@@ -116,35 +125,69 @@ def text_key(text: Column) -> Column:
     return F.unhex(F.md5(text))
 
 
-def disclosing_terms(texts: DataFrame, n_texts: int) -> DataFrame:
-    """``term, share`` of terms that reveal a protected value.
+def _contexts(docs: DataFrame) -> DataFrame:
+    """``key, value, words`` of each protected value in ``key, body``: the whole words within ``CONTEXT`` characters of it.
 
-    ``texts`` has one row for each distinct text: ``key, spans, terms``. With the counts of texts that show value c, term t
-    and both, PMI(c; t) = log(N n(c,t) / (n(c) n(t))) is compared with IC(c) = log(N / n(c)); their ratio is the share.
+    A context is cut from the pieces of the text that it touches, so a text with many values is not read from its start for each.
+    """
+    letters = r"[\p{L}\p{M}\p{N}]"
+    pieces = F.when(F.size("spans") > 0, F.regexp_extract_all(F.col("body"), F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0)))
+
+    def shown(span: Column) -> Column:
+        first, last = F.greatest(span["start"] - CONTEXT - 1, F.lit(0)), span["end"] + CONTEXT + 1
+        at = (first / PIECE).cast("int")
+        touched = F.when(F.size("pieces") > 0, F.slice("pieces", at + 1, (last / PIECE).cast("int") - at + 1))
+        part = F.substring(F.array_join(touched, ""), first - at * PIECE + 1, last - first)
+        part = F.when(span["start"] > CONTEXT, F.regexp_replace(part, f"^{letters}++", "")).otherwise(part)
+        part = F.when(F.length("body") >= last, F.regexp_replace(part, f"(?<!{letters}){letters}++$", "")).otherwise(part)
+        value = F.when(span["kind"].isin("card", "phone"), _digits(span["value"])).otherwise(F.lower(span["value"]))
+        words = F.array_distinct(F.regexp_extract_all(part, F.lit(TERM), F.lit(0)))
+        return F.struct(F.md5(F.concat(span["kind"], F.lit(":"), value)).alias("value"), words.alias("words"))
+
+    read = with_base_spans(docs, F.col("body"), "spans").withColumn("pieces", pieces)
+    # for explode(), Spark would add a filter that computes the spans once more and the patterns once a block
+    return read.select("key", F.explode_outer(F.transform("spans", shown)).alias("c")).where("c IS NOT NULL").select("key", "c.value", "c.words")
+
+
+def disclosing_terms(docs: DataFrame) -> DataFrame:
+    """``term, share`` of terms, in lower case, that reveal a protected value.
+
+    ``docs`` has ``key, body``; equal keys are one text. With the counts of texts that show value c, term t and both,
+    PMI(c; t) = log(N n(c,t) / (n(c) n(t))) is compared with IC(c) = log(N / n(c)); their ratio is the share. ``UNSEEN_NAMED``
+    or ``UNSEEN`` is added to n(t), so one text is evidence, but less than several.
     """
-    spans = texts.select("key", F.explode("spans").alias("s"))
-    value = F.concat("s.kind", F.lit(":"), F.when(F.col("s.kind").isin("card", "phone"), _digits(F.col("s.value"))).otherwise(F.lower("s.value")))
-    shown = spans.select("key", F.md5(value).alias("value"), (F.col("s.start") - CONTEXT).alias("from"), (F.col("s.end") + CONTEXT).alias("to"))
-    # value and term meet in strips of the text, so that a text with many of both is not multiplied out
-    strips = shown.withColumn("strip", F.explode(F.expr(f"sequence(`from` DIV {CONTEXT}, `to` DIV {CONTEXT})")))
-    placed = texts.select("key", F.explode("terms").alias("t")).select("key", F.expr(f"t.start DIV {CONTEXT}").alias("strip"), "t.start", "t.end", F.col("t.value").alias("term"))
-    near = strips.join(placed, ["key", "strip"]).where("start >= `from` AND end <= `to`").select("value", "key", "term").distinct()
-    values = shown.select("value", "key").distinct().groupBy("value").agg(F.count("*").alias("n_value"))
-    both = near.groupBy("value", "term").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= LEAST_TEXTS)
-    both = cut_lineage(both, "near-terms")
-    terms = texts.select("key", F.explode(F.array_distinct(F.transform("terms", lambda t: t["value"]))).alias("term"))
-    counted = terms.join(both.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_term"))
-    total = F.lit(float(max(n_texts, 2)))
-    share = F.log(total * F.col("n_both") / (F.col("n_value") * F.col("n_term"))) / F.log(total / F.col("n_value"))
-    found = both.join(values, "value").join(counted, "term").where(F.col("n_value") < total)
+    contexts = cut_lineage(_contexts(docs), "contexts")
+    words = contexts.select("key", "value", F.explode("words").alias("word"))
+    near = words.groupBy(F.lower("word").alias("term"), "value", "key").agg(F.max(F.col("word").rlike(NAMED)).alias("named"))
+    both = near.groupBy("value", "term").agg(F.count("*").alias("n_both"), F.max("named").alias("named"))
+    values = contexts.select("value", "key").distinct().groupBy("value").agg(F.count("*").alias("n_value"))
+    # of values met in equally many texts, the one seen most often with a term tells most
+    pairs = both.join(values, "value").groupBy("term", "n_value").agg(F.max("n_both").alias("n_both"), F.max("named").alias("named"))
+    texts = docs.groupBy("key").agg(F.first("body").alias("body"))
+    terms = texts.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("body"), F.lit(TERM), F.lit(0)))).alias("term"))
+    counted = terms.groupBy("term").agg(F.count("*").alias("n_term"))
+    total = F.lit(float(max(docs.where("body != ''").select("key").distinct().count(), 2)))
+    named = F.max("named").over(Window.partitionBy("term"))
+    found = pairs.withColumn("named", named).join(counted, "term").where(F.col("n_value") < total)
+    n_term = F.col("n_term") + F.when(F.col("named"), UNSEEN_NAMED).otherwise(UNSEEN)
+    share = F.log(total * F.col("n_both") / (F.col("n_value") * n_term)) / F.log(total / F.col("n_value"))
     return found.groupBy("term").agg(F.max(share).alias("share")).where(F.col("share") >= GENERALISED)
 
 
+def _among(terms: DataFrame) -> Callable[[Column], Column]:
+    """A test that holds for every term of ``terms`` and for few others, of a fixed size."""
+    slot = lambda term: F.pmod(F.xxhash64(term), F.lit(SLOTS)).cast("int")
+    held = bytearray(SLOTS)
+    for r in terms.select(slot(F.col("term")).alias("slot")).distinct().collect():  # SLOTS rows at most
+        held[r.slot] = 1
+    return lambda term: F.substring(F.lit(bytes(held)), slot(term) + 1, F.lit(1)) == F.lit(b"\x01")
+
+
 def find_personal_data(docs: DataFrame, text: str = "text") -> DataFrame:
     """All rows of ``docs`` with ``spans``, ``array<struct<start, place, end, kind, share>>`` by start and kind.
 
-    Base kinds have a NULL ``share``; spans of kind ``term`` are all places of terms that disclose a protected value of the
-    corpus, unless they touch a base span. NULL and empty texts have no spans. Rows with equal texts get equal spans and
+    Base kinds have a NULL ``share``; spans of kind ``term`` are all places, in any case, of words that disclose a protected
+    value of the corpus, unless they touch a base span. NULL and empty texts have no spans. Rows with equal texts get equal spans and
     count as one text in the statistics, so neither copies nor NULL or repeated keys matter. A column of ``docs`` named
     ``spans`` gets underscores in front.
 
@@ -156,18 +199,18 @@ def find_personal_data(docs: DataFrame, text: str = "text") -> DataFrame:
         text = docs.columns[-1] if text == "spans" else text
     key, base = own_name("_key", docs.columns), own_name("_base", docs.columns)
     body = F.coalesce(F.col(text), F.lit(""))
-    read = with_base_spans(docs.select(body.alias("body")), F.col("body"), "spans", "terms")
-    found = read.select(text_key(F.col("body")).alias("key"), "spans", "terms").where("size(spans) > 0 OR size(terms) > 0")
-    texts = cut_lineage(found.groupBy("key").agg(F.first("spans").alias("spans"), F.first("terms").alias("terms")), "personal-data")
-    telling = disclosing_terms(texts, docs.count())
-    touched = F.exists("spans", lambda s: (s["start"] < F.col("t.end")) & (F.col("t.start") < s["end"]))
-    places = texts.select("key", "spans", F.explode("terms").alias("t")).where(~touched).select("key", "t.start", "t.end", F.col("t.value").alias("term"))
+    texts = docs.select(text_key(body).alias("key"), body.alias("body"))
+    telling = cut_lineage(disclosing_terms(texts), "telling-terms")
+    among = _among(telling)
+    words = with_base_spans(texts, F.col("body"), "spans", "terms", lambda word: among(F.lower(word))).select("key", F.explode_outer("terms").alias("t")).where("t IS NOT NULL")
+    places = words.select("key", "t.start", "t.end", F.lower("t.value").alias("term")).distinct()
     one = F.struct("start", F.lit(4).alias("place"), "end", F.lit("term").alias("kind"), "share")
     added = cut_lineage(places.join(telling, "term").groupBy("key").agg(F.collect_list(one).alias("_added")).withColumnRenamed("key", key), "added-spans")
     shaped = F.transform(base, lambda s: F.struct(s["start"].alias("start"), s["place"].alias("place"), s["end"].alias("end"), s["kind"].alias("kind"), F.lit(None).cast("double").alias("share")))
+    clear = F.filter("_added", lambda t: ~F.exists(base, lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
     return (
         with_base_spans(docs.withColumn(key, text_key(body)), body, base).join(added, key, "left")
-        .withColumn("spans", F.when(F.col("_added").isNull(), shaped).otherwise(F.array_sort(F.concat(shaped, "_added"))))
+        .withColumn("spans", F.when(F.col("_added").isNull(), shaped).otherwise(F.array_sort(F.concat(shaped, clear))))
         .select(*docs.columns, "spans")
     )
 
