@@ -150,6 +150,22 @@ def test_main_text(page, text):
     assert main_text(page, DEFAULT_WEIGHTS) == text
 
 
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        ('<article><p>one</p><svg class="i"/><p>two three</p></article>', "one\n\ntwo three"),
+        ("<article><p>one</p><math/><iframe src='x'/><canvas/><p>two</p><p>x is <math><mi>y</mi></math></p></article>", "one\n\ntwo\n\nx is y"),
+        ("<article><p>one</p><button>b<p>two</p></article>", "one\n\nb\n\ntwo"),
+        ("<article><p>one</p><div><select><option>b</div><p>two</p><select><option>c</select><p>three</article>", "one\n\ntwo\n\nthree"),
+        ("<article><p>one</p><button-row><p>two</p></button-row><video-player></video-player><p>three</p></article>", "one\n\ntwo\n\nthree"),
+        ("<article><p>one</p><svg><title>t</title><text>s</text></svg><noscript>n</noscript><button>b</button><template>t<template>u</template>v</template><p>two</p></article>", "one\n\ntwo"),
+        ("<article><!--><p>one</p><script src='a'/><p>two</p><script>x<y</script ><style-x>three</style-x></article>", "one\n\ntwo\n\nthree"),
+    ],
+)
+def test_elements_end_where_they_end(page, text):
+    assert main_text(page, DEFAULT_WEIGHTS) == text
+
+
 def test_folding_and_longest_terms():
     assert fold("1D10T, сlown Ｌoser b­ad") == fold("idiot clown loser bad")
     terms = Lexicon({" idiot": 1.0, " idiot ": 2.0, " bad ": 0.5}).automaton()

@@ -24,7 +24,9 @@ OTHER_TAG, LEAST_WORD, MOST_TAG = -0.25, 0.2, -0.01
 CONTENT_TAG = -0.05
 
 # Names of elements, and parts of class, id and role names, as pages use them.
-RAW = "script style noscript template textarea svg iframe object select button title math canvas audio video".split()
+RAW = "script style textarea title".split()
+#: Elements that hold something else than main text; one that is never closed, or closed by "/>", holds nothing.
+EMBEDDED = set("noscript template svg iframe object select button canvas audio video".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = set(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6"
@@ -40,8 +42,13 @@ NAMES = COMMENTS | set(
     " social related recommended recommendations contentinfo complementary search login signup skip".split()
 )
 
-_RAW = re.compile(rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<({'|'.join(RAW)})\b[^>]*+>.*?(?:</\1\s*+>|\Z)", re.S | re.I)
+_RAW = re.compile(
+    rf"<!--(?:-?>|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)"
+    rf"|<({'|'.join(RAW)})(?=[\s/>])(?:[^>]*+(?<=/)>(?![^<]*+</\1)|[^>]*+>.*?(?:</\1(?=[\s/>])[^>]*+>|\Z))",
+    re.S | re.I,
+)
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?>[^>"']|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)""")
+_EMBEDDED_END = re.compile(rf"</({'|'.join(sorted(EMBEDDED))})(?=[\s/>])", re.I)
 _NAMES = re.compile(r"""\b(class|id|role)\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++))""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*+=\s*+["']?true|display\s*+:\s*+none""", re.I)
 _PARTS = re.compile(r"[a-z]+|[A-Z][a-z]*|[A-Z]+")
@@ -67,6 +74,7 @@ def tokens(page: str) -> list[tuple[str, str, bool, bool]]:
     out: list[tuple[str, str, bool, bool]] = []
     # a raw element keeps what it is: words on its two sides are not one word
     page = _RAW.sub(lambda m: " " if m[1] else "", page)
+    last_end = {m[1].lower(): m.start() for m in _EMBEDDED_END.finditer(page)}
     stack: list[tuple[str, bool]] = []  # open elements that count: name, whether it starts a skipped part
     skip = content = at = 0
     header = 0
@@ -91,8 +99,10 @@ def tokens(page: str) -> list[tuple[str, str, bool, bool]]:
             continue
         if name in CONTENT and skip and not any(own in ("aside", "footer") or was == 2 for own, was in stack):
             stack, skip, content, header = [], 0, 0, 0  # a menu or notice that was never closed ends where the article starts
-        if name not in VOID:
-            starts = _skipped(name, attributes, content > 0)
+        if name in EMBEDDED and (attributes.endswith("/") or last_end.get(name, -1) < at):
+            pass
+        elif name not in VOID:
+            starts = name in EMBEDDED or _skipped(name, attributes, content > 0)
             if name in BLOCKS or starts or name in CONTENT:
                 stack.append((name, 0 if not starts else 1))
                 skip += starts
