@@ -33,13 +33,16 @@ def brute_iou(a, b):
     return shared / (a.width * a.length + b.width * b.length - shared)
 
 
-@pytest.mark.parametrize("dense", [5, 2000])
+@pytest.mark.parametrize("run, cell_runs, cell", [(32, 512, 120.0), (3, 2, 120.0), (2, 1, 7.0)])
 @pytest.mark.parametrize("fallback", [False, True])
-def test_best_match(spark, fallback, dense):
+def test_best_match(spark, monkeypatch, fallback, run, cell_runs, cell):
+    """Runs of any length, salted cells and cells smaller than boxes do not change a match."""
+    monkeypatch.setattr(matching, "RUN", run)
+    monkeypatch.setattr(matching, "CELL_RUNS", cell_runs)
     left, left_df = random_boxes(spark, 150)
     right, right_df = random_boxes(spark, 150)
     fn = matching.best_match_or_first if fallback else matching.best_match
-    got = {(r.scan_id, r.ind_num): (r.match._order if r.match else None, r.iou) for r in fn(left_df, right_df, ["scan_id"], dense=dense).collect()}
+    got = {(r.scan_id, r.ind_num): (r.match._order if r.match else None, r.iou) for r in fn(left_df, right_df, ["scan_id"], grid=matching.Grid(cell, cell)).collect()}
     assert len(got) == len(left)
     for a in left.itertuples():
         pairs = [(-brute_iou(a, b), b.ind_num) for b in right[right.scan_id == a.scan_id].itertuples()]
@@ -57,6 +60,10 @@ def test_iou_is_symmetric_and_bounded(spark):
     value = {(r.scan_id, r.a_first._order, r.b_first._order): r.iou for r in rows}
     assert all(0 < v <= 1 for v in value.values())
     assert all(value[(s, b, a)] == pytest.approx(v) for (s, a, b), v in value.items())
+    once = {(r.scan_id, r.a_first._order, r.b_first._order): r.iou for r in matching.pairs_within(a, ["scan_id"]).collect()}
+    assert once == {(s, a, b): v for (s, a, b), v in value.items() if a < b}
+    high = {(r.scan_id, r.a_first._order, r.b_first._order) for r in matching.pairs_within(a, ["scan_id"], least=0.3).collect()}
+    assert high == {pair for pair, v in once.items() if v >= 0.3}
 
 
 @pytest.mark.parametrize("width", [0.5, 3.0, 1000.0])

@@ -1,20 +1,33 @@
 """Overlap matching between predicted and reported flaws.
 
-Boxes are compared only where they share a cell of a fixed grid on both axes. A box covers a bounded
-number of cells because a scan spans a bounded axial and rotary range. Boxes of identical geometry are
-collapsed to one before pairs are formed, so a group of copies costs one row however large it is.
+Boxes of identical geometry are collapsed to one, so a group of copies costs one row. Boxes of both sides
+are then sorted along a space-filling curve over position and size, and cut into short runs. Only the
+extents of runs are joined: an upper bound of the IoU that two runs can reach decides, before any pair of boxes
+is formed, which runs are opened. In a crowd the bound is tested against what neighbours on the curve already reach.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geometry import iou
+from ..session import cut_lineage
 
 GEOMETRY = ["x", "y", "w", "h"]
+#: Boxes of a run, and runs of one cell that meet in one task; more runs of a cell are salted.
+RUN, CELL_RUNS = 32, 512
+#: Neighbours on the curve, before and behind, that give a first lower bound of a box's best IoU.
+NEAR = 2
+#: Bounds are widened by this share, so that rounding never prunes a pair.
+SLACK = 1e-9
 
 
 @dataclass(frozen=True)
@@ -32,45 +45,226 @@ class BoxColumns:
 
 @dataclass(frozen=True)
 class Grid:
-    """Cell sizes in the unit of each axis; ``margin`` enlarges boxes so that near ones meet too."""
+    """Cell sizes in the unit of each axis: cells many times larger than usual boxes, within which runs are formed."""
 
-    x: float = 15.0
-    y: float = 10.0
-    margin: float = 0.0
+    x: float = 120.0
+    y: float = 200.0
 
 
-def _range(start: Column, size: Column, cell: float, margin: float) -> tuple[Column, Column]:
-    return F.floor((start - margin) / cell), F.floor((start + size + margin) / cell)
+HAS_AREA = "w > 0 AND h > 0 AND NOT isnan(w) AND NOT isnan(h) AND NOT isnan(x) AND NOT isnan(y)"
 
 
-def _explode_cells(df: DataFrame, grid: Grid, prefix: str) -> DataFrame:
-    x0, x1 = _range(F.col(f"{prefix}x"), F.col(f"{prefix}w"), grid.x, grid.margin)
-    y0, y1 = _range(F.col(f"{prefix}y"), F.col(f"{prefix}h"), grid.y, grid.margin)
-    return (
-        df.where((F.col(f"{prefix}w") >= 0) & (F.col(f"{prefix}h") >= 0))
-        .withColumn(f"{prefix}cx0", x0)
-        .withColumn(f"{prefix}cy0", y0)
-        .withColumn("_cx", F.explode(F.sequence(x0, x1)))
-        .withColumn("_cy", F.explode(F.sequence(y0, y1)))
-    )
+def all_boxes(df: DataFrame, keys: list[str], box: BoxColumns, first: Column) -> DataFrame:
+    """The geometry of every row that has an area, with ``first``."""
+    geometry = [F.col(c).cast("double").alias(g) for c, g in zip(box.names(), GEOMETRY)]
+    return df.select(*keys, *geometry, first.alias("first")).where(HAS_AREA)
+
+
+def distinct_boxes(df: DataFrame, keys: list[str], box: BoxColumns, order: str, payload: list[str], extra: float = 0.0) -> DataFrame:
+    """One row per distinct geometry with an area: its number of copies and the first copy in ``order``."""
+    geometry = [F.col(c).cast("double").alias(g) for c, g in zip(box.names(), GEOMETRY)]
+    rows = df.groupBy(*keys, *geometry).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.col(order).alias("_order"), *payload)).alias("first"))
+    if extra:
+        rows = rows.withColumn("w", F.col("w") + extra).withColumn("h", F.col("h") + extra)
+    return rows.where(HAS_AREA)
+
+
+#: The seven bits of a number with three free bits between any two, as a literal array.
+_SPREAD = "array(" + ", ".join(f"{sum((v >> k & 1) << 4 * k for k in range(7))}L" for v in range(128)) + ")"
+
+
+def _spread(value: Column) -> Column:
+    """The 14 bits of a value with three free bits between any two."""
+    low, high = (F.get(F.expr(_SPREAD), part.cast("int")) for part in (value.bitwiseAND(F.lit(127)), F.shiftright(value, 7)))
+    return low.bitwiseOR(F.shiftleft(high, 28))
+
+
+def _curve(grid: Grid) -> tuple[Column, Column, Column]:
+    """Cell of a box's middle on both axes, and the place of its position in the cell and its size on a curve."""
+    place = {"x": (F.col("x") + F.col("w") / 2) / grid.x, "y": (F.col("y") + F.col("h") / 2) / grid.y}
+    cells = {axis: F.floor(value) for axis, value in place.items()}
+    inner = [F.floor((place[axis] - cells[axis]) * 16383) for axis in ("x", "y")]
+    sizes = [F.greatest(F.lit(0).cast("long"), F.least(F.lit(16383).cast("long"), F.floor((F.log2(size) + 16) * 512))) for size in ("w", "h")]
+    code = F.lit(0).cast("long")
+    for k, value in enumerate([*inner, *sizes]):
+        code = code.bitwiseOR(F.shiftleft(_spread(value), k))
+    return cells["y"], cells["x"], code
+
+
+def _reach(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """IoU of boxes row by row (columns x, y, w, h)."""
+    ends = [np.minimum(left[:, k] + left[:, k + 2], right[:, k] + right[:, k + 2]) - np.maximum(left[:, k], right[:, k]) for k in (0, 1)]
+    shared = np.maximum(ends[0], 0.0) * np.maximum(ends[1], 0.0)
+    return shared / (left[:, 2] * left[:, 3] + right[:, 2] * right[:, 3] - shared)
+
+
+def _mark(group_columns: int):
+    """Numbers the runs of sorted rows and, for rows of the first side, looks at neighbours of the second one.
+
+    Rows arrive as group columns, x, y, w, h, side. Adds ``place`` (a number by side), ``run`` (place of its first row) and ``reached``
+    (best IoU with the near rows of the other side, 0 for rows of the second side). A run lies within one group. Of copies that
+    follow each other only the first row is passed on.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base = TaskContext.get().partitionId() << 33
+        seen, begun = [0, 0], [0, 0]  # rows of each side so far, and its first row in the open group
+        last: list | None = None  # group of the last row
+        tail = np.zeros((0, 4))  # last rows of the second side in that group
+        before_this: list | None = None  # group, box and side of the row before
+        for whole in batches:
+            if not whole.num_rows:
+                continue
+            told = [whole.column(k) for k in range(group_columns + 5)]
+            fresh = np.zeros(whole.num_rows, bool)
+            for column in told:
+                fresh[1:] |= pc.fill_null(pc.not_equal(column.slice(1), column.slice(0, whole.num_rows - 1)), True).to_numpy(zero_copy_only=False)
+            fresh[0] = [column[0].as_py() for column in told] != before_this
+            before_this = [column[whole.num_rows - 1].as_py() for column in told]
+            batch = whole.filter(pa.array(fresh))
+            n = batch.num_rows
+            if not n:
+                continue
+            groups = [batch.column(k) for k in range(group_columns)]
+            new = np.zeros(n, bool)
+            for column in groups:
+                new[1:] |= pc.fill_null(pc.not_equal(column.slice(1), column.slice(0, n - 1)), True).to_numpy(zero_copy_only=False)
+            here = [column[0].as_py() for column in groups]
+            new[0] = here != last
+            last = [column[n - 1].as_py() for column in groups]
+            if new[0]:
+                tail = tail[:0]
+            number = np.cumsum(new)
+            boxes = np.stack([batch.column(group_columns + k).to_numpy(zero_copy_only=False) for k in range(4)], axis=1)
+            side = batch.column(group_columns + 4).to_numpy(zero_copy_only=False)
+            runs, places = np.zeros(n, np.int64), np.zeros(n, np.int64)
+            for s in (0, 1):
+                at = np.flatnonzero(side == s)
+                count = np.arange(seen[s], seen[s] + len(at))
+                # where the group of each row of this side begins, counted in rows of this side
+                before = np.concatenate(([0], np.cumsum(side == s)))[:-1] + seen[s]
+                starts = np.where(new, before, -1)
+                if not new[0]:
+                    starts[0] = begun[s]
+                starts = np.maximum.accumulate(starts)
+                own = starts[at]
+                places[at] = base + count
+                runs[at] = base + own + (count - own) // RUN * RUN
+                seen[s] += len(at)
+                begun[s] = int(starts[-1])
+            right = np.flatnonzero(side == 1)
+            near = np.concatenate([tail, boxes[right]])
+            group = np.concatenate([np.full(len(tail), number[0]), number[right]])
+            reached = np.zeros(n)
+            left = np.flatnonzero(side == 0)
+            where = np.searchsorted(right, left) + len(tail)
+            for step in range(-NEAR, NEAR):
+                other = where + step
+                fits = (other >= 0) & (other < len(near))
+                fits[fits] = group[other[fits]] == number[left[fits]]
+                reached[left[fits]] = np.maximum(reached[left[fits]], _reach(boxes[left[fits]], near[other[fits]]))
+            tail = near[group == number[-1]][-NEAR:]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(runs), pa.array(places), pa.array(reached)], [*batch.schema.names, "run", "place", "reached"])
+
+    return run
+
+
+def runs_of(left: DataFrame | None, right: DataFrame, keys: list[str], grid: Grid) -> DataFrame:
+    """Boxes of both sides (0 and 1) with their runs and first bounds, as a written table.
+
+    Copies of a box follow each other on the curve, the first one in front, and leave one row (two, where a range of the
+    sort ends between them).
+    """
+    both = right.withColumn("side", F.lit(1))
+    if left is not None:
+        both = left.withColumn("side", F.lit(0)).unionByName(both)
+    cy, cx, code = _curve(grid)
+    rest = [c for c in ("n", "first") if c in right.columns]
+    order = [*keys, "_cy", "_cx", "_code", "side", *GEOMETRY, F.col("first._order")]
+    sided = both.select(*keys, cy.alias("_cy"), cx.alias("_cx"), *GEOMETRY, "side", *rest, code.alias("_code"))
+    ranged = sided.repartitionByRange(*order).sortWithinPartitions(*order).drop("_code")
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ranged.schema.fields)
+    return cut_lineage(ranged.mapInArrow(_mark(len(keys) + 2), f"{fields}, run long, place long, reached double"), "runs")
+
+
+_EXTENT = ["x0", "x1", "y0", "y1", "w", "h", "area"]
+
 
+def _extent() -> dict[str, Column]:
+    """Extent of a single box in the terms of the extent of a run."""
+    x, y, w, h = (F.col(c) for c in GEOMETRY)
+    return {"x0": x, "x1": x + w, "y0": y, "y1": y + h, "w": w, "h": h, "area": w * h}
 
-def _join_cells(left: DataFrame, right: DataFrame, keys: list[str], grid: Grid) -> DataFrame:
-    """Pairs that share a cell, each once: only the first common cell of a pair keeps it."""
-    pairs = _explode_cells(left, grid, "a_").join(_explode_cells(right, grid, "b_"), [*keys, "_cx", "_cy"])
-    first = (F.col("_cx") == F.greatest("a_cx0", "b_cx0")) & (F.col("_cy") == F.greatest("a_cy0", "b_cy0"))
-    return pairs.where(first).drop("_cx", "_cy", "a_cx0", "a_cy0", "b_cx0", "b_cy0")
+
+def _run_extents(boxes: DataFrame, keys: list[str], grid: Grid, prefix: str) -> DataFrame:
+    """Extent of each run: outermost ends, largest sizes, smallest area and smallest first bound, once for each cell it touches."""
+    own = _extent()
+    found = {"x0": F.min, "y0": F.min, "area": F.min}
+    runs = boxes.groupBy(*keys, "run").agg(*[found.get(c, F.max)(own[c]).alias(c) for c in _EXTENT], F.min("reached").alias("reached"))
+    ends = {f"_{a}{k}": F.floor(F.col(f"{a}{k}") / step) for a, step in (("x", grid.x), ("y", grid.y)) for k in (0, 1)}
+    cells = runs.withColumns(ends).withColumn("_cx", F.explode(F.sequence("_x0", "_x1"))).withColumn("_cy", F.explode(F.sequence("_y0", "_y1")))
+    named = [F.col(c).alias(f"{prefix}{c}") for c in ["run", "reached", *_EXTENT]]
+    return cells.select(*keys, "_cx", "_cy", *named, F.col("_x0").alias(f"{prefix}cx"), F.col("_y0").alias(f"{prefix}cy"))
+
+
+def _may_reach(a: dict[str, Column], b: dict[str, Column], least: Column) -> Column:
+    """Whether boxes of two runs can overlap with an IoU of ``least``.
+
+    ``shared >= least * (area + area - shared)`` with the largest overlap and the smallest areas of the runs. The overlap stands in
+    it once and nothing is divided, so that the condition stays small enough to be compiled within a join.
+    """
+    dx = F.least(F.least(a["x1"], b["x1"]) - F.greatest(a["x0"], b["x0"]), a["w"], b["w"])
+    dy = F.least(F.least(a["y1"], b["y1"]) - F.greatest(a["y0"], b["y0"]), a["h"], b["h"])
+    shared = F.greatest(dx, F.lit(0.0)) * F.greatest(dy, F.lit(0.0))
+    return shared * (1 + SLACK) * (1 + least) >= least * (a["area"] + b["area"])
+
+
+def _at_least(reached: Column, least: float) -> Column:
+    """What a pair has to reach: above zero at any rate."""
+    return F.greatest(reached, F.lit(max(least, 1e-300)))
+
+
+def _named(prefix: str) -> dict[str, Column]:
+    return {c: F.col(f"{prefix}{c}") for c in _EXTENT}
+
+
+def _run_pairs(left: DataFrame, right: DataFrame, keys: list[str], grid: Grid, least: float, both: bool) -> DataFrame:
+    """Pairs of runs that may hold pairs of boxes worth forming, each once, with the extent of the second run.
+
+    Runs meet in a cell. A cell with many runs is salted: its left runs are dealt out, its right runs repeated.
+    """
+    a, b = _run_extents(left, keys, grid, "a_"), _run_extents(right, keys, grid, "b_")
+    cell = [*keys, "_cx", "_cy"]
+    salts = b.groupBy(*cell).agg(F.ceil(F.count(F.lit(1)) / CELL_RUNS).alias("_salts"))
+    a = a.join(salts, cell).withColumn("_salt", F.pmod(F.xxhash64("a_run"), F.col("_salts"))).drop("_salts")
+    b = b.join(salts, cell).withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_salts") - 1))).drop("_salts")
+    first = (F.col("_cx") == F.greatest("a_cx", "b_cx")) & (F.col("_cy") == F.greatest("a_cy", "b_cy"))
+    worth = _may_reach(_named("a_"), _named("b_"), _at_least(F.col("a_reached"), least))
+    if not both:
+        worth = worth & (F.col("a_run") <= F.col("b_run"))
+    return a.join(b, [*cell, "_salt"]).where(first & worth).select("a_run", "b_run", *[f"b_{c}" for c in _EXTENT])
 
 
 def _side(prefix: str) -> dict[str, Column]:
     return {g: F.col(f"{prefix}{g}") for g in GEOMETRY}
 
 
-def distinct_boxes(df: DataFrame, keys: list[str], box: BoxColumns, order: str, payload: list[str], prefix: str) -> DataFrame:
-    """One row per distinct geometry with its number of copies and the first copy in ``order``."""
-    geometry = [F.col(c).cast("double").alias(f"{prefix}{g}") for c, g in zip(box.names(), GEOMETRY)]
-    first = F.struct(F.col(order).alias("_order"), *payload)
-    return df.groupBy(*keys, *geometry).agg(F.count(F.lit(1)).alias(f"{prefix}n"), F.min(first).alias(f"{prefix}first"))
+def _box_pairs(left: DataFrame, right: DataFrame, runs: DataFrame, keys: list[str], least: float, once: bool = False) -> DataFrame:
+    """Pairs of boxes of the given runs that reach ``least`` and the first bound of the left one (but for rounding), with their ``iou``.
+
+    ``once``: both sides are the same rows, and of both orders of a pair only one is formed.
+    """
+    extent = _extent()
+    kept = [c for c in [*GEOMETRY, "n", "first", "place", "run"] if c in left.columns]
+    a = left.select(*keys, _at_least(F.col("reached"), least).alias("_least"), *[F.col(c).alias(f"a_{c}") for c in kept], *[e.alias(f"a_{c}_") for c, e in extent.items()])
+    b = right.select(*[F.col(c).alias(f"b_{c}") for c in [*GEOMETRY, "n", "first", "place", "run"] if c in right.columns], *[e.alias(f"b_{c}_") for c, e in extent.items()])
+    one, other = ({c: F.col(f"{p}_{c}_") for c in _EXTENT} for p in ("a", "b"))
+    open_ = a.join(runs, "a_run").where(_may_reach(one, _named("b_"), F.col("_least"))).drop(*[f"b_{c}" for c in _EXTENT])
+    pairs = open_.join(b, "b_run").where(_may_reach(one, other, F.col("_least")))
+    if once:
+        pairs = pairs.where((F.col("a_run") < F.col("b_run")) | (F.col("a_place") < F.col("b_place")))
+    pairs = pairs.withColumn("iou", iou(_side("a_"), _side("b_")))
+    return pairs.drop("_least", "a_run", "b_run", *[f"{p}_{c}_" for p in ("a", "b") for c in _EXTENT])
 
 
 def overlapping_pairs(
@@ -83,42 +277,40 @@ def overlapping_pairs(
     right_payload: list[str] = (),
     grid: Grid = Grid(),
     inclusive: bool = False,
+    least: float = 0.0,
 ) -> DataFrame:
-    """Pairs of distinct overlapping geometries with their IoU and first copies."""
-    a = distinct_boxes(left, keys, box, order, list(left_payload), "a_")
-    b = distinct_boxes(right, keys, box, order, list(right_payload), "b_")
-    pairs = _join_cells(a, b, keys, grid).withColumn("iou", iou(_side("a_"), _side("b_"), inclusive))
-    return pairs.where(F.col("iou") > 0)
+    """Pairs of distinct overlapping geometries with their IoU (at least ``least``) and first copies.
 
+    ``inclusive`` treats ends as pixels that belong to the box: sizes count one more.
+    """
+    extra = 1.0 if inclusive else 0.0
+    a = distinct_boxes(left, keys, box, order, list(left_payload), extra)
+    b = distinct_boxes(right, keys, box, order, list(right_payload), extra)
+    a_runs, b_runs = runs_of(None, a, keys, grid), runs_of(None, b, keys, grid)
+    pairs = _box_pairs(a_runs, b_runs, _run_pairs(a_runs, b_runs, keys, grid, least, True), keys, least)
+    return _less(pairs.where(F.col("iou") >= least), extra).drop("a_place", "b_place")
 
-# Scans with more distinct boxes than this are matched from the best overlap downwards.
-DENSE_SCAN = 2000
-LADDER = (0.95, 0.85, 0.6)
 
+def pairs_of(runs: DataFrame, keys: list[str], grid: Grid, least: float = 0.0) -> DataFrame:
+    """Pairs of boxes of one table of runs with an IoU of at least ``least`` (and above 0), each formed once."""
+    return _box_pairs(runs, runs, _run_pairs(runs, runs, keys, grid, least, False), keys, least, once=True).where(F.col("iou") >= least)
 
-def _near_pairs(left: DataFrame, right: DataFrame, keys: list[str], limit: float) -> DataFrame:
-    """Pairs with an IoU of at least ``limit``, from cells as small as such an overlap allows.
 
-    Two such boxes differ in size by at most a factor and in position by a share of their size. Right
-    boxes go to one cell of the grid of their size class, left boxes look into the few cells in reach.
-    """
-    for axis, size in (("x", "w"), ("y", "h")):
-        # two size classes per doubling; ``largest`` is the upper end of a class
-        largest = F.pow(F.lit(2.0), (F.col(f"_k{axis}") + 1) / 2)
-        cell = 2 * (1 - limit) * largest
-        right = right.withColumn(f"_k{axis}", F.floor(2 * F.log2(f"b_{size}")))
-        right = right.withColumn(f"_c{axis}", F.floor(F.col(f"b_{axis}") / cell))
-        w = F.col(f"a_{size}")
-        classes = F.sequence(F.floor(2 * F.log2(w * limit) - 1e-9), F.floor(2 * F.log2(w / limit) + 1e-9))
-        left = left.withColumn(f"_k{axis}", F.explode(classes))
-        reach = (1 - limit) * F.least(F.greatest(w, largest), w / limit) + 1e-9
-        left = left.withColumn(f"_c{axis}", F.explode(F.sequence(F.floor((F.col(f"a_{axis}") - reach) / cell), F.floor((F.col(f"a_{axis}") + reach) / cell))))
-    pairs = left.join(right, [*keys, "_kx", "_ky", "_cx", "_cy"]).withColumn("iou", iou(_side("a_"), _side("b_")))
-    return pairs.where(F.col("iou") >= limit)
+def pairs_within(
+    df: DataFrame, keys: list[str], box: BoxColumns = BoxColumns(), order: str = "ind_num", grid: Grid = Grid(), inclusive: bool = False, least: float = 0.0
+) -> DataFrame:
+    """Pairs of distinct overlapping geometries of one table, each formed once; ``a`` is the one whose first copy comes first."""
+    extra = 1.0 if inclusive else 0.0
+    pairs = pairs_of(runs_of(None, distinct_boxes(df, keys, box, order, [], extra), keys, grid), keys, grid, least)
+    sides = ["n", "first", *GEOMETRY]
+    swap = F.col("a_first._order") > F.col("b_first._order")
+    turned = [F.when(swap, F.col(f"{q}{c}")).otherwise(F.col(f"{p}{c}")).alias(f"{p}{c}") for p, q in (("a_", "b_"), ("b_", "a_")) for c in sides]
+    return _less(pairs.select(*keys, *turned, "iou"), extra)
 
 
-def _best_of(pairs: DataFrame, keys: list[str]) -> DataFrame:
-    return pairs.groupBy(*keys, *[f"a_{g}" for g in GEOMETRY]).agg(F.min(F.struct((-F.col("iou")).alias("neg_iou"), F.col("b_first"))).alias("_best"))
+def _less(pairs: DataFrame, extra: float) -> DataFrame:
+    sizes = {f"{p}{c}": F.col(f"{p}{c}") - extra for p in ("a_", "b_") for c in ("w", "h")} if extra else {}
+    return pairs.withColumns(sizes) if sizes else pairs
 
 
 def best_match(
@@ -130,48 +322,37 @@ def best_match(
     payload: list[str] = (),
     min_iou: float = 0.0,
     grid: Grid = Grid(),
-    dense: int = DENSE_SCAN,
 ) -> DataFrame:
     """Every left row with the overlapping right row of highest IoU.
 
     Adds ``iou`` and a struct ``match`` (``_order`` and the payload columns), both NULL where nothing
     overlaps with at least ``min_iou``. Equal IoU goes to the right row that comes first in ``order``.
-
-    In a crowded scan most boxes have a very similar partner. There, pairs with a high IoU are looked for
-    first; a box that has one is done, because nothing below can beat it, and only the others go on to the
-    next lower limit. So a scan that holds a third of all rows does not list all its overlapping pairs.
+    Rows without a key, without an area or with missing or NaN geometry overlap with nothing.
     """
+    b = all_boxes(right, keys, box, F.struct(F.col(order).alias("_order"), *payload))
+    a = all_boxes(left, keys, box, F.lit(None).cast(b.schema["first"].dataType))
+    marked = runs_of(a, b, keys, grid)
+    lefts, rights = marked.where("side = 0").drop("first"), marked.where("side = 1")
+    pairs = _box_pairs(lefts, rights, _run_pairs(lefts, rights, keys, grid, min_iou, True), keys, min_iou)
     geometry = [f"a_{g}" for g in GEOMETRY]
-    a = distinct_boxes(left.select(*dict.fromkeys([*keys, *box.names(), order])), keys, box, order, [], "a_").select(*keys, *geometry)
-    b = distinct_boxes(right, keys, box, order, list(payload), "b_")
-    crowded = b.groupBy(*keys).agg(F.count(F.lit(1)).alias("_boxes")).where(F.col("_boxes") > dense).select(*keys)
-    rest = a.where((F.col("a_w") > 0) & (F.col("a_h") > 0)).join(crowded, keys, "left_semi")
-    crowd = b.where((F.col("b_w") > 0) & (F.col("b_h") > 0)).join(crowded, keys, "left_semi")
-    found = None
-    for limit in [t for t in LADDER if t > min_iou]:
-        hits = _best_of(_near_pairs(rest, crowd, keys, limit), keys)
-        rest = rest.join(hits, [*keys, *geometry], "left_anti")
-        found = hits if found is None else found.unionByName(hits)
-    others = a if found is None else a.join(found, [*keys, *geometry], "left_anti")
-    pairs = _join_cells(others, b, keys, grid).withColumn("iou", iou(_side("a_"), _side("b_")))
-    last = _best_of(pairs.where((F.col("iou") > 0) & (F.col("iou") >= min_iou)), keys)
-    best = (last if found is None else found.unionByName(last)).select(
+    best = pairs.groupBy(*keys, *geometry).agg(F.min(F.struct((-F.col("iou")).alias("neg_iou"), F.col("b_first"))).alias("_best"))
+    best = best.select(
         *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], *geometry, (-F.col("_best.neg_iou")).alias("iou"), F.col("_best.b_first").alias("match")
-    )
+    ).where(F.col("iou") >= min_iou)
     on = [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)]
     on += [F.col(c).cast("double") == F.col(f"a_{g}") for c, g in zip(box.names(), GEOMETRY)]
     return left.join(best, on, "left").drop(*[f"_k{i}" for i in range(len(keys))], *geometry)
 
 
 def best_match_or_first(
-    left: DataFrame, right: DataFrame, keys: list[str], box: BoxColumns = BoxColumns(), order: str = "ind_num", payload: list[str] = (), dense: int = DENSE_SCAN
+    left: DataFrame, right: DataFrame, keys: list[str], box: BoxColumns = BoxColumns(), order: str = "ind_num", payload: list[str] = (), grid: Grid = Grid()
 ) -> DataFrame:
     """As ``best_match``, but a left row without any overlap is paired with the first right row of its scan.
 
     This is the argmax of the full IoU matrix: a row of zeros points at the first column.
     """
     first = right.groupBy(*keys).agg(F.min(F.struct(F.col(order).alias("_order"), *payload)).alias("_first"))
-    matched = best_match(left, right, keys, box, order, payload, dense=dense)
+    matched = best_match(left, right, keys, box, order, payload, grid=grid)
     return (
         matched.join(first, keys, "left")
         .withColumn("match", F.coalesce("match", "_first"))

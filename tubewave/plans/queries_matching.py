@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators import matching, statistics
+from ..session import cut_lineage
 from .fixtures import predicted, reported, with_tables
 from .registry import query
 
@@ -63,7 +64,8 @@ def depth_agreement_by_type(spark, sf_dir):
         F.col("match.flaw_type").alias("flaw_type"),
         F.round(text.parse_measure(F.col("match.depth_text")) - text.parse_measure(F.col("depth_text")), 4).alias("err"),
     )
-    return statistics.error_statistics(errors, "flaw_type", "err")
+    # two columns that quantiles and moments read several times
+    return statistics.error_statistics(cut_lineage(errors, "errors"), "flaw_type", "err")
 
 
 @query(
@@ -275,12 +277,12 @@ FROM shared WHERE touch AND s / (aa + ba - s) >= 0.5""",
 )
 def overlapping_pairs(spark, sf_dir):
     flaws = reported(spark, sf_dir)
-    pairs = matching.overlapping_pairs(flaws, flaws, KEYS, inclusive=True)
+    pairs = matching.pairs_within(flaws, KEYS, inclusive=True, least=0.5)
     touch = F.lit(True)
     for axis, size in (("x", "w"), ("y", "h")):
         end = F.least(F.col(f"a_{axis}") + F.col(f"a_{size}"), F.col(f"b_{axis}") + F.col(f"b_{size}"))
         touch = touch & (end > F.greatest(f"a_{axis}", f"b_{axis}"))
-    return pairs.where((F.col("iou") >= 0.5) & touch & (F.col("a_first._order") < F.col("b_first._order"))).select(
+    return pairs.where(touch).select(
         "scan_id", F.col("a_first._order").alias("a_id"), F.col("b_first._order").alias("b_id"), "a_n", "b_n",
         F.round("iou", 6).alias("iou"),
     )
