@@ -156,10 +156,10 @@ def test_tile_boxes_merge_as_in_one_list(spark):
         size = [(r["x2"] - r["x1"] + 1) * (r["y2"] - r["y1"] + 1) for r in (a, b)]
         return w * h / (sum(size) - w * h) >= 0.3 or w * h / min(size) >= 0.9
 
-    got = [r.asDict() for r in merging.merge_tile_boxes(spark.createDataFrame(pdf), ["image_id"], 0.3, 0.9, 40.0).collect()]
+    got = [r.asDict() for r in merging.merge_tile_boxes(spark.createDataFrame(pdf), ["image_id"], 0.3, 0.9).collect()]
     want = [r for _, g in pdf.groupby(["image_id", "cls"]) for r in brute_unite(g.to_dict("records"), [("x1", "x2"), ("y1", "y2")], joins, True)]
     assert as_set(got, pdf.columns) == as_set(want, pdf.columns)
-    again = merging.merge_tile_boxes(spark.createDataFrame(pd.DataFrame(got)[pdf.columns]), ["image_id"], 0.3, 0.9, 40.0)
+    again = merging.merge_tile_boxes(spark.createDataFrame(pd.DataFrame(got)[pdf.columns]), ["image_id"], 0.3, 0.9)
     assert again.count() == len(got)
 
 
@@ -174,7 +174,7 @@ def test_frame_boxes_merge_by_tie_rule(spark):
 
 def test_suppression_matches_greedy_choice(spark):
     pdf = pd.concat([box_rows(150, 5), box_rows(150, 5).assign(box_id=[f"x{i}" for i in range(150)], conf=lambda d: d.conf - 0.05)])
-    got = merging.suppress_overlaps(spark.createDataFrame(pdf.rename(columns={"conf": "score"})), ["image_id"], 0.45, 0.1, 30.0)
+    got = merging.suppress_overlaps(spark.createDataFrame(pdf.rename(columns={"conf": "score"})), ["image_id"], 0.45, 0.1)
     want = []
     for _, g in pdf[pdf.conf > 0.1].groupby(["image_id", "cls"]):
         left = sorted(g.to_dict("records"), key=lambda r: (r["conf"], r["box_id"]), reverse=True)

@@ -1,211 +1,256 @@
 """Merging of overlapping boxes and flaws.
 
-The outcome of these merges depends on the order in which pairs are met, so each set of boxes that can
-influence one another is handled by one small function. Such sets are found first: boxes whose extents
-are separated along an axis can never meet, however often others are united, so a whole image or scan
-is never gathered in one task.
+The outcome of these merges depends on the order in which pairs are met, but boxes influence one another only if
+they overlap, directly or through others. Such sets are connected components of the overlap graph (``overlap_graph``);
+each is handled by one small function, and no image or scan is gathered in one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from typing import Any
+from heapq import heappop, heappush
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import ordered
-from .ordered import Series
+from ..session import cut_lineage
+from .matching import HAS_AREA, Grid, pairs_of, runs_of
+from .overlap_graph import connected_sets, overlap_sets, settled, work_on_sets
 
+Rows = dict[str, np.ndarray]
+#: Which of the given rows join row ``i``.
+Joins = Callable[[Rows, int, np.ndarray], np.ndarray]
 
-Record = dict[str, Any]
-Kernel = Callable[[list[Record]], list[Record]]
+#: Cells for boxes in pixels and for flaws in millimetres and degrees.
+PIXELS, FLAWS = Grid(4096.0, 4096.0), Grid()
 
 
-def _per_island(df: DataFrame, keys: list[str], start: str, end: str, order: str, gap: float, chunk: float, kernel: Kernel) -> DataFrame:
-    """Run ``kernel`` on every set of rows that is separated from the rest along one axis.
+def _shared(rows: Rows, i: int, others: np.ndarray, axes: list[tuple[str, str]], extra: float = 0.0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Common area (or length) of row ``i`` with others, its own and theirs; ``extra`` counts end pixels."""
+    shared, own, theirs = np.ones(len(others)), np.ones(len(others)), np.ones(len(others))
+    for lo, hi in axes:
+        a, b = rows[lo], rows[hi]
+        shared = shared * np.maximum(np.minimum(b[i], b[others]) - np.maximum(a[i], a[others]) + extra, 0.0)
+        own, theirs = own * (b[i] - a[i] + extra), theirs * (b[others] - a[others] + extra)
+    return shared, own, theirs
 
-    Sets arrive one after the other in sorted partitions, many to an Arrow batch; only a set that crosses
-    the end of a batch is held back. Single rows need no work and pass straight through.
+
+def _unite(axes: list[tuple[str, str]], joins: Joins, second_on_tie: bool) -> Callable[[Rows], np.ndarray]:
+    """Work on a set: unite the first pair that joins until none does; the row with the higher confidence goes on with the united extent.
+
+    Pairs wait in a heap in the order of their rows. A pair is looked at again when its turn comes, and a grown row brings its
+    new partners, so the first joining pair is found without starting over.
     """
-    parted = ordered.interval_islands(df, Series(keys, [start, order], chunk), start, end, gap)
-    group = [*keys, "island"]
-    columns = df.columns
-
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        if pdf.empty:
-            return pdf[columns]
-        number = pdf.groupby(group, sort=False, dropna=False).ngroup().to_numpy()
-        size = np.bincount(number)[number]
-        single, several = pdf.loc[size == 1, columns], pdf.loc[size > 1, columns]
-        cuts = np.flatnonzero(np.diff(number[size > 1])) + 1
-        records = several.to_dict("records")
-        out: list[Record] = []
-        for lo, hi in zip([0, *cuts], [*cuts, len(records)]):
-            if hi > lo:
-                out.extend(kernel(records[lo:hi]))
-        return pd.concat([single, pd.DataFrame(out, columns=columns)], ignore_index=True) if out else single
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: pd.DataFrame | None = None
-        for batch in batches:
-            rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
-            open_set = (rows[group] == rows[group].iloc[-1]).all(axis=1).to_numpy() if len(rows) else np.zeros(0, bool)
-            held = rows[open_set]
-            yield solve(rows[~open_set])
-        if held is not None:
-            yield solve(held)
-
-    placed = parted.repartition(*group).sortWithinPartitions(*group, order)
-    return placed.mapInPandas(run, df.schema)
-
-
-def _unite(rows: list[Record], axes: list[tuple[str, str]], joins: Callable[[Record, Record], bool], second_on_tie: bool) -> list[Record]:
-    """Unite the first pair that joins, start over, until no pair joins; the survivor has the higher confidence."""
-    i = 0
-    while i < len(rows):
-        a = rows[i]
-        j = next((j for j in range(i + 1, len(rows)) if joins(a, rows[j])), None)
-        if j is None:
-            i += 1
-            continue
-        b = rows[j]
-        second = b["conf"] > a["conf"] or (second_on_tie and b["conf"] == a["conf"])
-        keep, drop = (b, i) if second else (a, j)
-        for lo, hi in axes:
-            keep[lo], keep[hi] = min(a[lo], b[lo]), max(a[hi], b[hi])
-        del rows[drop]
-        i = 0
-    return rows
-
-
-def merge_frame_boxes(boxes: DataFrame, keys: list[str], threshold: float, same_class: bool, chunk: float = 1.0) -> DataFrame:
-    """Unite boxes of one frame whose 1-D IoU along x exceeds the threshold (columns x1, x2, cls, conf, box_id)."""
-
-    def joins(a: Record, b: Record) -> bool:
-        shared = min(a["x2"], b["x2"]) - max(a["x1"], b["x1"])
-        if shared <= 0 or (same_class and a["cls"] != b["cls"]):
-            return False
-        return shared / ((a["x2"] - a["x1"]) + (b["x2"] - b["x1"]) - shared) > threshold
-
-    return _per_island(boxes, keys, "x1", "x2", "box_id", 0.0, chunk, lambda rows: _unite(rows, [("x1", "x2")], joins, False))
-
-
-def merge_tile_boxes(boxes: DataFrame, keys: list[str], iou_limit: float, share_limit: float, chunk: float = 1000.0) -> DataFrame:
+
+    def work(rows: Rows) -> np.ndarray:
+        n = len(rows["conf"])
+        conf, here = rows["conf"], np.ones(n, bool)
+        waiting: list[tuple[int, int]] = []
+
+        def meet(i: int, others: np.ndarray) -> None:
+            for j in others[joins(rows, i, others)].tolist():
+                heappush(waiting, (min(i, j), max(i, j)))
+
+        for i in range(n - 1):
+            meet(i, np.arange(i + 1, n))
+        while waiting:
+            i, j = heappop(waiting)
+            if not (here[i] and here[j] and joins(rows, i, np.array([j]))[0]):
+                continue
+            keep, drop = (j, i) if conf[j] > conf[i] or (second_on_tie and conf[j] == conf[i]) else (i, j)
+            for lo, hi in axes:
+                rows[lo][keep], rows[hi][keep] = min(rows[lo][i], rows[lo][j]), max(rows[hi][i], rows[hi][j])
+            here[drop] = False
+            others = np.flatnonzero(here)
+            meet(keep, others[others != keep])
+        return np.flatnonzero(here)
+
+    return work
+
+
+def merge_frame_boxes(boxes: DataFrame, keys: list[str], threshold: float, same_class: bool) -> DataFrame:
+    """Unite boxes of one frame whose 1-D IoU along x exceeds the threshold (columns x1, x2, cls, conf, box_id).
+
+    United intervals cover nothing but their parts, so the sets found first stay apart.
+    """
+    axes = [("x1", "x2")]
+
+    def joins(rows: Rows, i: int, others: np.ndarray) -> np.ndarray:
+        shared, own, theirs = _shared(rows, i, others, axes)
+        return (shared > 0) & (shared > threshold * (own + theirs - shared))
+
+    group = [*keys, "cls"] if same_class else keys
+    sets = overlap_sets(boxes, group, (F.col("x1"), F.lit(0.0), F.col("x2"), F.lit(1.0)), PIXELS)
+    return work_on_sets(sets, "_set", "box_id", ["x1", "x2", "conf"], ["x1", "x2"], _unite(axes, joins, False)).drop("_set")
+
+
+_SQUARE = [("x1", "x2"), ("y1", "y2")]
+
+
+def _corners(extra: float = 0.0):
+    return F.col("x1"), F.col("y1"), F.col("x2") + extra, F.col("y2") + extra
+
+
+def merge_tile_boxes(boxes: DataFrame, keys: list[str], iou_limit: float, share_limit: float) -> DataFrame:
     """Unite boxes of one class that overlap across tiles (pixel corners x1, y1, x2, y2 that belong to the box).
 
-    They join when their IoU or the share of either box that is covered reaches its limit. Near boxes of
-    another class are never united, so every class is an island set of its own.
+    They join when their IoU or the share of either box that is covered reaches its limit; boxes of another class never do.
     """
 
-    def joins(a: Record, b: Record) -> bool:
-        w = max(min(a["x2"], b["x2"]) - max(a["x1"], b["x1"]) + 1.0, 0.0)
-        h = max(min(a["y2"], b["y2"]) - max(a["y1"], b["y1"]) + 1.0, 0.0)
-        shared = w * h
-        area_a = (a["x2"] - a["x1"] + 1.0) * (a["y2"] - a["y1"] + 1.0)
-        area_b = (b["x2"] - b["x1"] + 1.0) * (b["y2"] - b["y1"] + 1.0)
-        return shared / (area_a + area_b - shared) >= iou_limit or max(shared / area_a, shared / area_b) >= share_limit
+    def joins(rows: Rows, i: int, others: np.ndarray) -> np.ndarray:
+        shared, own, theirs = _shared(rows, i, others, _SQUARE, 1.0)
+        return (shared / (own + theirs - shared) >= iou_limit) | (shared / np.minimum(own, theirs) >= share_limit)
+
+    used, changed = ["x1", "y1", "x2", "y2", "conf"], ["x1", "y1", "x2", "y2"]
+    return settled(boxes, [*keys, "cls"], _corners(1.0), PIXELS, "box_id", used, changed, _unite(_SQUARE, joins, True))
+
+
+def unite_v_and_mr(boxes: DataFrame, keys: list[str], threshold: float = 0.1) -> DataFrame:
+    """Unite overlapping V and MR boxes of an image (by class name); other classes pass through."""
 
-    axes = [("x1", "x2"), ("y1", "y2")]
-    return _per_island(boxes, [*keys, "cls"], "y1", "y2", "box_id", 1.0, chunk, lambda rows: _unite(rows, axes, joins, True))
+    def joins(rows: Rows, i: int, others: np.ndarray) -> np.ndarray:
+        shared, own, theirs = _shared(rows, i, others, _SQUARE)
+        area = own + theirs - shared
+        return (area > 0) & (shared >= threshold * area) & (shared > 0)
 
+    used, changed = ["x1", "y1", "x2", "y2", "conf"], ["x1", "y1", "x2", "y2"]
+    both = F.col("cls").isin("V", "MR")
+    united = settled(boxes.where(both), keys, _corners(), PIXELS, "box_id", used, changed, _unite(_SQUARE, joins, False))
+    return united.unionByName(boxes.where(~F.coalesce(both, F.lit(False))))
 
-def suppress_overlaps(boxes: DataFrame, keys: list[str], threshold: float, confidence: float, chunk: float = 1000.0, inclusive: bool = True) -> DataFrame:
+
+#: Rounds in which boxes without a better rival are kept, before the rest is walked through in order.
+ROUNDS = 8
+
+
+def suppress_overlaps(boxes: DataFrame, keys: list[str], threshold: float, confidence: float, inclusive: bool = True, grid: Grid = PIXELS) -> DataFrame:
     """Non-maximum suppression within each class (columns x1, y1, x2, y2, cls, score, box_id).
 
-    The best remaining box drops every other one that overlaps it by more than the threshold. Copies of
-    one box always leave just the best copy, so they are collapsed before boxes are compared.
+    A box goes if a better one that stays overlaps it by more than the threshold; equal scores go by the larger id. Copies of
+    one box leave the best copy, before boxes are compared. Only pairs above the threshold are formed. In each round the
+    boxes that no open pair beats stay and remove what they beat, as joins; long chains of ever better boxes that are
+    left after some rounds are walked through from the best box downwards, each connected set by itself.
     """
-    extra = 1.0 if inclusive else 0.0
     columns = boxes.columns
-    rest = [c for c in columns if c not in (*keys, "cls", "x1", "y1", "x2", "y2")]
-    best_copy = F.struct(F.col("score"), F.col("box_id"))
-    single = boxes.where(F.col("score") > confidence).groupBy(*keys, "cls", "x1", "y1", "x2", "y2").agg(
-        F.max_by(F.struct(*rest), best_copy).alias("_row")
-    )
-    single = single.select(*[F.col(f"_row.{c}").alias(c) if c in rest else F.col(c) for c in columns])
-
-    def keep(rows: list[Record]) -> list[Record]:
-        rows.sort(key=lambda r: (r["score"], r["box_id"]), reverse=True)
-        x1, y1, x2, y2 = (np.array([r[c] for r in rows], float) for c in ("x1", "y1", "x2", "y2"))
-        order = np.arange(len(rows))
-        area = (x2 - x1 + extra) * (y2 - y1 + extra)
-        kept = []
-        while order.size:
-            top, others = order[0], order[1:]
-            kept.append(top)
-            w = np.maximum(np.minimum(x2[top], x2[others]) - np.maximum(x1[top], x1[others]) + extra, 0.0)
-            h = np.maximum(np.minimum(y2[top], y2[others]) - np.maximum(y1[top], y1[others]) + extra, 0.0)
-            shared = w * h
-            order = others[shared <= threshold * (area[top] + area[others] - shared)]
-        return [rows[i] for i in kept]
-
-    return _per_island(single, [*keys, "cls"], "y1", "y2", "box_id", extra, chunk, keep)
+    group = [*keys, "cls"]
+    rest = [c for c in columns if c not in (*group, "x1", "y1", "x2", "y2")]
+    best = F.max_by(F.struct(*rest), F.struct(F.col("score"), F.col("box_id")))
+    single = boxes.where(F.col("score") > confidence).groupBy(*group, "x1", "y1", "x2", "y2").agg(best.alias("_row"))
+    single = cut_lineage(single.select(*[F.col(f"_row.{c}").alias(c) if c in rest else F.col(c) for c in columns]), "single")
+    x1, y1, x2, y2 = (c.cast("double") for c in _corners(1.0 if inclusive else 0.0))
+    sized = single.select(*group, x1.alias("x"), y1.alias("y"), (x2 - x1).alias("w"), (y2 - y1).alias("h"), F.struct(F.lit(0).alias("_order"), "score", "box_id").alias("first"))
+    runs = runs_of(None, sized.where(HAS_AREA), group, grid)
+    a, b = (F.struct(f"{p}_first.score", f"{p}_first.box_id", F.col(f"{p}_place").alias("place")) for p in ("a", "b"))
+    pairs = pairs_of(runs, group, grid, threshold).where(F.col("iou") > threshold).select(F.greatest(a, b).alias("p"), F.least(a, b).alias("q"))
+    pairs = cut_lineage(pairs.selectExpr("p.place AS better", "p.score", "p.box_id", "q.place AS worse"), "rivals")
+    gone: DataFrame | None = None
+    for _ in range(ROUNDS):
+        if pairs.isEmpty():
+            break
+        stay = pairs.select("better").join(pairs.select(F.col("worse").alias("better")), "better", "left_anti").distinct()
+        beaten = cut_lineage(pairs.join(stay, "better", "left_semi").select("worse").distinct(), "beaten")
+        gone = beaten if gone is None else gone.unionByName(beaten)
+        pairs = cut_lineage(pairs.join(beaten, "worse", "left_anti").join(beaten.withColumnRenamed("worse", "better"), "better", "left_anti"), "rivals")
+    else:
+        if not pairs.isEmpty():
+            gone = gone.unionByName(_beaten_in_order(pairs))
+    if gone is None:
+        return single.select(*columns)
+    lost = runs.join(gone, F.col("place") == F.col("worse"), "left_semi")
+    lost = lost.select(*group, F.col("first.box_id").alias("box_id"), F.col("x").alias("_x"), F.col("y").alias("_y"), F.col("w").alias("_w"), F.col("h").alias("_h"))
+    same = [single[k].eqNullSafe(lost[k]) for k in [*group, "box_id"]] + [v == F.col(n) for v, n in zip((x1, y1, x2 - x1, y2 - y1), ("_x", "_y", "_w", "_h"))]
+    return single.join(lost, same, "left_anti").select(*columns)
+
+
+def _beaten_in_order(pairs: DataFrame) -> DataFrame:
+    """``worse`` of all pairs whose better box stays, pair by pair from the best box of a connected set downwards."""
+    sets = connected_sets(pairs.select(F.col("better").alias("a"), F.col("worse").alias("b")))
+    ordered = pairs.join(sets, F.col("better") == F.col("node")).select("set", "better", "score", "box_id", "worse")
+    ordered = ordered.repartition("set").sortWithinPartitions("set", F.desc("score"), F.desc("box_id"), F.desc("better")).select("set", "better", "worse")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_, gone = None, set()
+        for batch in batches:
+            out = []
+            for number, better, worse in zip(*(column.to_pylist() for column in batch.columns)):
+                if number != open_:
+                    open_, gone = number, set()
+                if better not in gone and worse not in gone:
+                    gone.add(worse)
+                    out.append(worse)
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], ["worse"])
+
+    return ordered.mapInArrow(run, "worse long")
 
 
 NOTE_OVERLAPPED = "Note 1 - overlapped"
 
 
-def unite_overlapping_flaws(flaws: DataFrame, keys: list[str], threshold: float = 0.5, chunk: float = 1000.0) -> DataFrame:
+def unite_overlapping_flaws(flaws: DataFrame, keys: list[str], threshold: float = 0.5, grid: Grid = FLAWS) -> DataFrame:
     """Overlapping flaws become one with all their categories; the survivor has the higher confidence.
 
-    Needs x_start, y_start, x_end, y_end, flaw_type, confidence, flaw_id and possible_category (array).
-    On equal confidence the later flaw survives. Categories are class names only, each once.
+    Needs x_start, y_start, x_end, y_end, flaw_type, confidence, flaw_id and possible_category (array). Pairs with an IoU of
+    at least ``threshold`` are taken in the order of their ids, as long as both flaws are there: the survivor (the later one
+    on equal confidence) becomes a note and both get the categories and types of the pair, each once and in that order.
     """
-
-    def run(rows: list[Record]) -> list[Record]:
-        for r in rows:
-            r["possible_category"] = list(r["possible_category"]) if r["possible_category"] is not None else []
-        gone: set[int] = set()
-        for i, a in enumerate(rows):
-            for j in range(i + 1, len(rows)):
-                if i in gone:
-                    break
-                if j in gone:
-                    continue
-                b = rows[j]
-                w = max(min(a["x_end"], b["x_end"]) - max(a["x_start"], b["x_start"]), 0)
-                h = max(min(a["y_end"], b["y_end"]) - max(a["y_start"], b["y_start"]), 0)
-                area = (a["x_end"] - a["x_start"]) * (a["y_end"] - a["y_start"]) + (b["x_end"] - b["x_start"]) * (b["y_end"] - b["y_start"])
-                if area - w * h <= 0 or w * h / (area - w * h) < threshold:
-                    continue
-                names = [*a["possible_category"], *b["possible_category"], a["flaw_type"], b["flaw_type"]]
-                united = list(dict.fromkeys(n for n in names if n != NOTE_OVERLAPPED))
-                a["possible_category"], b["possible_category"] = united, list(united)
-                survivor, loser = (a, j) if a["confidence"] > b["confidence"] else (b, i)
-                survivor["flaw_type"] = NOTE_OVERLAPPED
-                gone.add(loser)
-        return [r for i, r in enumerate(rows) if i not in gone]
-
-    return _per_island(flaws, keys, "y_start", "y_end", "flaw_id", 0.0, chunk, run)
-
-
-def representative_levels(boxes: DataFrame, keys: list[str], reach: int = 5, ends: int = 3, chunk: float = 1000.0) -> DataFrame:
+    axes = [("x_start", "x_end"), ("y_start", "y_end")]
+
+    def work(rows: Rows) -> np.ndarray:
+        n = len(rows["confidence"])
+        here = np.ones(n, bool)
+        kinds, names = rows["flaw_type"], rows["possible_category"]
+        for i in range(n - 1):
+            later = np.arange(i + 1, n)
+            shared, own, theirs = _shared(rows, i, later, axes)
+            area = own + theirs - shared
+            reached = (area > 0) & (shared / np.where(area > 0, area, 1.0) >= threshold)
+            for j in later[reached].tolist():
+                if here[i] and here[j]:
+                    told = [*(names[i] or []), *(names[j] or []), kinds[i], kinds[j]]
+                    names[i] = names[j] = list(dict.fromkeys(t for t in told if t != NOTE_OVERLAPPED))
+                    stays, goes = (i, j) if rows["confidence"][i] > rows["confidence"][j] else (j, i)
+                    kinds[stays], here[goes] = NOTE_OVERLAPPED, False
+        return np.flatnonzero(here)
+
+    corners = tuple(F.col(c) for c in ("x_start", "y_start", "x_end", "y_end"))
+    listed = flaws.withColumn("possible_category", F.coalesce("possible_category", F.array().cast("array<string>")))
+    sets = overlap_sets(listed, keys, corners, grid, threshold * (1 - 1e-9))
+    used = ["x_start", "y_start", "x_end", "y_end", "flaw_type", "confidence", "possible_category"]
+    return work_on_sets(sets, "_set", "flaw_id", used, ["flaw_type", "possible_category"], work).drop("_set")
+
+
+def representative_levels(boxes: DataFrame, keys: list[str], reach: int = 5, ends: int = 3) -> DataFrame:
     """Group boxes of about the same height and keep the leftmost of each group.
 
     Needs middle_y, first_y, last_y, left_x and box_id. A box joins the first group, in order of
     middle_y, whose members all lie within ``reach`` of it and whose first and last rows differ by at
-    most ``ends``.
+    most ``ends``. Boxes that may share a group overlap when middle and first row are given those widths.
     """
-
-    def run(rows: list[Record]) -> list[Record]:
-        groups: list[list[Record]] = []
-        for box in sorted(rows, key=lambda r: (r["middle_y"], r["box_id"])):
-            for g in groups:
-                middles = [m["middle_y"] for m in g]
-                near = box["middle_y"] - min(middles) <= reach and max(middles) - box["middle_y"] <= reach
-                if near and all(abs(box[c] - m[c]) <= ends for m in g for c in ("first_y", "last_y")):
-                    g.append(box)
-                    break
+    limits = {"middle_y": reach, "first_y": ends, "last_y": ends}
+
+    def work(rows: Rows) -> np.ndarray:
+        values = np.stack([rows[c].astype(float) for c in limits], axis=1)
+        wide = np.array(list(limits.values()), float)
+        low, high = np.zeros((0, 3)), np.zeros((0, 3))
+        leftmost: list[int] = []
+        for at in np.argsort(rows["middle_y"], kind="stable").tolist():
+            own = values[at]
+            near = np.flatnonzero(((own - low <= wide) & (high - own <= wide)).all(axis=1))
+            if len(near):
+                g = int(near[0])
+                low[g], high[g] = np.minimum(low[g], own), np.maximum(high[g], own)
+                if rows["left_x"][at] < rows["left_x"][leftmost[g]]:
+                    leftmost[g] = at
             else:
-                groups.append([box])
-        return [min(g, key=lambda m: m["left_x"]) for g in groups]
+                low, high = np.vstack([low, own]), np.vstack([high, own])
+                leftmost.append(at)
+        return np.array(leftmost, np.int64)
 
-    tops = boxes.withColumn("_top", F.col("middle_y"))
-    out = _per_island(tops, keys, "middle_y", "_top", "box_id", float(reach), chunk, run)
-    return out.drop("_top")
+    middle, first = F.col("middle_y").cast("double"), F.col("first_y").cast("double")
+    sets = overlap_sets(boxes, keys, (middle, first, middle + (reach + 0.5), first + (ends + 0.5)), PIXELS)
+    return work_on_sets(sets, "_set", "box_id", ["middle_y", "first_y", "last_y", "left_x"], [], work).drop("_set")
 
 
 def merge_across_zero(flaws: DataFrame, keys: list[str], axial_tol: float, rotary_tol: float) -> DataFrame:
@@ -262,21 +307,6 @@ def merge_across_zero(flaws: DataFrame, keys: list[str], axial_tol: float, rotar
     )
 
 
-def unite_v_and_mr(boxes: DataFrame, keys: list[str], threshold: float = 0.1, chunk: float = 1000.0) -> DataFrame:
-    """Unite overlapping V and MR boxes of an image (by class name); other classes pass through."""
-
-    def joins(a: Record, b: Record) -> bool:
-        if {a["cls"], b["cls"]} - {"V", "MR"}:
-            return False
-        w = max(min(a["x2"], b["x2"]) - max(a["x1"], b["x1"]), 0.0)
-        h = max(min(a["y2"], b["y2"]) - max(a["y1"], b["y1"]), 0.0)
-        area = (a["x2"] - a["x1"]) * (a["y2"] - a["y1"]) + (b["x2"] - b["x1"]) * (b["y2"] - b["y1"]) - w * h
-        return area > 0 and w * h / area >= threshold
-
-    axes = [("x1", "x2"), ("y1", "y2")]
-    return _per_island(boxes, keys, "y1", "y2", "box_id", 0.0, chunk, lambda rows: _unite(rows, axes, joins, False))
-
-
 def usable_detections(boxes: DataFrame, confidence: float = 0.10, spaghetti: float = 0.5, shift: int = 10) -> DataFrame:
     """Detections worth measuring: confident enough for their class, 'default' boxes moved to the right."""
     enough = (F.col("conf") >= confidence) & ~((F.lower("cls") == "spaghetti") & (F.col("conf") < spaghetti))

@@ -34,33 +34,107 @@ def interval_iou(spark, sf_dir):
     return fx.boxes(spark, sf_dir).select("image_id", "box_id", F.round(value, 6).alias("iou"))
 
 
-@query("merged_frame_boxes_m2")
+# SQL that plays a merge on lists: ``b`` holds the boxes of a group in order, each step changes the first pair that joins.
+CORNERS_SQL = """, corners AS (SELECT image_id, box_id, cls, conf, (x - w / 2) * 1000 AS x1, (y - h / 2) * 600 AS y1, (x + w / 2) * 1000 AS x2, (y + h / 2) * 600 AS y2 FROM boxes)"""
+PAIRS_OF_LIST = "flatten(list_transform(range(1, len(b)), lambda i_: list_transform(range(i_ + 1, len(b) + 1), lambda j_: {'i': i_, 'j': j_})))"
+
+
+def unite_sql(source: str, group: str, joins: str, second_wins: str) -> str:
+    """Recursive SQL of uniting boxes; ``joins`` and ``second_wins`` speak of two boxes ``u`` and ``v``."""
+    pair = lambda text: text.replace("u.", "b[p_.i].").replace("v.", "b[p_.j].")
+    both = lambda text: text.replace("u.", "u_.").replace("v.", "v_.")
+    return f""", steps AS (
+  SELECT {group}, list({{'box_id': box_id, 'cls': cls, 'conf': conf, 'x1': x1, 'y1': y1, 'x2': x2, 'y2': y2}} ORDER BY box_id) AS b, 0 AS n FROM {source} GROUP BY {group}
+  UNION ALL
+  SELECT {group}, list_filter(list_transform(b, lambda x, k: CASE WHEN k = keep THEN {{'box_id': x.box_id, 'cls': x.cls, 'conf': x.conf, 'x1': least(u_.x1, v_.x1), 'y1': least(u_.y1, v_.y1),
+    'x2': greatest(u_.x2, v_.x2), 'y2': greatest(u_.y2, v_.y2)}} WHEN k <> gone THEN x END), lambda x: x IS NOT NULL), n + 1
+  FROM (SELECT *, CASE WHEN {both(second_wins)} THEN j ELSE i END AS keep, CASE WHEN {both(second_wins)} THEN i ELSE j END AS gone
+    FROM (SELECT {group}, b, n, f.i AS i, f.j AS j, b[f.i] AS u_, b[f.j] AS v_
+      FROM (SELECT {group}, b, n, list_filter({PAIRS_OF_LIST}, lambda p_: {pair(joins)})[1] AS f FROM steps) WHERE f IS NOT NULL))
+), united AS (SELECT {group}, unnest(arg_max(b, n), recursive := true) FROM steps GROUP BY {group})"""
+
+
+X_SHARED = "(least(u.x2, v.x2) - greatest(u.x1, v.x1))"
+AREA_SHARED = "(greatest(least(u.x2, v.x2) - greatest(u.x1, v.x1) + {e}, 0.0) * greatest(least(u.y2, v.y2) - greatest(u.y1, v.y1) + {e}, 0.0))"
+AREA_OF = "(({b}.x2 - {b}.x1 + {e}) * ({b}.y2 - {b}.y1 + {e}))"
+UNION_SQL = f"({AREA_OF.replace('{b}', 'u')} + {AREA_OF.replace('{b}', 'v')} - {AREA_SHARED})"
+SHOWN_SQL = "round(x1, 6) AS x1, round(x2, 6) AS x2, round(y1, 6) AS y1, round(y2, 6) AS y2"
+
+
+def recursive(sql: str) -> str:
+    return sql.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+def shown(df, *columns: str):
+    return df.select("image_id", "box_id", "cls", "conf", *[F.round(c, 6).alias(c) for c in columns])
+
+
+@query(
+    "merged_frame_boxes_m2",
+    recursive(with_tables("boxes", CORNERS_SQL + unite_sql(
+        "corners", "image_id, cls", f"{X_SHARED} > 0 AND {X_SHARED} > 0.25 * ((u.x2 - u.x1) + (v.x2 - v.x1) - {X_SHARED})", "v.conf > u.conf",
+    ) + " SELECT image_id, box_id, cls, conf, round(x1, 6) AS x1, round(x2, 6) AS x2 FROM united".replace("cls,", "united.cls,"))),
+)
 def merged_frame_boxes(spark, sf_dir):
     boxes = corner_boxes(spark, sf_dir).drop("y1", "y2")
-    return merging.merge_frame_boxes(boxes, ["image_id"], 0.25, same_class=True, chunk=100.0)
+    return shown(merging.merge_frame_boxes(boxes, ["image_id"], 0.25, same_class=True), "x1", "x2")
 
 
-@query("merged_tile_boxes_m3")
+@query(
+    "merged_tile_boxes_m3",
+    recursive(with_tables("boxes", CORNERS_SQL + ", whole AS (SELECT image_id, box_id, cls, conf, floor(x1) AS x1, floor(y1) AS y1, floor(x2) AS x2, floor(y2) AS y2 FROM corners)" + unite_sql(
+        "whole", "image_id, cls",
+        f"({AREA_SHARED} / {UNION_SQL} >= 0.3 OR {AREA_SHARED} / least({AREA_OF.replace('{b}', 'u')}, {AREA_OF.replace('{b}', 'v')}) >= 0.9)".replace("{e}", "1"), "v.conf >= u.conf",
+    ) + f" SELECT image_id, box_id, united.cls, conf, {SHOWN_SQL} FROM united")),
+)
 def merged_tile_boxes(spark, sf_dir):
     boxes = corner_boxes(spark, sf_dir)
     whole = boxes.select("image_id", "box_id", "cls", "conf", *[F.floor(c).cast("double").alias(c) for c in ("x1", "y1", "x2", "y2")])
-    return merging.merge_tile_boxes(whole, ["image_id"], 0.3, 0.9, chunk=100.0)
+    return shown(merging.merge_tile_boxes(whole, ["image_id"], 0.3, 0.9), "x1", "x2", "y1", "y2")
 
 
-@query("suppressed_boxes_m4")
-def suppressed_boxes(spark, sf_dir):
-    boxes = corner_boxes(spark, sf_dir).withColumnRenamed("conf", "score")
-    return merging.suppress_overlaps(boxes, ["image_id"], 0.45, 0.1, chunk=100.0)
+NMS_SQL = CORNERS_SQL + f""", walk AS (
+  SELECT image_id, cls, list({{'box_id': box_id, 'score': conf, 'x1': x1, 'y1': y1, 'x2': x2, 'y2': y2}} ORDER BY conf DESC, box_id DESC) AS b, 0 AS n,
+    list({{'box_id': box_id, 'score': conf, 'x1': x1, 'y1': y1, 'x2': x2, 'y2': y2}}) FILTER (FALSE) AS kept FROM corners WHERE conf > 0.1 GROUP BY image_id, cls
+  UNION ALL
+  SELECT image_id, cls, b, n + 1, CASE WHEN len(list_filter(coalesce(kept, []), lambda u_: {AREA_SHARED} / {UNION_SQL} > 0.45)) = 0 THEN list_append(kept, b[n + 1]) ELSE kept END
+  FROM walk WHERE n < len(b)
+), stayed AS (SELECT image_id, cls, unnest(kept, recursive := true) FROM walk WHERE n = len(b))
+SELECT image_id, box_id, cls, score, {SHOWN_SQL} FROM stayed""".replace("{e}", "1").replace("u.", "u_.").replace("v.", "b[n + 1].")
 
 
-@query("overlapping_flaws_m5")
+@query("suppressed_boxes_m4", recursive(with_tables("boxes", NMS_SQL)))
+def suppressed_boxes(spark, sf_dir):
+    boxes = corner_boxes(spark, sf_dir).withColumnRenamed("conf", "score")
+    kept = merging.suppress_overlaps(boxes, ["image_id"], 0.45, 0.1)
+    return kept.select("image_id", "box_id", "cls", "score", *[F.round(c, 6).alias(c) for c in ("x1", "x2", "y1", "y2")])
+
+
+FLAW_IOU_SQL = f"({AREA_SHARED} / {UNION_SQL})".replace("{e}", "0")
+FLAWS_SQL = f""", f AS (SELECT scan_id, ind_num AS flaw_id, flaw_type, confidence, rotary_start AS x1, rotary_start + width AS x2, axial_start AS y1, axial_start + length AS y2 FROM predicted),
+lists AS (SELECT scan_id, list({{'flaw_id': flaw_id, 'flaw_type': flaw_type, 'confidence': confidence, 'x1': x1, 'y1': y1, 'x2': x2, 'y2': y2}} ORDER BY flaw_id) AS b FROM f GROUP BY scan_id),
+walk AS (
+  SELECT scan_id, list_filter({PAIRS_OF_LIST}, lambda p_: {FLAW_IOU_SQL.replace('u.', 'b[p_.i].').replace('v.', 'b[p_.j].')} >= 0.5) AS e, 0 AS n,
+    list_transform(b, lambda x: {{'flaw_id': x.flaw_id, 'flaw_type': x.flaw_type, 'confidence': x.confidence, 'names': [x.flaw_type], 'here': TRUE}}) AS b FROM lists
+  UNION ALL
+  SELECT scan_id, e, n + 1, CASE WHEN b[e[n + 1].i].here AND b[e[n + 1].j].here THEN list_transform(b, lambda x, k: CASE WHEN k = e[n + 1].i OR k = e[n + 1].j THEN
+      {{'flaw_id': x.flaw_id, 'flaw_type': CASE WHEN (k = e[n + 1].i) = (b[e[n + 1].i].confidence > b[e[n + 1].j].confidence) THEN 'Note 1 - overlapped' ELSE x.flaw_type END,
+        'confidence': x.confidence, 'names': list_sort(list_distinct(list_filter(list_concat(b[e[n + 1].i].names, b[e[n + 1].j].names, [b[e[n + 1].i].flaw_type, b[e[n + 1].j].flaw_type]),
+          lambda t: t <> 'Note 1 - overlapped'))), 'here': (k = e[n + 1].i) = (b[e[n + 1].i].confidence > b[e[n + 1].j].confidence)}} ELSE x END) ELSE b END
+  FROM walk WHERE n < len(e)
+), left_over AS (SELECT scan_id, unnest(b, recursive := true) FROM walk WHERE n = len(e))
+SELECT scan_id, flaw_id, flaw_type, confidence, array_to_string(list_sort(names), '|') AS categories FROM left_over WHERE here"""
+
+
+@query("overlapping_flaws_m5", recursive(with_tables("predicted", FLAWS_SQL)))
 def overlapping_flaws(spark, sf_dir):
     flaws = fx.predicted(spark, sf_dir).select(
         "scan_id", F.col("ind_num").alias("flaw_id"), "flaw_type", "confidence", F.col("rotary_start").alias("x_start"),
         (F.col("rotary_start") + F.col("width")).alias("x_end"), F.col("axial_start").alias("y_start"),
         (F.col("axial_start") + F.col("length")).alias("y_end"), F.array("flaw_type").alias("possible_category"),
     )
-    return merging.unite_overlapping_flaws(flaws, ["scan_id"], 0.5, chunk=25.0)
+    united = merging.unite_overlapping_flaws(flaws, ["scan_id"], 0.5)
+    return united.select("scan_id", "flaw_id", "flaw_type", "confidence", F.array_join(F.array_sort("possible_category"), "|").alias("categories"))
 
 
 EDGE_SQL = """, e AS (SELECT scan_id, ind_num, CASE WHEN contains(flaw_type, 'Debris') THEN 'Scrape' ELSE 'CC' END AS flaw_type, axial_start, length,
@@ -95,18 +169,38 @@ def merged_across_zero(spark, sf_dir):
     return out.select("scan_id", "ind_num", *[F.round(c, 6).alias(c) for c in shown], "merged_id")
 
 
-@query("united_v_mr_m7")
+@query(
+    "united_v_mr_m7",
+    recursive(with_tables("boxes", CORNERS_SQL + ", v_and_mr AS (SELECT * FROM corners WHERE cls IN ('V', 'MR'))" + unite_sql(
+        "v_and_mr", "image_id", f"({AREA_SHARED} > 0 AND {AREA_SHARED} >= 0.1 * {UNION_SQL})".replace("{e}", "0"), "v.conf > u.conf",
+    ) + f""" SELECT image_id, box_id, cls, conf, {SHOWN_SQL} FROM united
+  UNION ALL SELECT image_id, box_id, cls, conf, {SHOWN_SQL} FROM corners WHERE cls NOT IN ('V', 'MR')""")),
+)
 def united_v_mr(spark, sf_dir):
-    return merging.unite_v_and_mr(corner_boxes(spark, sf_dir), ["image_id"], 0.1, chunk=100.0)
+    return shown(merging.unite_v_and_mr(corner_boxes(spark, sf_dir), ["image_id"], 0.1), "x1", "x2", "y1", "y2")
+
+
+LEVELS_SQL = CORNERS_SQL + """, l AS (SELECT image_id, box_id, floor((y1 + y2) / 2) AS m, floor(y1) AS f, floor(y2) AS e, x1 AS left_x FROM corners),
+walk AS (
+  SELECT image_id, list({'box_id': box_id, 'm': m, 'f': f, 'e': e, 'left_x': left_x} ORDER BY m, box_id) AS b, 0 AS n,
+    list({'box_id': box_id, 'left_x': left_x, 'm': [m, m], 'f': [f, f], 'e': [e, e]}) FILTER (FALSE) AS g FROM l GROUP BY image_id
+  UNION ALL
+  SELECT image_id, b, n + 1, CASE WHEN spot IS NULL THEN list_append(g, {'box_id': x.box_id, 'left_x': x.left_x, 'm': [x.m, x.m], 'f': [x.f, x.f], 'e': [x.e, x.e]})
+    ELSE list_transform(g, lambda y, k: CASE WHEN k = spot THEN {'box_id': CASE WHEN x.left_x < y.left_x THEN x.box_id ELSE y.box_id END, 'left_x': least(x.left_x, y.left_x),
+      'm': [least(y.m[1], x.m), greatest(y.m[2], x.m)], 'f': [least(y.f[1], x.f), greatest(y.f[2], x.f)], 'e': [least(y.e[1], x.e), greatest(y.e[2], x.e)]} ELSE y END) END
+  FROM (SELECT image_id, b, n, g, b[n + 1] AS x, list_filter(range(1, coalesce(len(g), 0) + 1), lambda k: b[n + 1].m - g[k].m[1] <= 5 AND g[k].m[2] - b[n + 1].m <= 5
+    AND b[n + 1].f - g[k].f[1] <= 3 AND g[k].f[2] - b[n + 1].f <= 3 AND b[n + 1].e - g[k].e[1] <= 3 AND g[k].e[2] - b[n + 1].e <= 3)[1] AS spot FROM walk WHERE n < len(b))
+), groups AS (SELECT image_id, unnest(list_transform(g, lambda y: y.box_id)) AS box_id FROM walk WHERE n = len(b))
+SELECT image_id, box_id, m::BIGINT AS middle_y, round(left_x, 6) AS left_x FROM groups JOIN l USING (image_id, box_id)"""
 
 
-@query("box_levels_m8")
+@query("box_levels_m8", recursive(with_tables("boxes", LEVELS_SQL)))
 def box_levels(spark, sf_dir):
     boxes = corner_boxes(spark, sf_dir).select(
         "image_id", "box_id", F.floor((F.col("y1") + F.col("y2")) / 2).alias("middle_y"), F.floor("y1").alias("first_y"),
         F.floor("y2").alias("last_y"), F.col("x1").alias("left_x"),
     )
-    return merging.representative_levels(boxes, ["image_id"], chunk=100.0)
+    return merging.representative_levels(boxes, ["image_id"]).select("image_id", "box_id", "middle_y", F.round("left_x", 6).alias("left_x"))
 
 
 ROWS_SQL = """, p AS (SELECT *, row_number() OVER (PARTITION BY image_id, box_id ORDER BY y) - 1 AS i, count(*) OVER (PARTITION BY image_id, box_id) AS n FROM box_rows),
