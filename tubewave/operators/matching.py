@@ -169,18 +169,18 @@ def _mark(group_columns: int):
     return run
 
 
-def runs_of(left: DataFrame | None, right: DataFrame, keys: list[str], grid: Grid) -> DataFrame:
+def runs_of(left: DataFrame | None, right: DataFrame, keys: list[str], grid: Grid, copies: list[Column] | None = None) -> DataFrame:
     """Boxes of both sides (0 and 1) with their runs and first bounds, as a written table.
 
-    Copies of a box follow each other on the curve, the first one in front, and leave one row (two, where a range of the
-    sort ends between them).
+    Copies of a box follow each other on the curve, the first one in front (by ``first._order``, or as ``copies`` orders them),
+    and leave one row (two, where a range of the sort ends between them).
     """
     both = right.withColumn("side", F.lit(1))
     if left is not None:
         both = left.withColumn("side", F.lit(0)).unionByName(both)
     cy, cx, code = _curve(grid)
     rest = [c for c in ("n", "first") if c in right.columns]
-    order = [*keys, "_cy", "_cx", "_code", "side", *GEOMETRY, F.col("first._order")]
+    order = [*keys, "_cy", "_cx", "_code", "side", *GEOMETRY, *(copies or [F.col("first._order")])]
     sided = both.select(*keys, cy.alias("_cy"), cx.alias("_cx"), *GEOMETRY, "side", *rest, code.alias("_code"))
     ranged = sided.repartitionByRange(*order).sortWithinPartitions(*order).drop("_code")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ranged.schema.fields)

@@ -129,19 +129,15 @@ def suppress_overlaps(boxes: DataFrame, keys: list[str], threshold: float, confi
     """Non-maximum suppression within each class (columns x1, y1, x2, y2, cls, score, box_id).
 
     A box goes if a better one that stays overlaps it by more than the threshold; equal scores go by the larger id. Copies of
-    one box leave the best copy, before boxes are compared. Only pairs above the threshold are formed. In each round the
+    one box leave the best copy, before boxes are compared; boxes without an area overlap nothing and stay. Only pairs above the threshold are formed. In each round the
     boxes that no open pair beats stay and remove what they beat, as joins; long chains of ever better boxes that are
     left after some rounds are walked through from the best box downwards, each connected set by itself.
     """
-    columns = boxes.columns
     group = [*keys, "cls"]
-    rest = [c for c in columns if c not in (*group, "x1", "y1", "x2", "y2")]
-    best = F.max_by(F.struct(*rest), F.struct(F.col("score"), F.col("box_id")))
-    single = boxes.where(F.col("score") > confidence).groupBy(*group, "x1", "y1", "x2", "y2").agg(best.alias("_row"))
-    single = cut_lineage(single.select(*[F.col(f"_row.{c}").alias(c) if c in rest else F.col(c) for c in columns]), "single")
     x1, y1, x2, y2 = (c.cast("double") for c in _corners(1.0 if inclusive else 0.0))
-    sized = single.select(*group, x1.alias("x"), y1.alias("y"), (x2 - x1).alias("w"), (y2 - y1).alias("h"), F.struct(F.lit(0).alias("_order"), "score", "box_id").alias("first"))
-    runs = runs_of(None, sized.where(HAS_AREA), group, grid)
+    good = boxes.where(F.col("score") > confidence)
+    sized = good.select(*group, x1.alias("x"), y1.alias("y"), (x2 - x1).alias("w"), (y2 - y1).alias("h"), F.struct(*boxes.columns).alias("first"))
+    runs = runs_of(None, sized.where(HAS_AREA), group, grid, [F.desc("first.score"), F.desc("first.box_id")])
     a, b = (F.struct(f"{p}_first.score", f"{p}_first.box_id", F.col(f"{p}_place").alias("place")) for p in ("a", "b"))
     pairs = pairs_of(runs, group, grid, threshold).where(F.col("iou") > threshold).select(F.greatest(a, b).alias("p"), F.least(a, b).alias("q"))
     pairs = cut_lineage(pairs.selectExpr("p.place AS better", "p.score", "p.box_id", "q.place AS worse"), "rivals")
@@ -156,12 +152,9 @@ def suppress_overlaps(boxes: DataFrame, keys: list[str], threshold: float, confi
     else:
         if not pairs.isEmpty():
             gone = gone.unionByName(_beaten_in_order(pairs))
-    if gone is None:
-        return single.select(*columns)
-    lost = runs.join(gone, F.col("place") == F.col("worse"), "left_semi")
-    lost = lost.select(*group, F.col("first.box_id").alias("box_id"), F.col("x").alias("_x"), F.col("y").alias("_y"), F.col("w").alias("_w"), F.col("h").alias("_h"))
-    same = [single[k].eqNullSafe(lost[k]) for k in [*group, "box_id"]] + [v == F.col(n) for v, n in zip((x1, y1, x2 - x1, y2 - y1), ("_x", "_y", "_w", "_h"))]
-    return single.join(lost, same, "left_anti").select(*columns)
+    kept = runs if gone is None else runs.join(gone, F.col("place") == F.col("worse"), "left_anti")
+    flat = sized.where(f"NOT coalesce({HAS_AREA}, FALSE)").select("first.*")
+    return kept.select("first.*").unionByName(flat)
 
 
 def _beaten_in_order(pairs: DataFrame) -> DataFrame:
