@@ -31,28 +31,32 @@ def top_peaks(samples: Column, k: int, threshold: float) -> Column:
 def drop_far_depths(df: DataFrame, keys: list[str], depth: str, tie: str, limit: float, top: int = 5) -> DataFrame:
     """Mark depths too far from the median of the deepest few.
 
-    Adds ``reference`` and ``kept``; when every depth of a group is far from its reference all are kept.
+    Adds ``reference`` and ``kept``; when every depth of a group is far from its reference all are kept. A missing depth is
+    neither counted nor kept; a group without any depth has no reference.
     """
-    deepest = top_rows(df, keys, [F.col(depth).desc(), F.col(tie)], top)
+    known = F.col(depth).isNotNull()
+    deepest = top_rows(df.where(known), keys, [F.col(depth).desc(), F.col(tie)], top)
     reference = deepest.groupBy(*keys).agg(F.percentile(depth, F.lit(0.5)).alias("reference"))
-    marked = df.join(reference, keys).withColumn("_near", F.abs(F.col(depth) - F.col("reference")) <= limit)
+    marked = df.join(reference, keys, "left").withColumn("_near", F.coalesce(F.abs(F.col(depth) - F.col("reference")) <= limit, F.lit(False)))
     some = marked.groupBy(*keys).agg(F.max("_near").alias("_some"))
-    return marked.join(some, keys).withColumn("kept", F.col("_near") | ~F.col("_some")).drop("_near", "_some")
+    return marked.join(some, keys).withColumn("kept", F.col("_near") | (known & ~F.col("_some"))).drop("_near", "_some")
 
 
 def pick_depth(df: DataFrame, keys: list[str], depth: str, amp: str, frame: str, tie: str, ratio: float = 0.6, reach: int = 2) -> DataFrame:
     """Deepest row per group unless its amplitude is weak.
 
     If its amplitude is below ``ratio`` of the largest other one, the deepest row of sufficient amplitude
-    within ``reach`` frames replaces it; without such a row the deepest one stays.
+    within ``reach`` frames replaces it; without such a row the deepest one stays. Rows without a depth take no part;
+    a group that has no depth keeps a row of NULLs.
     """
     row = F.struct(depth, amp, frame, tie)
+    known = F.col(depth).isNotNull()
     rank = F.struct(F.col(depth), (-F.col(tie)).alias("neg"))
-    deepest = df.groupBy(*keys).agg(F.max_by(row, rank).alias("_top"))
+    deepest = df.groupBy(*keys).agg(F.max_by(row, F.when(known, rank)).alias("_top"))
     joined = df.join(deepest, keys)
-    others = joined.groupBy(*keys).agg(F.max(F.when(F.col(tie) != F.col(f"_top.{tie}"), F.col(amp))).alias("_other"))
+    others = joined.groupBy(*keys).agg(F.max(F.when(known & (F.col(tie) != F.col(f"_top.{tie}")), F.col(amp))).alias("_other"))
     placed = joined.join(others, keys)
-    strong = (F.col(amp) >= ratio * F.col("_other")) & (F.abs(F.col(frame) - F.col(f"_top.{frame}")) <= reach)
+    strong = known & (F.col(amp) >= ratio * F.col("_other")) & (F.abs(F.col(frame) - F.col(f"_top.{frame}")) <= reach)
     chosen = placed.groupBy(*keys).agg(
         F.first("_top").alias("_top"), F.max("_other").alias("_other"), F.max_by(row, F.when(strong, rank)).alias("_alt")
     )

@@ -70,7 +70,10 @@ def daq_bytes(channels: list[tuple[str, list[tuple[float, np.ndarray]]]], infos:
 
 
 def write_scan_files(ascans: DataFrame, folder: str, fmt: str) -> DataFrame:
-    """One file per scan of the fixture (512 A-scans at most); returns the paths. Frames that are not full are left out."""
+    """One file per scan of the fixture (512 A-scans at most); returns the paths.
+
+    Files hold whole turns and, in one layout, equally many frames of each channel. What a scan lacks is written as A-scans of zeros.
+    """
 
     def write(pdf: pd.DataFrame) -> pd.DataFrame:
         scan = int(pdf["scan_id"].iloc[0])
@@ -78,12 +81,11 @@ def write_scan_files(ascans: DataFrame, folder: str, fmt: str) -> DataFrame:
         channels: dict[str, list[tuple[float, np.ndarray]]] = {}
         for (probe, frame), rows in pdf.groupby(["probe", "frame"], sort=True):
             data = np.stack(rows["samples"].to_numpy())
-            if len(data) == 64:
-                channels.setdefault("ID1 NB" if probe == "NB1" else "ID2 NB", []).append((2500.0 + 0.3 * frame, data))
-        shortest = min((len(v) for v in channels.values()), default=0)
-        blocks = [(label, frames[: shortest if fmt == "daq" else None]) for label, frames in channels.items()]
-        if not shortest:
-            return pd.DataFrame({"path": []}, dtype=str)
+            turn = np.zeros((64, data.shape[1]), data.dtype)
+            turn[rows["rotary_idx"].to_numpy()] = data
+            channels.setdefault("ID1 NB" if probe == "NB1" else "ID2 NB", []).append((2500.0 + 0.3 * frame, turn))
+        longest = max(len(v) for v in channels.values()) if fmt == "daq" else 0
+        blocks = [(label, [*frames, *[(frames[-1][0], np.zeros_like(frames[-1][1]))] * (longest - len(frames))]) for label, frames in channels.items()]
         os.makedirs(folder, exist_ok=True)
         path = f"{folder}/BSCAN Type A {scan}.{fmt}"
         content = anf_bytes(blocks, first_rotary=3590) if fmt == "anf" else daq_bytes(blocks, {"Station": "North", "Unit": "3", "Axial Pitch": "0.3"})

@@ -12,8 +12,12 @@ from . import fixtures as fx
 from .fixtures import with_tables
 from .registry import query
 
-FULL_SQL = """, full_frames AS (SELECT scan_id, probe, frame FROM ascans GROUP BY 1, 2, 3 HAVING count(*) = 64),
-f AS (SELECT *, row_number() OVER (PARTITION BY scan_id, probe ORDER BY frame) - 1 AS i FROM full_frames)"""
+FRAMES_SQL = """, f AS (SELECT *, row_number() OVER (PARTITION BY scan_id, probe ORDER BY frame) - 1 AS i FROM (SELECT DISTINCT scan_id, probe, frame FROM ascans))"""
+
+
+def recorded(rows):
+    """A-scans that the scan has; what fills up its last turn or a channel with fewer frames is zero throughout."""
+    return rows.where(F.array_max("samples") > 0)
 
 
 def _files(spark, sf_dir, fmt):
@@ -26,13 +30,13 @@ def _files(spark, sf_dir, fmt):
     "anf_scans_s1",
     with_tables(
         "ascans",
-        f"""{FULL_SQL}
+        f"""{FRAMES_SQL}
 SELECT 'BSCAN Type A ' || a.scan_id AS scan_id, a.probe, CAST(f.i AS INTEGER) AS frame, CAST(a.rotary_idx AS INTEGER) AS rotary_idx, round(2500 + 3e-1 * a.frame, 3) AS axial_mm,
   round((1e-1 * (a.rotary_idx + 3590)) % 360, 4) AS rotary_deg, len(samples)::INTEGER AS n, list_sum(samples)::DOUBLE AS total FROM ascans a JOIN f USING (scan_id, probe, frame)""",
     ),
 )
 def anf_scans(spark, sf_dir):
-    rows = binary.read_scans(spark, _files(spark, sf_dir, "anf"), split_mb=0.01)
+    rows = recorded(binary.read_scans(spark, _files(spark, sf_dir, "anf"), split_mb=0.01))
     return rows.select(
         "scan_id", "probe", "frame", "rotary_idx", F.round("axial_mm", 3).alias("axial_mm"), F.round("rotary_deg", 4).alias("rotary_deg"),
         F.size("samples").alias("n"), sm.total(F.col("samples")).alias("total"),
@@ -43,23 +47,22 @@ def anf_scans(spark, sf_dir):
     "daq_scans_s2",
     with_tables(
         "ascans",
-        f"""{FULL_SQL},
-n AS (SELECT scan_id, min(c) AS shortest FROM (SELECT scan_id, probe, count(*) AS c FROM f GROUP BY 1, 2) GROUP BY 1)
+        f"""{FRAMES_SQL}
 SELECT 'BSCAN Type A ' || a.scan_id AS scan_id, a.probe, CAST(f.i AS INTEGER) AS frame, CAST(a.rotary_idx AS INTEGER) AS rotary_idx, list_sum(samples)::DOUBLE AS total
-FROM ascans a JOIN f USING (scan_id, probe, frame) JOIN n USING (scan_id) WHERE f.i < shortest AND a.probe = 'NB2' AND f.i >= 1""",
+FROM ascans a JOIN f USING (scan_id, probe, frame) WHERE a.probe = 'NB2' AND f.i >= 1""",
     ),
 )
 def daq_scans(spark, sf_dir):
     """Only the second probe from the second frame on: both conditions reach the reader."""
     rows = binary.read_scans(spark, _files(spark, sf_dir, "daq"), split_mb=0.01).where("probe = 'NB2' AND frame >= 1")
-    return rows.select("scan_id", "probe", "frame", "rotary_idx", sm.total(F.col("samples")).alias("total"))
+    return recorded(rows).select("scan_id", "probe", "frame", "rotary_idx", sm.total(F.col("samples")).alias("total"))
 
 
 @query(
     "scan_headers_s5",
     with_tables(
         "ascans",
-        f"""{FULL_SQL}
+        f"""{FRAMES_SQL}
 SELECT 'BSCAN Type A ' || scan_id AS scan_id, 'K09' AS channel, CASE probe WHEN 'NB1' THEN 'ID1 NB' ELSE 'ID2 NB' END AS label, CAST(rank() OVER (PARTITION BY scan_id ORDER BY probe) - 1 + 20 AS DOUBLE) AS gain,
   100 AS pulse_voltage FROM f GROUP BY scan_id, probe""",
     ),

@@ -201,17 +201,17 @@ def top_peaks(spark, sf_dir):
     "far_depths_t3",
     with_tables(
         "cells",
-        """, c AS (SELECT *, row_number() OVER (PARTITION BY scan_id, flaw_id ORDER BY depth DESC, frame * 64 + rotary_idx) AS rk FROM cells WHERE depth IS NOT NULL),
+        """, c AS (SELECT *, row_number() OVER (PARTITION BY scan_id, flaw_id ORDER BY depth DESC NULLS LAST, frame * 64 + rotary_idx) AS rk FROM cells),
 r AS (SELECT scan_id, flaw_id, quantile_cont(depth, 0.5) AS reference FROM c WHERE rk <= 5 GROUP BY 1, 2),
-m AS (SELECT c.*, r.reference, abs(depth - reference) <= 0.4 AS near FROM c JOIN r USING (scan_id, flaw_id))
-SELECT scan_id, flaw_id, frame, rotary_idx, CASE WHEN near OR NOT bool_or(near) OVER (PARTITION BY scan_id, flaw_id) THEN depth ELSE round(reference, 6) END AS depth,
-  near OR NOT bool_or(near) OVER (PARTITION BY scan_id, flaw_id) AS kept FROM m""",
+m AS (SELECT c.*, r.reference, coalesce(abs(depth - reference) <= 0.4, FALSE) AS near FROM c JOIN r USING (scan_id, flaw_id)),
+k AS (SELECT *, near OR (depth IS NOT NULL AND NOT bool_or(near) OVER (PARTITION BY scan_id, flaw_id)) AS kept FROM m)
+SELECT scan_id, flaw_id, frame, rotary_idx, CASE WHEN kept THEN depth WHEN depth IS NOT NULL THEN round(reference, 6) END AS depth, kept FROM k""",
     ),
 )
 def far_depths(spark, sf_dir):
-    rows = fx.cells(spark, sf_dir).where("depth IS NOT NULL").withColumn("cell", F.col("frame") * 64 + F.col("rotary_idx"))
+    rows = fx.cells(spark, sf_dir).withColumn("cell", F.col("frame") * 64 + F.col("rotary_idx"))
     out = ranking.drop_far_depths(rows, ["scan_id", "flaw_id"], "depth", "cell", 0.4)
-    depth = F.when(F.col("kept"), F.col("depth")).otherwise(F.round("reference", 6))
+    depth = F.when(F.col("kept"), F.col("depth")).when(F.col("depth").isNotNull(), F.round("reference", 6))
     return out.select("scan_id", "flaw_id", "frame", "rotary_idx", depth.alias("depth"), "kept")
 
 
@@ -219,18 +219,18 @@ def far_depths(spark, sf_dir):
     "depth_with_amplitude_t4",
     with_tables(
         "cells",
-        """, c AS (SELECT *, frame * 64 + rotary_idx AS cell FROM cells WHERE depth IS NOT NULL),
+        """, e AS (SELECT *, frame * 64 + rotary_idx AS cell FROM cells), c AS (SELECT * FROM e WHERE depth IS NOT NULL),
 t AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY scan_id, flaw_id ORDER BY depth DESC, cell) AS rk FROM c) WHERE rk = 1),
 o AS (SELECT c.scan_id, c.flaw_id, max(CASE WHEN c.cell <> t.cell THEN c.amp END) AS other FROM c JOIN t USING (scan_id, flaw_id) GROUP BY 1, 2),
 a AS (SELECT * FROM (SELECT c.*, row_number() OVER (PARTITION BY c.scan_id, c.flaw_id ORDER BY c.depth DESC, c.cell) AS rk FROM c JOIN t USING (scan_id, flaw_id)
   JOIN o USING (scan_id, flaw_id) WHERE c.amp >= 0.6 * other AND abs(c.frame - t.frame) <= 20) WHERE rk = 1)
-SELECT t.scan_id, t.flaw_id, CASE WHEN w THEN a.depth ELSE t.depth END AS depth, CASE WHEN w THEN a.cell ELSE t.cell END AS cell, w AS by_amplitude
-FROM (SELECT t.*, coalesce(t.amp < 0.6 * o.other, FALSE) AND a.cell IS NOT NULL AS w FROM t JOIN o USING (scan_id, flaw_id) LEFT JOIN a USING (scan_id, flaw_id)) t
+SELECT scan_id, flaw_id, CASE WHEN w THEN a.depth ELSE t.depth END AS depth, CASE WHEN w THEN a.cell ELSE t.cell END AS cell, coalesce(w, FALSE) AS by_amplitude
+FROM (SELECT DISTINCT scan_id, flaw_id FROM e) LEFT JOIN (SELECT t.*, coalesce(t.amp < 0.6 * o.other, FALSE) AND a.cell IS NOT NULL AS w FROM t JOIN o USING (scan_id, flaw_id) LEFT JOIN a USING (scan_id, flaw_id)) t USING (scan_id, flaw_id)
 LEFT JOIN a USING (scan_id, flaw_id)""",
     ),
 )
 def depth_with_amplitude(spark, sf_dir):
-    rows = fx.cells(spark, sf_dir).where("depth IS NOT NULL").withColumn("cell", F.col("frame") * 64 + F.col("rotary_idx"))
+    rows = fx.cells(spark, sf_dir).withColumn("cell", F.col("frame") * 64 + F.col("rotary_idx"))
     picked = ranking.pick_depth(rows, ["scan_id", "flaw_id"], "depth", "amp", "frame", "cell", reach=20)
     return picked.select("scan_id", "flaw_id", "depth", "cell", "by_amplitude")
 
