@@ -377,6 +377,16 @@ def tiles(images: DataFrame, keys: list[str], height: str, width: str, size: int
     return grid.select(*keys, "tile_y", F.explode("_x").alias("tile_x"))
 
 
+def tile_origins(start: str, end: str, last: str, size: int, step: int):
+    """Origins of the tiles that hold a part of an extent along one side; ``last`` is the largest origin of the image."""
+    first = F.greatest(F.floor((F.col(start) - size) / step) + 1, F.lit(0)) * step
+    final = F.least(F.floor(F.col(end) / step) * step, F.floor(F.col(last) / step) * step)
+    none = F.array().cast("array<bigint>")
+    inner = F.when(final >= first, F.sequence(first, final, F.lit(step).cast("bigint"))).otherwise(none)
+    flush = F.when((F.col(end) >= F.col(last)) & (F.col(start) < F.col(last) + size), F.array(F.col(last).cast("bigint"))).otherwise(none)
+    return F.array_union(inner, flush)
+
+
 def boxes_on_tiles(boxes: DataFrame, keys: list[str], size: int, step: int) -> DataFrame:
     """Boxes cut to every tile they touch and moved to tile coordinates.
 
@@ -385,15 +395,9 @@ def boxes_on_tiles(boxes: DataFrame, keys: list[str], size: int, step: int) -> D
     tile there is flush with the edge.
     """
 
-    def origins(start: str, end: str, last: str):
-        first = F.greatest(F.floor((F.col(start) - size) / step) + 1, F.lit(0)) * step
-        final = F.least(F.floor(F.col(end) / step) * step, F.floor(F.col(last) / step) * step)
-        none = F.array().cast("array<bigint>")
-        inner = F.when(final >= first, F.sequence(first, final, F.lit(step).cast("bigint"))).otherwise(none)
-        flush = F.when((F.col(end) >= F.col(last)) & (F.col(start) < F.col(last) + size), F.array(F.col(last).cast("bigint"))).otherwise(none)
-        return F.array_union(inner, flush)
-
-    spread = boxes.withColumn("tile_y", F.explode(origins("y1", "y2", "last_y"))).withColumn("tile_x", F.explode(origins("x1", "x2", "last_x")))
+    spread = boxes.withColumn("tile_y", F.explode(tile_origins("y1", "y2", "last_y", size, step))).withColumn(
+        "tile_x", F.explode(tile_origins("x1", "x2", "last_x", size, step))
+    )
     cut = {
         "tx1": F.greatest(F.col("x1") - F.col("tile_x"), F.lit(0)), "tx2": F.least(F.col("x2") - F.col("tile_x"), F.lit(size)),
         "ty1": F.greatest(F.col("y1") - F.col("tile_y"), F.lit(0)), "ty2": F.least(F.col("y2") - F.col("tile_y"), F.lit(size)),

@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from ..functions import samples as sm
 from ..functions import text
-from ..operators import merging, ranking, scoring, signal, sizing
+from ..operators import learning, merging, ranking, scoring, signal, sizing, tiling
 from ..operators import projections as pj
+from ..operators.ordered import Series, numbered
 from ..operators.scoring import Detector
 from ..operators.signal import FRAME
+from ..operators.tiling import Model
 from ..session import cut_lineage
 
 MORPHOLOGY = ["V", "7", "default", "MR", "Spaghetti"]
@@ -28,46 +30,60 @@ def feature_maps(ascans: DataFrame, echo_width: int, threshold: float, reach: in
     return groups.join(tof, [*FRAME, "rotary_idx"]).join(flat, [*FRAME, "rotary_idx"])
 
 
-def detect_on_maps(maps: DataFrame, value: str, make_detector: Callable[[], Detector], classes: list[str], size: int) -> DataFrame:
-    """Flaws on a map of each scan and probe, as inclusive frame and rotary ranges.
+#: Maps that a detector sees as channels of one image: flattened time of flight (turned over), echo amplitude, correlation.
+CHANNELS = ["tof_turned", "avg", "cor"]
+MAP = ["scan_id", "probe"]
 
-    A map has one value per position of a scan; scans longer than the instrument's range are split before.
-    Every frame is part of the map: values stand at their rotary position, positions without one are 0.
+
+def three_channels(maps: DataFrame) -> DataFrame:
+    """Values of the three channels at every position of a map, each stretched to 0..255 over its map."""
+    scaled = maps
+    for value, out in (("tof_flat", "_tof"), ("avg", "_avg"), ("cor", "_cor")):
+        scaled = pj.normalise(scaled, MAP, value, out)
+    return scaled.select(*FRAME, "rotary_idx", (255 - F.col("_tof")).alias("tof_turned"), F.col("_avg").alias("avg"), F.col("_cor").alias("cor"))
+
+
+#: Prefix of the numbers of a flaw type; all others are indications.
+PREFIXES = {"FBBPF": "MP", "BM_FBBPF": "BM"}
+
+
+def number_flaws(flaws: DataFrame) -> DataFrame:
+    """``ind_num``: flaws of a scan numbered by prefix, in the order of their first frame."""
+    prefix = F.coalesce(*[F.when(F.col("flaw_type") == kind, name) for kind, name in PREFIXES.items()], F.lit("Ind"))
+    order = Series(["scan_id", "_prefix"], ["frame_start", "rotary_start", "flaw_id"], 1000)
+    counted = numbered(flaws.withColumn("_prefix", prefix), order, "_number")
+    return counted.withColumn("ind_num", F.concat_ws(" ", "_prefix", F.col("_number").cast("string"))).drop("_prefix", "_number")
+
+
+def detect_flaws(maps: DataFrame, models: list[Model], confidence: float, probabilities: Callable[[DataFrame], DataFrame] | None = None, limits: tuple[float, float] = (0.5, 0.5)) -> DataFrame:
+    """Numbered flaws on the maps of each scan and probe, as inclusive frame and rotary ranges.
+
+    Each model looks at its own tiles of the three channels and unites its boxes across tiles. ``probabilities`` adds
+    ``p_cc`` and ``p_debris`` from length, width and their ratio; doubtful flaws get two categories and a note. Overlapping flaws
+    become one with all their categories, weak ones go, the rest is numbered.
     """
-    keys = ["scan_id", "probe"]
-    scaled = pj.normalise(maps, ["scan_id", "probe"], value, "pixel").withColumn("pixel", F.coalesce("pixel", F.lit(0.0)))
-    reach = scaled.groupBy(*keys).agg(F.min("rotary_idx").alias("_first"), F.max("rotary_idx").alias("_last"))
-    places = scaled.select(*FRAME).distinct().join(reach, keys).select(*FRAME, F.explode(F.sequence("_first", "_last")).alias("rotary_idx"))
-    filled = places.join(scaled.select(*FRAME, "rotary_idx", "pixel"), [*FRAME, "rotary_idx"], "left")
-    turn = F.sort_array(F.collect_list(F.struct("rotary_idx", F.coalesce("pixel", F.lit(0.0)).alias("pixel"))))
-    whole = filled.groupBy(*FRAME).agg(F.transform(turn, lambda e: e["pixel"]).alias("line"))
-    images = scoring.frame_images(whole, ["scan_id", "probe"], "frame", "line")
-    rows = whole.select(*FRAME, F.row_number().over(_frames_of_scan()).alias("_row"))
-    boxes = scoring.score_images(images, ["scan_id", "probe"], make_detector, classes, size)
-    corners = boxes.select(
-        "scan_id", "probe", "cls", "conf", "box_no", F.floor("y1").cast("int").alias("_top"), F.greatest(F.ceil("y2").cast("int") - 1, F.floor("y1").cast("int")).alias("_bottom"),
-        F.floor("x1").alias("rotary_start"), F.greatest(F.ceil("x2") - 1, F.floor("x1")).alias("rotary_end"),
-    )
-    top = rows.select("scan_id", "probe", (F.col("_row") - 1).alias("_top"), F.col("frame").alias("frame_start"))
-    bottom = rows.select("scan_id", "probe", (F.col("_row") - 1).alias("_bottom"), F.col("frame").alias("frame_end"))
-    placed = corners.join(top, ["scan_id", "probe", "_top"]).join(bottom, ["scan_id", "probe", "_bottom"]).join(reach, keys)
-    return placed.select(
-        "scan_id", "probe", F.concat_ws("-", "probe", "cls", F.col("box_no").cast("string")).alias("flaw_id"), F.col("cls").alias("flaw_type"),
-        F.col("conf").alias("confidence"), "frame_start", "frame_end", (F.col("_first") + F.col("rotary_start")).alias("rotary_start"), (F.col("_first") + F.col("rotary_end")).alias("rotary_end"),
-    )
-
-
-def _frames_of_scan():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("scan_id", "probe").orderBy("frame")
+    lines = cut_lineage(tiling.map_lines(three_channels(maps), MAP, "frame", "rotary_idx", CHANNELS), "lines")
+    boxes = None
+    for number, model in enumerate(models):
+        own = tiling.detect_on_tiles(lines, MAP, CHANNELS, model).withColumn("box_id", F.concat(F.lit(f"{number}-"), "box_id"))
+        boxes = own if boxes is None else boxes.unionByName(own)
+    placed = tiling.boxes_to_ranges(boxes, lines, MAP, "frame").withColumnsRenamed({"cls": "flaw_type", "conf": "confidence"})
+    flaws = placed.withColumn("flaw_id", F.concat_ws("-", "probe", "box_id")).drop("box_id")
+    sized = flaws.withColumn("length", F.col("frame_end") - F.col("frame_start") + 1).withColumn("width", F.col("rotary_end") - F.col("rotary_start") + 1)
+    if probabilities is None:
+        told = sized.withColumn("possible_category", F.array("flaw_type")).withColumn("note1", F.lit(None).cast("string"))
+    else:
+        told = learning.differentiate(probabilities(learning.differentiation_features(sized, 0.0)), *limits).drop("p_cc", "p_debris", "diff_length", "lw_ratio")
+    corners = {"x_start": F.col("rotary_start"), "x_end": F.col("rotary_end") + 1, "y_start": F.col("frame_start"), "y_end": F.col("frame_end") + 1}
+    united = merging.unite_overlapping_flaws(told.withColumns({n: c.cast("double") for n, c in corners.items()}), MAP).drop(*corners)
+    return number_flaws(united.where(F.col("confidence") >= confidence))
 
 
 def vision_depth(flaws: DataFrame, ascans: DataFrame, make_detector: Callable[[], Detector], size: int, before: int = 50, after: int = 250, far: float = 0.4) -> DataFrame:
     """Depth from the shape of the echo: detect it on the windowed frame, measure it against the mean first echo.
 
     Per flaw and frame: cut the neighbourhood, window the amplitudes, detect, clean up, pick the measuring
-    row; per flaw: drop depths far from the deepest few and choose by amplitude.
+    row; per flaw: depths far from the deepest few become their median, and one is chosen by amplitude.
     """
     keys = ["scan_id", "probe", "flaw_id"]
     turn = ascans.groupBy("scan_id", "probe").agg((F.max("rotary_idx") + 1).alias("_turn"))
@@ -94,18 +110,25 @@ def vision_depth(flaws: DataFrame, ascans: DataFrame, make_detector: Callable[[]
     outside = lines.join(rows.select(*frames, "y").distinct(), [*frames, "y"], "left_anti")
     surface = outside.groupBy(*frames).agg(F.avg(sizing.echo_position(F.col("part"), 128)).alias("_surface"))
     profile = best.join(amp, frames).join(surface, frames).withColumn("depth", text.samples_to_mm(F.col("x") - F.col("_surface"))).withColumn("cell", F.col("frame"))
-    near = ranking.drop_far_depths(profile, keys, "depth", "cell", far).where("kept")
+    marked = ranking.drop_far_depths(profile, keys, "depth", "cell", far)
+    near = marked.withColumn("depth", F.when(F.col("kept") | F.col("depth").isNull(), F.col("depth")).otherwise(F.col("reference")))
     return ranking.pick_depth(near, keys, "depth", "max_amp", "frame", "cell").select(*keys, "depth", "max_amp", F.col("frame").alias("max_depth_frame"), "by_amplitude")
 
 
-def analyse(ascans: DataFrame, make_detector: Callable[[], Detector], classes: list[str], size: int, echo_width: int = 16, per_side: int = 2) -> DataFrame:
-    """A-scans to sized flaws, all scans in one job.
+def analyse(
+    ascans: DataFrame, models: list[Model], echo_width: int = 16, per_side: int = 2, confidence: float = 0.0,
+    probabilities: Callable[[DataFrame], DataFrame] | None = None, limits: tuple[float, float] = (0.5, 0.5), amplitude: int = 140,
+) -> DataFrame:
+    """A-scans to numbered and sized flaws, all scans in one job.
 
-    The maps are written once in between: detection and sizing both need them, and a lost executor then
-    costs a re-read instead of a second tracking of every lag.
+    Crevice flaws are sized by first peaks, all others by alignment with clean neighbours. The maps and the flaws are written
+    once in between: detection and sizing both need them, and a lost executor then costs a re-read.
     """
     maps = cut_lineage(feature_maps(ascans, echo_width, 10, 6, text.MM_PER_SAMPLE * text.SOUND_FACTOR))
-    found = cut_lineage(detect_on_maps(maps, "peak_value", make_detector, classes, size))
-    cells = sizing.size_by_alignment(found, ascans, per_side, echo_width)
-    depth = sizing.deepest_cell(cells, ["scan_id", "probe", "flaw_id"]).select("scan_id", "probe", "flaw_id", F.col("max_depth").alias("depth"), "amp_at_max")
-    return found.join(depth, ["scan_id", "probe", "flaw_id"], "left")
+    found = cut_lineage(detect_flaws(maps, models, confidence, probabilities, limits), "flaws")
+    keys = [*MAP, "flaw_id"]
+    crevice = F.array_contains("possible_category", "CC")
+    aligned = sizing.deepest_cell(sizing.size_by_alignment(found.where(~crevice), ascans, per_side, echo_width), keys)
+    peaks = sizing.cc_depth(found.where(crevice), ascans, per_side, amplitude, 50.0)
+    depth = aligned.select(*keys, F.col("max_depth").alias("depth"), F.lit("alignment").alias("method")).unionByName(peaks.select(*keys, "depth", F.lit("first peak").alias("method")))
+    return found.join(depth, keys, "left")

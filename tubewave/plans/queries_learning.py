@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import learning, scoring
+from ..operators import learning, scoring, tiling
+from ..operators.tiling import Model
 from . import fixtures as fx
 from . import flows
 from .fixtures import with_tables
 from .queries_matching import REPORTED_METRICS_SQL, reported_metrics
+from .queries_merging import AREA_OF, AREA_SHARED, UNION_SQL, recursive, unite_sql
 from .registry import query
 
 
@@ -98,6 +100,75 @@ def vision_depth(spark, sf_dir):
     return flows.vision_depth(fx.grid_flaws(spark, sf_dir), fx.ascans(spark, sf_dir), lambda: scoring.BrightSpot(8), 96)
 
 
+def bright_models() -> list[Model]:
+    """Stand-ins for the two detectors: the second looks at smaller tiles, calls everything another kind and needs large maps."""
+    first = Model(lambda: scoring.BrightSpot(6), ("CC",), image=96, tile=32, step=16)
+    second = Model(lambda: scoring.BrightSpot(2), ("Debris",), image=48, tile=16, step=8, confidence=0.1, renamed="Others", rows=3, columns=31)
+    return [first, second]
+
+
+def shape_probabilities(flaws):
+    """Stand-in for the classifier: long and narrow flaws look like crevice flaws."""
+    p = F.col("lw_ratio") / (1 + F.col("lw_ratio"))
+    return flaws.withColumn("p_cc", p).withColumn("p_debris", 1 - p)
+
+
 @query("analysis_flow_e10")
 def analysis_flow(spark, sf_dir):
-    return flows.analyse(fx.ascans(spark, sf_dir), lambda: scoring.BrightRegion(0.5), ["Debris"], 96)
+    return flows.analyse(fx.ascans(spark, sf_dir), bright_models(), probabilities=shape_probabilities, limits=(0.6, 0.2), confidence=0.1)
+
+
+# a map of each scan and probe with three channels: largest, first and last sample of every position
+MAPS_SQL = """, maps AS (SELECT scan_id, probe, dense_rank() OVER (PARTITION BY scan_id, probe ORDER BY frame) - 1 AS y, rotary_idx - min(rotary_idx) OVER (PARTITION BY scan_id, probe) AS x,
+  list_max(samples)::DOUBLE AS a, samples[1]::DOUBLE AS b, samples[-1]::DOUBLE AS c FROM ascans),
+ext AS (SELECT scan_id, probe, max(y) + 1 AS h, max(x) + 1 AS w FROM maps GROUP BY 1, 2),
+ty AS (SELECT scan_id, probe, h, w, unnest(list_distinct(list_append(range(0, greatest(h - {size}, 0) + 1, {step}), greatest(h - {size}, 0)))) AS tile_y FROM ext),
+t AS (SELECT *, unnest(list_distinct(list_append(range(0, greatest(w - {size}, 0) + 1, {step}), greatest(w - {size}, 0)))) AS tile_x FROM ty),
+p AS (SELECT t.*, y - tile_y AS py, x - tile_x AS px, least(h, {size}) AS th, least(w, {size}) AS tw, a, b, c FROM t JOIN maps m ON m.scan_id = t.scan_id AND m.probe = t.probe
+  AND y >= tile_y AND y < tile_y + {size} AND x >= tile_x AND x < tile_x + {size})"""
+CHANNELS = ["a", "b", "c"]
+
+
+def peak_lines(spark, sf_dir):
+    maps = fx.ascans(spark, sf_dir).select(
+        "scan_id", "probe", "frame", "rotary_idx", F.array_max("samples").alias("a"), F.get("samples", F.lit(0)).alias("b"), F.element_at("samples", -1).alias("c")
+    )
+    return tiling.map_lines(maps, flows.MAP, "frame", "rotary_idx", CHANNELS)
+
+
+@query(
+    "map_tiles_x12_e9",
+    with_tables(
+        "ascans",
+        MAPS_SQL.format(size=24, step=10) + """
+SELECT scan_id, probe, tile_y, tile_x, any_value(th)::INTEGER AS height, any_value(tw)::INTEGER AS width, sum(a + b + c) AS total,
+  sum(a * (3 * (py * tw + px) + 1) + b * (3 * (py * tw + px) + 2) + c * (3 * (py * tw + px) + 3)) AS weighted FROM p GROUP BY 1, 2, 3, 4""",
+    ),
+)
+def map_tiles(spark, sf_dir):
+    """Tiles with three channels; sums over all pixels, plain and by place, tell that each stands where it belongs."""
+    tiles = tiling.cut_tiles(peak_lines(spark, sf_dir), flows.MAP, CHANNELS, 24, 10)
+    by_place = F.transform("pixels", lambda v, i: v * (i + 1))
+    add = lambda values: F.aggregate(values, F.lit(0.0), lambda s, v: s + v)
+    return tiles.select(*flows.MAP, "tile_y", "tile_x", "height", "width", add(F.col("pixels")).alias("total"), add(by_place).alias("weighted"))
+
+
+@query(
+    "tile_detections_e9_x12_m3",
+    recursive(with_tables(
+        "ascans",
+        MAPS_SQL.format(size=24, step=12) + """, bright AS (SELECT scan_id, probe, lpad(tile_y::VARCHAR, 8, '0') || '-' || lpad(tile_x::VARCHAR, 8, '0') || '-00000' AS box_id, 'Debris' AS cls,
+  round(least(avg(a / 255), 1), 9) AS conf, (min(px) + any_value(tile_x))::DOUBLE AS x1, (min(py) + any_value(tile_y))::DOUBLE AS y1, (max(px) + any_value(tile_x))::DOUBLE AS x2,
+  (max(py) + any_value(tile_y))::DOUBLE AS y2 FROM p WHERE a / 255 >= 0.65 GROUP BY scan_id, probe, tile_y, tile_x)"""
+        + unite_sql(
+            "bright", "scan_id, probe",
+            f"({AREA_SHARED} / {UNION_SQL} >= 0.3 OR {AREA_SHARED} / least({AREA_OF.replace('{b}', 'u')}, {AREA_OF.replace('{b}', 'v')}) >= 0.9)".replace("{e}", "1"), "v.conf >= u.conf",
+        )
+        + " SELECT scan_id, probe, box_id, cls, round(conf, 6) AS conf, x1, y1, x2, y2 FROM united",
+    )),
+)
+def tile_detections(spark, sf_dir):
+    """One channel, tiles as large as the detector's image: a box around bright pixels of each tile, united across tiles."""
+    model = Model(lambda: scoring.BrightRegion(0.65), ("Debris",), image=24, tile=24, step=12)
+    boxes = tiling.detect_on_tiles(peak_lines(spark, sf_dir), flows.MAP, ["a"], model)
+    return boxes.select(*flows.MAP, "box_id", "cls", F.round("conf", 6).alias("conf"), "x1", "y1", "x2", "y2")
