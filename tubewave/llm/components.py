@@ -3,37 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..operators.overlap_graph import connected_sets
 
 
-def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
-    """``node, component`` for every node of ``links`` (``a, b``): the smallest node that can be reached.
+def components(links: DataFrame) -> DataFrame:
+    """``node, component`` for every node of ``links`` (longs ``a, b``): the smallest node that can be reached.
 
-    Each round every node takes the smallest label among itself and its neighbours, then the label of that label, so paths
-    halve. Labels are written to the shared folder after each round; only the number of changes reaches the driver. Hubs are
-    no trouble: labels are minimised before they are shuffled, and joins are split where a key is hot.
+    Links are contracted by tasks from level to level (``connected_sets``), so a hub or a long chain takes no more rounds than
+    any other graph, and no link, label or component reaches the driver.
     """
-    links = cut_lineage(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
-    both = links.select("a", "b").union(links.select(F.col("b"), F.col("a")))
-    first = both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("component"))
-    labels = cut_lineage(first, "labels")
-    for _ in range(most_rounds):
-        named = labels.withColumnRenamed("node", "b").withColumnRenamed("component", "label")
-        lowest = both.join(named, "b").groupBy("a").agg(F.min("label").alias("lowest"))
-        # a neighbour's label is also told to the node's present label, so that whole trees hook on at once
-        hooked = labels.join(lowest, F.col("node") == F.col("a")).select("node", "component", "lowest")
-        told = hooked.select(F.col("node"), "lowest").union(hooked.where("lowest < component").select(F.col("component").alias("node"), "lowest"))
-        told = told.groupBy("node").agg(F.min("lowest").alias("lowest"))
-        taken = labels.join(told, "node").select("node", F.col("component").alias("old"), F.least("component", "lowest").alias("new"))
-        jumped = taken.select(F.col("node").alias("new"), F.col("new").alias("next"))
-        after = taken.join(jumped, "new", "left").select("node", "old", F.least("new", F.coalesce("next", "new")).alias("component"))
-        after = cut_lineage(after, "labels")
-        labels = after.select("node", "component")
-        if after.where("old <> component").isEmpty():
-            return labels
-    raise RuntimeError(f"labels still change after {most_rounds} rounds")
+    return connected_sets(links.where("a <> b")).withColumnRenamed("set", "component")
 
 
 def union_find(n: int):

@@ -239,8 +239,8 @@ def _by_digest(docs: DataFrame, items: DataFrame, text: str, window: int, clean:
     known = cut_lineage(items.mapInArrow(windows("body", "item", None), digests).select(F.col("body").cast("string").alias("item"), "digest", "size").distinct(), "item-windows")
     sizes = [r.size for r in known.select("size").distinct().collect()]  # at most `window` numbers
     found = docs.select(text).distinct().mapInArrow(windows(text, None, sizes), digests).join(known, ["digest", "size"])
-    ranges = found.groupBy("body").agg(F.collect_set(F.struct("start", "size")).alias("_ranges"), F.collect_set("item").alias("_items"))
-    key = own_name("_body", docs.columns)
+    key, places, named = (own_name(name, docs.columns) for name in ("_body", "_ranges", "_items"))
+    ranges = found.groupBy("body").agg(F.collect_set(F.struct("start", "size")).alias(places), F.collect_set("item").alias(named))
     body_key = F.pandas_udf(lambda s: s.map(lambda t: xxhash.xxh3_128_digest((t or "").encode())), "binary")
     columns = docs.columns
     joined = docs.withColumn(key, body_key(F.col(text))).join(ranges.withColumnRenamed("body", key), key, "left").drop(key)
@@ -248,7 +248,7 @@ def _by_digest(docs: DataFrame, items: DataFrame, text: str, window: int, clean:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text):
             rows = []
-            for body, ranges, names in zip(texts_of(batch, text), batch.column("_ranges").to_pylist(), batch.column("_items").to_pylist(), strict=True):
+            for body, ranges, names in zip(texts_of(batch, text), batch.column(places).to_pylist(), batch.column(named).to_pylist(), strict=True):
                 n = len(words_of(body))
                 hit = np.zeros(n, dtype=bool)
                 for r in ranges or []:

@@ -197,7 +197,7 @@ def find_personal_data(docs: DataFrame, text: str = "text") -> DataFrame:
     if "spans" in docs.columns:
         docs = docs.withColumnRenamed("spans", own_name("spans", docs.columns))
         text = docs.columns[-1] if text == "spans" else text
-    key, base = own_name("_key", docs.columns), own_name("_base", docs.columns)
+    key, base, extra = (own_name(name, docs.columns) for name in ("_key", "_base", "_added"))
     body = F.coalesce(F.col(text), F.lit(""))
     texts = docs.select(text_key(body).alias("key"), body.alias("body"))
     telling = cut_lineage(disclosing_terms(texts), "telling-terms")
@@ -205,12 +205,12 @@ def find_personal_data(docs: DataFrame, text: str = "text") -> DataFrame:
     words = with_base_spans(texts, F.col("body"), "spans", "terms", lambda word: among(F.lower(word))).select("key", F.explode_outer("terms").alias("t")).where("t IS NOT NULL")
     places = words.select("key", "t.start", "t.end", F.lower("t.value").alias("term")).distinct()
     one = F.struct("start", F.lit(4).alias("place"), "end", F.lit("term").alias("kind"), "share")
-    added = cut_lineage(places.join(telling, "term").groupBy("key").agg(F.collect_list(one).alias("_added")).withColumnRenamed("key", key), "added-spans")
+    added = cut_lineage(places.join(telling, "term").groupBy("key").agg(F.collect_list(one).alias(extra)).withColumnRenamed("key", key), "added-spans")
     shaped = F.transform(base, lambda s: F.struct(s["start"].alias("start"), s["place"].alias("place"), s["end"].alias("end"), s["kind"].alias("kind"), F.lit(None).cast("double").alias("share")))
-    clear = F.filter("_added", lambda t: ~F.exists(base, lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
+    clear = F.filter(extra, lambda t: ~F.exists(base, lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
     return (
         with_base_spans(docs.withColumn(key, text_key(body)), body, base).join(added, key, "left")
-        .withColumn("spans", F.when(F.col("_added").isNull(), shaped).otherwise(F.array_sort(F.concat(shaped, clear))))
+        .withColumn("spans", F.when(F.col(extra).isNull(), shaped).otherwise(F.array_sort(F.concat(shaped, clear))))
         .select(*docs.columns, "spans")
     )
 

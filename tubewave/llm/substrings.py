@@ -202,11 +202,14 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
     fate = cut_lineage(holder.select("of", "first", F.concat(F.coalesce("light", none), F.coalesce("heavy", none)).alias("gone")), "repeats")
 
     names = docs.columns
+    # helper columns of the last join, under names that the documents do not have
+    of, first, lost, later = (own_name(name, names) for name in ("_of", "_first", "_gone", "_copy"))
+    fate = fate.withColumnsRenamed({"of": of, "first": first, "gone": lost})
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text):
             out = []
-            for body, copy, gone in zip(texts_of(batch, text), batch.column("_copy").to_pylist(), batch.column("gone").to_pylist(), strict=True):
+            for body, copy, gone in zip(texts_of(batch, text), batch.column(later).to_pylist(), batch.column(lost).to_pylist(), strict=True):
                 words = body.split()
                 marks = np.zeros(len(words) + 1, np.int64)
                 for run in gone or []:
@@ -221,6 +224,6 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
             added = [pa.array([o[k] for o in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.string()))]
             yield pa.RecordBatch.from_arrays([*batch.select(names).columns, *added], [*names, *new])
 
-    judged = docs.withColumn(row, F.xxhash64(text)).join(fate, F.col(row) == F.col("of"))
-    judged = judged.withColumn("_copy", _order(F.col(key)) > F.col("first")).select(*docs.columns, "_copy", "gone")
+    judged = docs.withColumn(row, F.xxhash64(text)).join(fate, F.col(row) == F.col(of))
+    judged = judged.withColumn(later, _order(F.col(key)) > F.col(first)).select(*names, later, lost)
     return judged.mapInArrow(keep, with_schema(docs, ADDED))
