@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import samples as sm
-from ..operators import signal, wavegroups
+from ..operators import peaks, signal, wavegroups
 from ..operators.signal import FRAME
 from . import fixtures as fx
 from .fixtures import with_tables
@@ -258,3 +258,45 @@ def simple_maps(spark, sf_dir):
         *KEYS, F.array_max(dev).cast("double").alias("amp"), F.round(sm.total(dev) / F.size(dev), 4).alias("average_amplitude"),
         F.round(sm.trapezoid(dev), 4).alias("area_under_curve"),
     )
+
+
+PEAKS_SQL = """, a AS (SELECT scan_id, probe, frame, rotary_idx, samples AS s, len(samples) AS n FROM ascans),
+u AS (SELECT *, list_transform(list_filter(list_transform(list_filter(range(2, n), lambda i: s[i] > s[i - 1] AND s[i] >= 135),
+    lambda i: {'i': i, 'j': list_filter(range(i, n), lambda j: s[j + 1] <> s[i])[1]}), lambda t: t.j IS NOT NULL AND s[t.j + 1] < s[t.i]), lambda t: (t.i + t.j - 2) // 2) AS p FROM a),
+o AS (SELECT *, list_transform(list_reverse_sort(list_transform(p, lambda x: {'h': s[x + 1], 'p': x})), lambda x: [x.p]) AS q FROM u WHERE len(p) > 0),
+k AS (SELECT *, unnest(list_reduce(q, lambda acc, x: CASE WHEN len(list_filter(acc, lambda y: abs(y - x[1]) < 6)) = 0 THEN list_concat(acc, x) ELSE acc END)) AS place FROM o),
+b AS (SELECT *, s[place + 1] AS top, list_min(s[coalesce(list_max(list_filter(range(0, place), lambda y: s[y + 1] > s[place + 1])) + 1, 0) + 1 : place + 1]) AS lo,
+  list_min(s[place + 1 : coalesce(list_min(list_filter(range(place + 1, n), lambda y: s[y + 1] > s[place + 1])) - 1, n - 1) + 1]) AS hi FROM k),
+m AS (SELECT *, (top - greatest(lo, hi))::DOUBLE AS prominence, top - (top - greatest(lo, hi)) / 2.0 AS level FROM b),
+e AS (SELECT *, list_max(list_filter(range(0, place), lambda y: s[y + 1] <= level)) AS l, list_min(list_filter(range(place + 1, n), lambda y: s[y + 1] <= level)) AS r FROM m WHERE prominence >= 25),
+w AS (SELECT *, round(r - (level - s[r + 1]) / (s[r] - s[r + 1]) - (l + (level - s[l + 1]) / (s[l + 2] - s[l + 1])), 9)::DOUBLE AS width FROM e)"""
+
+
+@query(
+    "prominent_peaks_x4",
+    with_tables("ascans", PEAKS_SQL + """
+SELECT scan_id, probe, frame, rotary_idx, place::INTEGER AS place, top::DOUBLE AS height, prominence, width FROM w WHERE width >= 1.2"""),
+)
+def prominent_peaks(spark, sf_dir):
+    """Peaks of at least a height, a distance to higher ones, a prominence and a width, with these properties."""
+    found = peaks.sample_peaks(fx.ascans(spark, sf_dir), [*FRAME, "rotary_idx"], PEAKS)
+    each = found.select(*FRAME, "rotary_idx", F.explode("peaks").alias("p"))
+    return each.select(*FRAME, "rotary_idx", "p.place", "p.height", "p.prominence", "p.width")
+
+
+#: What a peak of an echo has to have.
+PEAKS = peaks.PeakRule(height=135, distance=6, prominence=25, width=1.2)
+
+
+@query(
+    "chosen_peaks_x14",
+    with_tables("ascans", PEAKS_SQL + """, g AS (SELECT scan_id, probe, frame, rotary_idx, min(place) AS first_place, max(place) AS last_place, arg_max(place, (top, -place)) AS highest_place,
+  max(CASE WHEN place < 30 THEN place END) AS last_before FROM w WHERE width >= 1.2 GROUP BY 1, 2, 3, 4)
+SELECT a.scan_id, a.probe, a.frame, a.rotary_idx, first_place::INTEGER AS first_place, last_place::INTEGER AS last_place, highest_place::INTEGER AS highest_place,
+  last_before::INTEGER AS last_before FROM a LEFT JOIN g USING (scan_id, probe, frame, rotary_idx)"""),
+)
+def chosen_peaks(spark, sf_dir):
+    """The surface peak of every A-scan by each rule of choice; NULL where no peak qualifies."""
+    found = peaks.sample_peaks(fx.ascans(spark, sf_dir), [*FRAME, "rotary_idx"], PEAKS)
+    rules = {"first_place": ("first", None), "last_place": ("last", None), "highest_place": ("highest", None), "last_before": ("last", F.lit(30))}
+    return found.select(*FRAME, "rotary_idx", *[peaks.choose_peak(F.col("peaks"), rule, limit)["place"].alias(name) for name, (rule, limit) in rules.items()])
