@@ -261,3 +261,25 @@ def test_resampling_keeps_positions_of_one_frame(spark):
     rows = projections.resample_axial(cells.withColumn("pitch", F.lit(0.45)), ["scan"], "pitch", "amp").collect()
     assert {(r.frame, r.rotary_idx) for r in rows} == {(0, 0), (0, 1), (1, 0), (1, 1), (2, 0)}  # frame 2 only draws on a frame without position 1
     assert {r.amp for r in rows if r.rotary_idx == 1} == {5.0}
+
+
+def test_stored_model_judges_as_the_trained_one(spark, tmp_path):
+    n = 300
+    pdf = pd.DataFrame({"flaw_type": rng.choice(["CC", "Debris", "FBBPF"], n), "axial_start": rng.random(n), "rotary_start": rng.random(n), "width": rng.uniform(1, 3, n)})
+    pdf["length"] = np.where(pdf.flaw_type == "CC", pdf.width * 5, pdf.width)
+    pdf["kind"] = rng.choice(["a", "b"], n)
+    ready = learning.differentiation_features(spark.createDataFrame(pdf), 0.0)
+    trained = learning.train_classes(ready, "flaw_type", ["CC", "Debris"], learning.SHAPE_FEATURES, ["kind"], {"CC": 0.6, "Debris": 0.4}, trees=10, depth=3)
+    trained.save(spark, str(tmp_path / "model"))
+    trained.save(spark, str(tmp_path / "model"))  # replaces what was there
+    loaded = learning.StoredModel.load(spark, str(tmp_path / "model"))
+    assert (loaded.numeric, loaded.categorical, loaded.classes, loaded.thresholds) == (trained.numeric, trained.categorical, trained.classes, trained.thresholds)
+    odd = spark.createDataFrame([("CC", None, 0.5, 2.0, 10.0, "new"), ("CC", 0.5, 0.5, 2.0, 2.0, None)], "flaw_type string, axial_start double, rotary_start double, width double, length double, kind string")
+    rows = ready.select("flaw_type", "axial_start", "rotary_start", "width", "length", "kind").unionByName(odd)
+    features = learning.differentiation_features(rows, 0.0)
+    one, two = trained.apply(features).toPandas(), loaded.apply(features).toPandas()
+    np.testing.assert_array_equal(one.p_cc, two.p_cc)
+    np.testing.assert_allclose(two.p_cc + two.p_debris, 1)
+    assert ((two.p_cc > 0.5) == (two.length > 2 * two.width))[two.flaw_type != "FBBPF"].mean() > 0.97
+    judged = learning.differentiate_by(loaded, odd, 0.0).toPandas()
+    assert list(judged.possible_category[0]) == ["CC"] and list(judged.possible_category[1]) == ["CC", "Debris"]

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import Imputer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Target limits of the flag model and codes of unseen categories.
@@ -107,3 +109,52 @@ def with_indicators(df: DataFrame, numeric: list[str], categorical: list[str]) -
 def flag_probability(model: PipelineModel, df: DataFrame, numeric: list[str], categorical: list[str]) -> DataFrame:
     scored = model.transform(with_indicators(df, numeric, categorical))
     return scored.withColumn("probability", vector_to_array("probability").getItem(1)).select(*df.columns, "probability")
+
+
+@dataclass(frozen=True)
+class StoredModel:
+    """A fitted pipeline (imputation, category codes, forest) with all that is needed to apply it elsewhere."""
+
+    pipeline: PipelineModel
+    numeric: tuple[str, ...]
+    categorical: tuple[str, ...]
+    #: Names of the classes in the order of the probabilities.
+    classes: tuple[str, ...]
+    thresholds: dict[str, float] = field(default_factory=dict)
+
+    def save(self, spark: SparkSession, folder: str) -> None:
+        """Two tables below ``folder``: the pipeline, and one row of columns, classes and thresholds. What was there is replaced."""
+        self.pipeline.write().overwrite().save(f"{folder}/pipeline")
+        row = (list(self.numeric), list(self.categorical), list(self.classes), self.thresholds)
+        kinds = "numeric array<string>, categorical array<string>, classes array<string>, thresholds map<string, double>"
+        spark.createDataFrame([row], kinds).coalesce(1).write.mode("overwrite").parquet(f"{folder}/settings")
+
+    @staticmethod
+    def load(spark: SparkSession, folder: str) -> StoredModel:
+        own = spark.read.parquet(f"{folder}/settings").first()
+        return StoredModel(PipelineModel.load(f"{folder}/pipeline"), tuple(own.numeric), tuple(own.categorical), tuple(own.classes), dict(own.thresholds))
+
+    def apply(self, df: DataFrame, prefix: str = "p_") -> DataFrame:
+        """All rows with one probability column a class, ``p_<class in lower case>``; missing numbers are imputed, unseen categories have a code."""
+        scored = self.pipeline.transform(with_indicators(df, list(self.numeric), list(self.categorical)))
+        values = vector_to_array("probability")
+        return scored.select(*df.columns, *[values.getItem(k).alias(f"{prefix}{name.lower()}") for k, name in enumerate(self.classes)])
+
+
+def train_classes(
+    training: DataFrame, label: str, classes: list[str], numeric: list[str], categorical: list[str], thresholds: dict[str, float] | None = None, trees: int = 100, depth: int = 8
+) -> StoredModel:
+    """A forest that tells the given classes apart; rows of other classes are not learned from."""
+    code = F.array_position(F.array(*map(F.lit, classes)), F.col(label)) - 1
+    known = training.where(F.col(label).isin(*classes)).withColumn("flagged", code.cast("int"))
+    return StoredModel(train_flag_model(known, numeric, categorical, trees, depth), tuple(numeric), tuple(categorical), tuple(classes), thresholds or {})
+
+
+#: What tells crevice flaws from debris.
+SHAPE_FEATURES = ["axial_start", "rotary_start", "diff_length", "width", "lw_ratio"]
+
+
+def differentiate_by(model: StoredModel, flaws: DataFrame, length_buffer: float) -> DataFrame:
+    """Categories and note of each flaw by a stored model of the classes CC and Debris and its thresholds of both names."""
+    told = model.apply(differentiation_features(flaws, length_buffer))
+    return differentiate(told, model.thresholds["Debris"], model.thresholds["CC"])

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import learning, scoring, tiling
 from ..operators.tiling import Model
+from ..session import scratch_path
 from . import fixtures as fx
 from . import flows
 from .fixtures import with_tables
@@ -89,6 +90,18 @@ def flag_model(spark, sf_dir):
     return learning.flag_cases(scored, "probability", 0.5).groupBy("category", "flagged").agg(F.count(F.lit(1)).alias("n"), F.avg("probability").alias("mean_probability"))
 
 
+@query("stored_differentiation_e11_e15")
+def stored_differentiation(spark, sf_dir):
+    """Learn crevice flaws and debris from all reported flaws, store the model, load it and judge all predicted flaws with it."""
+    plain = F.regexp_replace("flaw_type", r"^BM_| \(M\)$", "")
+    reported = learning.differentiation_features(fx.reported(spark, sf_dir).withColumn("flaw_type", plain), 0.5)
+    folder = scratch_path(spark, "differentiation-model")
+    trained = learning.train_classes(reported, "flaw_type", ["CC", "Debris"], learning.SHAPE_FEATURES, [], {"CC": 0.45, "Debris": 0.45}, trees=20, depth=5)
+    trained.save(spark, folder)
+    judged = learning.differentiate_by(learning.StoredModel.load(spark, folder), fx.predicted(spark, sf_dir).withColumn("flaw_type", plain), 0.5)
+    return judged.select("scan_id", "ind_num", "flaw_type", F.array_join("possible_category", "|").alias("categories"), "note1", F.round("p_cc", 6).alias("p_cc"), F.round("p_debris", 6).alias("p_debris"))
+
+
 @query("scored_frames_e9")
 def scored_frames(spark, sf_dir):
     images = scoring.frame_images(fx.ascans(spark, sf_dir), ["scan_id", "probe", "frame"], "rotary_idx", "samples")
