@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import samples as sm
 from ..operators import peaks, signal, wavegroups
+from ..operators.ordered import Series
 from ..operators.signal import FRAME
 from . import fixtures as fx
 from .fixtures import with_tables
@@ -259,6 +260,22 @@ def simple_maps(spark, sf_dir):
         F.round(sm.trapezoid(dev), 4).alias("area_under_curve"),
     )
 
+@query(
+    "rescored_frames_x10",
+    with_tables(
+        "series",
+        """, r AS (SELECT scan_id, frame, value IS NULL AS missing_g4, full_value / 100 AS overlap FROM series),
+m AS (SELECT *, sum(CASE WHEN missing_g4 IS DISTINCT FROM before THEN 1 ELSE 0 END) OVER (PARTITION BY scan_id ORDER BY frame) AS run
+  FROM (SELECT *, lag(missing_g4) OVER (PARTITION BY scan_id ORDER BY frame) AS before FROM r)),
+n AS (SELECT *, row_number() OVER (PARTITION BY scan_id, run ORDER BY frame) AS k FROM m)
+SELECT scan_id, frame, missing_g4, overlap FROM n WHERE (missing_g4 AND (k - 1) % 3 = 0) OR overlap > 0.9""",
+    ),
+)
+def rescored_frames(spark, sf_dir):
+    """Frames for a second round: every third one of a run without the last echo group, and those with much overlap."""
+    report = fx.series(spark, sf_dir).select("scan_id", "frame", F.col("value").isNull().alias("missing_g4"), (F.col("full_value") / 100).alias("overlap"))
+    return wavegroups.rescore_frames(report, Series(["scan_id"], ["frame"], 500), 3, 0.9).select("scan_id", "frame", "missing_g4", "overlap")
+
 
 PEAKS_SQL = """, a AS (SELECT scan_id, probe, frame, rotary_idx, samples AS s, len(samples) AS n FROM ascans),
 u AS (SELECT *, list_transform(list_filter(list_transform(list_filter(range(2, n), lambda i: s[i] > s[i - 1] AND s[i] >= 135),
