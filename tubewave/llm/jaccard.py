@@ -252,9 +252,14 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text",
     chosen = rows.where("uid IS NOT NULL").groupBy("uid").agg(F.min(F.struct("row", "key")).alias("one")).select("uid", "one.row", F.col("one.key").alias("key"))
     chosen = cut_lineage(chosen.join(dealt, "uid"), "members")
 
+    # texts of members travel once, by shuffle whatever the size: members have no bound, so they are never broadcast
+    holders = chosen.select("uid", F.col("row").alias("of"), F.col("key").alias("holder")).hint("merge")
+    bodies = lead.join(holders, (F.col("row") == F.col("of")) & F.col("key").eqNullSafe(F.col("holder"))).select("uid", "text")
+    bodies = cut_lineage(bodies, "member-texts")
+
     # the cluster's smallest set goes to all of its trees
     places = chosen.select("uid", "cluster", F.expr("explode(if(uid = cluster, sequence(0, trees - 1), array(tree)))").alias("tree"))
-    links = cut_lineage(_tree_links(lead, chosen, places.withColumn("part", F.lit(0)).withColumn("joined", F.col("uid")), size, share), "tree-links")
+    links = cut_lineage(_tree_links(bodies, places.withColumn("part", F.lit(0)).withColumn("joined", F.col("uid")), size, share), "tree-links")
 
     several = chosen.where("trees > 1").select("uid", "cluster", "tree", "trees")
     if not several.isEmpty():
@@ -267,7 +272,7 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text",
         state = state.join(outside, "cluster").withColumn("parts", F.ceil(F.col("outside") / TREE_SETS).cast("int"))
         home = state.select("uid", "cluster", "tree", F.expr("explode(sequence(0, parts - 1))").alias("part"), "joined")
         foreign = state.where("joined <> top").select("uid", "cluster", F.expr("explode(sequence(0, trees - 1))").alias("tree"), F.pmod(F.xxhash64("uid", F.lit(7)), F.col("parts")).cast("int").alias("part"), "joined")
-        links = links.union(_tree_links(lead, chosen, home.union(foreign), size, share))
+        links = links.union(_tree_links(bodies, home.union(foreign), size, share))
 
     joined = components(links).withColumnRenamed("node", "uid")
     named = rows.join(joined, "uid", "left").withColumn("class", F.coalesce("component", "uid"))
@@ -276,8 +281,8 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text",
     return named.join(low, "class", "left").select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("low", "key").alias("component_id"))
 
 
-def _tree_links(lead: DataFrame, chosen: DataFrame, places: DataFrame, size: int, share: tuple[int, int]) -> DataFrame:
-    """Links ``a, b`` found by trees, one for each ``cluster, tree, part`` of ``places``, of the sets that ``chosen`` rows hold.
+def _tree_links(bodies: DataFrame, places: DataFrame, size: int, share: tuple[int, int]) -> DataFrame:
+    """Links ``a, b`` found by trees, one for each ``cluster, tree, part`` of ``places``, of the sets of ``bodies`` (``uid, text``).
 
     The text travels, because it is smaller than its digests; the tree's task makes the set.
     """
@@ -310,7 +315,5 @@ def _tree_links(lead: DataFrame, chosen: DataFrame, places: DataFrame, size: int
         if found := links():
             yield out(found)
 
-    holders = chosen.select("uid", F.col("row").alias("of"), F.col("key").alias("holder")).join(places, "uid")
-    placed = lead.join(holders, (F.col("row") == F.col("of")) & F.col("key").eqNullSafe(F.col("holder")))
-    dealt = placed.select("cluster", "tree", "part", "uid", "text", "joined").repartition("cluster", "tree", "part").sortWithinPartitions("cluster", "tree", "part")
+    dealt = bodies.join(places, "uid").select("cluster", "tree", "part", "uid", "text", "joined").repartition("cluster", "tree", "part").sortWithinPartitions("cluster", "tree", "part")
     return dealt.mapInArrow(run, "a long, b long").distinct()
