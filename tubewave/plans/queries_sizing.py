@@ -285,7 +285,29 @@ def cc_depth(spark, sf_dir):
     return rounded(sizing.cc_depth(fx.grid_flaws(spark, sf_dir), fx.ascans(spark, sf_dir), 3, 140, 50.0), ["missing_percent"])
 
 
-@query("alternative_depth_e5")
+# reference points beside each flaw as in W14, for flaws anywhere in a turn
+ALTERNATIVE_SQL = """, s AS (SELECT scan_id, probe, frame AS fr, rotary_idx AS x, list_max(samples)::DOUBLE AS v,
+  list_transform(list_sort(list_transform([i FOR i IN range(1, 63) IF samples[i + 1] > samples[i] AND samples[i + 1] > samples[i + 2] AND samples[i + 1] >= 130],
+    lambda i: {'n': -samples[i + 1], 'i': i}))[1:3], lambda e: e.i) AS pk FROM ascans),
+f AS (SELECT scan_id, probe, flaw_id, unnest(range(frame_start, frame_end + 1)) AS fr, rotary_start AS fs, rotary_end AS fe, (rotary_start + rotary_end) // 2 AS fp FROM grid_flaws),
+j AS (SELECT f.*, x, v, pk, (x - (fs + fe) / 2.0)::DOUBLE AS xx, NOT x BETWEEN fs AND fe AS o FROM f JOIN s USING (scan_id, probe, fr)),
+m AS (SELECT scan_id, probe, fr, flaw_id, count(*) FILTER (o)::DOUBLE AS s0, sum(xx) FILTER (o) AS s1, sum(xx ** 2) FILTER (o) AS s2, sum(xx ** 3) FILTER (o) AS s3, sum(xx ** 4) FILTER (o) AS s4,
+  sum(v) FILTER (o) AS t0, sum(v * xx) FILTER (o) AS t1, sum(v * xx * xx) FILTER (o) AS t2, greatest(min(x), any_value(fs) - 15) AS ls, least(max(x) + 1, any_value(fe) + 15) AS re FROM j GROUP BY 1, 2, 3, 4),
+d AS (SELECT *, s0 * (s2 * s4 - s3 * s3) - s1 * (s1 * s4 - s3 * s2) + s2 * (s1 * s3 - s2 * s2) AS base FROM m),
+k AS (SELECT scan_id, probe, fr, flaw_id, ls, re, (t0 * (s2 * s4 - s3 * s3) - s1 * (t1 * s4 - s3 * t2) + s2 * (t1 * s3 - s2 * t2)) / base AS c0,
+  (s0 * (t1 * s4 - s3 * t2) - t0 * (s1 * s4 - s3 * s2) + s2 * (s1 * t2 - t1 * s2)) / base AS c1,
+  (s0 * (s2 * t2 - t1 * s3) - s1 * (s1 * t2 - t1 * s2) + t0 * (s1 * s3 - s2 * s2)) / base AS c2 FROM d),
+z AS (SELECT j.*, ls, re, v - (c0 + c1 * xx + c2 * xx * xx) AS flat FROM j JOIN k USING (scan_id, probe, fr, flaw_id)),
+l AS (SELECT *, avg(CASE WHEN x < ls OR x > re THEN flat END) OVER (PARTITION BY scan_id, probe, fr, flaw_id) AS lev, least(fp - ls, re - fp) AS ideal FROM z),
+c AS (SELECT *, CASE WHEN x >= ls AND x < fs THEN 'l' WHEN x >= fe AND x < re THEN 'r' END AS side FROM l),
+b AS (SELECT *, round(abs(flat - lev) + 0.7::DOUBLE * abs((CASE side WHEN 'l' THEN x - ls ELSE x - fe END) - ideal), 9) AS score FROM c WHERE side IS NOT NULL),
+g AS (SELECT scan_id, probe, fr, flaw_id, arg_min(x, struct_pack(s := score, p := x)) FILTER (side = 'l') AS lref, arg_min(x, struct_pack(s := score, p := x)) FILTER (side = 'r') AS rref FROM b GROUP BY 1, 2, 3, 4),
+u AS (SELECT scan_id, probe, fr, flaw_id, avg(list_max(pk)) AS surface FROM j JOIN g USING (scan_id, probe, fr, flaw_id) WHERE x = lref OR x = rref GROUP BY 1, 2, 3, 4),
+h AS (SELECT scan_id, probe, flaw_id, fr, x, coalesce(list_max(list_filter(pk, lambda i: i > surface)), list_max(pk)) - surface AS lag FROM j JOIN u USING (scan_id, probe, fr, flaw_id) WHERE x BETWEEN fs AND fe)
+SELECT scan_id, probe, flaw_id, lag, fr AS frame, x AS rotary_idx FROM (SELECT *, row_number() OVER (PARTITION BY scan_id, probe, flaw_id ORDER BY lag DESC, fr, x) AS rk FROM h WHERE lag IS NOT NULL) WHERE rk = 1"""
+
+
+@query("alternative_depth_e5", with_tables("ascans, grid_flaws", ALTERNATIVE_SQL))
 def alternative_depth(spark, sf_dir):
     """Last flaw peak behind the surface peak, the surface taken at balanced reference points."""
     ascans = fx.ascans(spark, sf_dir)
