@@ -292,13 +292,13 @@ w AS (SELECT *, round(r - (level - s[r + 1]) / (s[r] - s[r + 1]) - (l + (level -
 @query(
     "prominent_peaks_x4",
     with_tables("ascans", PEAKS_SQL + """
-SELECT scan_id, probe, frame, rotary_idx, place::INTEGER AS place, top::DOUBLE AS height, prominence, width FROM w WHERE width >= 1.2"""),
+SELECT scan_id, probe, frame, rotary_idx, place::INTEGER AS place, top::DOUBLE AS height, prominence, round(width, 6)::DOUBLE AS width FROM w WHERE width >= 1.2"""),
 )
 def prominent_peaks(spark, sf_dir):
     """Peaks of at least a height, a distance to higher ones, a prominence and a width, with these properties."""
     found = peaks.sample_peaks(fx.ascans(spark, sf_dir), [*FRAME, "rotary_idx"], PEAKS)
     each = found.select(*FRAME, "rotary_idx", F.explode("peaks").alias("p"))
-    return each.select(*FRAME, "rotary_idx", "p.place", "p.height", "p.prominence", "p.width")
+    return each.select(*FRAME, "rotary_idx", "p.place", "p.height", "p.prominence", F.round("p.width", 6).alias("width"))
 
 
 #: What a peak of an echo has to have.
