@@ -4,12 +4,14 @@ Boxes of identical geometry are collapsed to one, so a group of copies costs one
 are then sorted along a space-filling curve over position and size, and cut into short runs. Only the
 extents of runs are joined: an upper bound of the IoU that two runs can reach decides, before any pair of boxes
 is formed, which runs are opened. In a crowd the bound is tested against what neighbours on the curve already reach.
+Scans of usual size need none of this: both sides meet in one shuffle and each scan is matched as a whole (``groups``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geometry import iou
 from ..session import cut_lineage
+from . import groups
 
 GEOMETRY = ["x", "y", "w", "h"]
 #: Boxes of a run, and runs of one cell that meet in one task; more runs of a cell are salted.
@@ -313,6 +316,101 @@ def _less(pairs: DataFrame, extra: float) -> DataFrame:
     return pairs.withColumns(sizes) if sizes else pairs
 
 
+def _places(boxes: dict[str, np.ndarray], at: np.ndarray, side: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For rows of the first side, place of the row of the second one with the highest IoU (-1: none), that IoU and the first of the second side.
+
+    Rows are in order, those of the first side in front within their group.
+    """
+    n, sizes = len(side), np.diff(at)
+    middle = at[:-1] + np.add.reduceat((side == 0).astype(np.int64), at[:-1])
+    begins, ends = np.repeat(middle, sizes), np.repeat(at[1:], sizes)
+    best, place = np.zeros(n), np.full(n, -1, np.int64)
+    geometry = np.stack([boxes[g] for g in GEOMETRY], axis=1)
+    sized = (boxes["w"] > 0) & (boxes["h"] > 0) & ~np.isnan(boxes["x"]) & ~np.isnan(boxes["y"])
+    for i, j in groups.pairs_between(np.where((side == 0) & sized, begins, ends), ends):
+        fits = sized[j]
+        i, j = i[fits], j[fits]
+        reached = _reach(geometry[i], geometry[j])
+        fits = reached >= max(least, 1e-300)
+        i, j, reached = i[fits], j[fits], reached[fits]
+        np.maximum.at(best, i, reached)
+        top = reached == best[i]
+        left, first = np.unique(i[top], return_index=True)
+        place[left] = j[top][first]
+    return place, best, np.where((side == 0) & (begins < ends), begins, -1)
+
+
+def _match_groups(left: DataFrame, right: DataFrame, keys: list[str], box: BoxColumns, first: Column, least: float, fallback: bool, total: int) -> DataFrame:
+    """Rows of groups of usual size with their match: both sides meet in one shuffle, and each group is matched as a whole."""
+    own = [f for f in left.schema.fields if f.name not in keys]
+    geometry = [F.col(c).cast("double").alias(g) for c, g in zip(box.names(), GEOMETRY)]
+    # doubles of the box travel once
+    known = {c: g for c, g in zip(box.names(), GEOMETRY) if left.schema[c].dataType.simpleString() == "double"}
+    told = [f.name for f in own if f.name not in known]
+    rest = F.struct(*told) if told else F.struct(F.lit(0).alias("_none"))
+    b = right.where(groups.has_keys(keys)).select(*keys, F.lit(1).cast("byte").alias("_side"), *geometry, first.alias("_right"))
+    b = b if fallback else b.where(HAS_AREA)
+    a = left.where(groups.has_keys(keys)).select(*keys, F.lit(0).cast("byte").alias("_side"), *geometry, rest.alias("_left"))
+    both = a.withColumn("_right", F.lit(None).cast(b.schema["_right"].dataType)).unionByName(b.withColumn("_left", F.lit(None).cast(a.schema["_left"].dataType)))
+    dealt = groups.gathered(both, keys, ["_side", "_right"], total)
+
+    def solve(table: pa.Table, at: np.ndarray) -> pa.Table:
+        side = table.column("_side").to_numpy()
+        place, reached, one = _places(groups.numbers(table, GEOMETRY), at, side, least)
+        if fallback:
+            reached, place = np.where(place >= 0, reached, 0.0), np.where(place >= 0, place, one)
+        ours = np.flatnonzero(side == 0)
+        place = place[ours]
+        match = table.column("_right").combine_chunks().take(pa.array(place, mask=place < 0))
+        out = table.take(pa.array(ours)).drop_columns(["_side", "_right"])
+        return out.append_column("iou", pa.array(reached[ours], mask=place < 0)).append_column("match", match)
+
+    kept = dealt.drop("_side", "_right").schema.add("iou", "double").add("match", b.schema["_right"].dataType)
+    found = dealt.mapInArrow(groups.by_groups(keys, solve), kept)
+    columns = [F.col(c) if c in keys else F.col(known[c]).alias(c) if c in known else F.col("_left")[c].alias(c) for c in left.columns]
+    return found.select(*columns, "iou", "match")
+
+
+def _match(
+    left: DataFrame, right: DataFrame, keys: list[str], box: BoxColumns, order: str, payload: list[str], min_iou: float, grid: Grid, fallback: bool
+) -> DataFrame:
+    """Groups of usual size are matched as a whole, crowds by runs; rows without a key match nothing."""
+    first = F.struct(F.col(order).alias("_order"), *payload)
+    crowded, total = groups.crowds([left, right], keys)
+    if crowded is None:
+        usual = _match_groups(left, right, keys, box, first, min_iou, fallback, total)
+    else:
+        usual = _match_groups(left.join(crowded, keys, "left_anti"), right.join(crowded, keys, "left_anti"), keys, box, first, min_iou, fallback, total)
+    found = [usual]
+    if crowded is not None:
+        a, b = left.join(crowded, keys, "left_semi"), right.join(crowded, keys, "left_semi")
+        dense = _match_by_runs(a, b, keys, box, order, payload, min_iou, grid)
+        if fallback:
+            one = b.groupBy(*keys).agg(F.min(first).alias("_first"))
+            dense = dense.join(one, keys, "left").withColumn("match", F.coalesce("match", "_first"))
+            dense = dense.withColumn("iou", F.when(F.col("match").isNotNull(), F.coalesce("iou", F.lit(0.0)))).drop("_first")
+        found.append(dense)
+    none = left.where(~groups.has_keys(keys))
+    found.append(none.withColumn("iou", F.lit(None).cast("double")).withColumn("match", F.lit(None).cast(usual.schema["match"].dataType)))
+    return reduce(DataFrame.unionByName, [f.select(*left.columns, "iou", "match") for f in found])
+
+
+def _match_by_runs(left: DataFrame, right: DataFrame, keys: list[str], box: BoxColumns, order: str, payload: list[str], min_iou: float, grid: Grid) -> DataFrame:
+    b = all_boxes(right, keys, box, F.struct(F.col(order).alias("_order"), *payload))
+    a = all_boxes(left, keys, box, F.lit(None).cast(b.schema["first"].dataType))
+    marked = runs_of(a, b, keys, grid)
+    lefts, rights = marked.where("side = 0").drop("first"), marked.where("side = 1")
+    pairs = _box_pairs(lefts, rights, _run_pairs(lefts, rights, keys, grid, min_iou, True), keys, min_iou)
+    geometry = [f"a_{g}" for g in GEOMETRY]
+    best = pairs.groupBy(*keys, *geometry).agg(F.min(F.struct((-F.col("iou")).alias("neg_iou"), F.col("b_first"))).alias("_best"))
+    best = best.select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], *geometry, (-F.col("_best.neg_iou")).alias("iou"), F.col("_best.b_first").alias("match")
+    ).where(F.col("iou") >= min_iou)
+    on = [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)]
+    on += [F.col(c).cast("double") == F.col(f"a_{g}") for c, g in zip(box.names(), GEOMETRY)]
+    return left.join(best, on, "left").drop(*[f"_k{i}" for i in range(len(keys))], *geometry)
+
+
 def best_match(
     left: DataFrame,
     right: DataFrame,
@@ -329,19 +427,7 @@ def best_match(
     overlaps with at least ``min_iou``. Equal IoU goes to the right row that comes first in ``order``.
     Rows without a key, without an area or with missing or NaN geometry overlap with nothing.
     """
-    b = all_boxes(right, keys, box, F.struct(F.col(order).alias("_order"), *payload))
-    a = all_boxes(left, keys, box, F.lit(None).cast(b.schema["first"].dataType))
-    marked = runs_of(a, b, keys, grid)
-    lefts, rights = marked.where("side = 0").drop("first"), marked.where("side = 1")
-    pairs = _box_pairs(lefts, rights, _run_pairs(lefts, rights, keys, grid, min_iou, True), keys, min_iou)
-    geometry = [f"a_{g}" for g in GEOMETRY]
-    best = pairs.groupBy(*keys, *geometry).agg(F.min(F.struct((-F.col("iou")).alias("neg_iou"), F.col("b_first"))).alias("_best"))
-    best = best.select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], *geometry, (-F.col("_best.neg_iou")).alias("iou"), F.col("_best.b_first").alias("match")
-    ).where(F.col("iou") >= min_iou)
-    on = [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)]
-    on += [F.col(c).cast("double") == F.col(f"a_{g}") for c, g in zip(box.names(), GEOMETRY)]
-    return left.join(best, on, "left").drop(*[f"_k{i}" for i in range(len(keys))], *geometry)
+    return _match(left, right, keys, box, order, list(payload), min_iou, grid, False)
 
 
 def best_match_or_first(
@@ -351,14 +437,7 @@ def best_match_or_first(
 
     This is the argmax of the full IoU matrix: a row of zeros points at the first column.
     """
-    first = right.groupBy(*keys).agg(F.min(F.struct(F.col(order).alias("_order"), *payload)).alias("_first"))
-    matched = best_match(left, right, keys, box, order, payload, grid=grid)
-    return (
-        matched.join(first, keys, "left")
-        .withColumn("match", F.coalesce("match", "_first"))
-        .withColumn("iou", F.when(F.col("match").isNotNull(), F.coalesce("iou", F.lit(0.0))))
-        .drop("_first")
-    )
+    return _match(left, right, keys, box, order, list(payload), 0.0, grid, True)
 
 
 def false_calls(predicted: DataFrame, matched_reported: DataFrame, keys: list[str], order: str = "ind_num") -> DataFrame:

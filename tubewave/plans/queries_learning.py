@@ -60,7 +60,7 @@ SELECT scan_id, ind_num, flaw_type, width_diff AS metrics_width_diff, length_dif
 )
 def training_features(spark, sf_dir):
     names = ["scan_id", "ind_num", "flaw_type", "is_predicted", "width_diff", "length_diff", "position_x_diff", "position_y_diff", "depth_diff"]
-    return learning.training_features(reported_metrics(spark, sf_dir).select(*names)).drop("is_predicted")
+    return learning.training_features(reported_metrics(spark, sf_dir, names)).drop("is_predicted")
 
 
 @query(

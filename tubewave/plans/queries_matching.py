@@ -32,14 +32,19 @@ r_best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY scan_id, r_i
 """
 
 
-def matched_predicted(spark, sf_dir):
-    return matching.best_match(
-        predicted(spark, sf_dir), reported(spark, sf_dir), KEYS, payload=["flaw_type", "depth", "depth_text"], min_iou=0.2
-    )
+BOX = matching.BoxColumns().names()
+
+
+def matched_predicted(spark, sf_dir, columns, payload):
+    """Predicted boxes, with further columns, and the reported flaw that each overlaps most, with its payload."""
+    flaws = predicted(spark, sf_dir).select(*KEYS, *BOX, *columns)
+    return matching.best_match(flaws, reported(spark, sf_dir), KEYS, payload=payload, min_iou=0.2)
 
 
-def matched_reported(spark, sf_dir, payload=("flaw_type", "depth", "depth_text", "axial_start", "rotary_start", "length", "width")):
-    return matching.best_match(reported(spark, sf_dir), predicted(spark, sf_dir), KEYS, payload=list(payload))
+def matched_reported(spark, sf_dir, columns, payload):
+    """Reported boxes, with further columns, and the predicted flaw that each overlaps most, with its payload."""
+    flaws = reported(spark, sf_dir).select(*KEYS, *BOX, *columns)
+    return matching.best_match(flaws, predicted(spark, sf_dir), KEYS, payload=payload)
 
 
 @query(
@@ -59,7 +64,7 @@ FROM levels WHERE err IS NOT NULL GROUP BY flaw_type""",
     ),
 )
 def depth_agreement_by_type(spark, sf_dir):
-    matched = matched_predicted(spark, sf_dir).where("match IS NOT NULL")
+    matched = matched_predicted(spark, sf_dir, ["depth_text"], ["flaw_type", "depth_text"]).where("match IS NOT NULL")
     errors = matched.select(
         F.col("match.flaw_type").alias("flaw_type"),
         F.round(text.parse_measure(F.col("match.depth_text")) - text.parse_measure(F.col("depth_text")), 4).alias("err"),
@@ -77,7 +82,7 @@ SELECT scan_id, p_ind AS ind_num, r_ind AS reported_id, round(iou, 6) AS iou FRO
     ),
 )
 def predicted_to_reported(spark, sf_dir):
-    return matched_predicted(spark, sf_dir).where("match IS NOT NULL").select(
+    return matched_predicted(spark, sf_dir, ["ind_num"], []).where("match IS NOT NULL").select(
         "scan_id", "ind_num", F.col("match._order").alias("reported_id"), F.round("iou", 6).alias("iou")
     )
 
@@ -106,25 +111,29 @@ metrics AS (SELECT r.scan_id, r.ind_num, coalesce(b.p_ind, 'NA') AS pred_ind_num
 """
 
 
-def reported_metrics(spark, sf_dir):
-    """Every reported flaw with its best prediction and the differences between the two."""
+#: Differences between a reported flaw and its prediction, and the column they compare.
+BOX_DIFFERENCES = {"width_diff": "width", "length_diff": "length", "position_x_diff": "rotary_start", "position_y_diff": "axial_start"}
+
+
+def reported_metrics(spark, sf_dir, names=None):
+    """Every reported flaw with its best prediction and the differences between the two; only columns of the wanted ones travel."""
     m = F.col("match")
-    return matched_reported(spark, sf_dir).select(
-        "scan_id",
-        "ind_num",
-        F.coalesce(m["_order"], F.lit("NA")).alias("pred_ind_num"),
-        m.isNotNull().alias("is_predicted"),
-        F.round("iou", 6).alias("iou"),
-        "flaw_type",
-        F.col("depth_text").alias("depth_reported"),
-        m["depth_text"].alias("pred_depth"),
-        (text.plain_flaw_type(F.col("flaw_type")) == text.plain_flaw_type(m["flaw_type"])).alias("is_classified_correct"),
-        F.round(F.abs(F.col("width") - m["width"]), 6).alias("width_diff"),
-        F.round(F.abs(F.col("length") - m["length"]), 6).alias("length_diff"),
-        F.round(F.abs(F.col("rotary_start") - m["rotary_start"]), 6).alias("position_x_diff"),
-        F.round(F.abs(F.col("axial_start") - m["axial_start"]), 6).alias("position_y_diff"),
-        F.when(m.isNotNull(), F.round(text.depth_difference(F.col("depth_text"), m["depth_text"]), 6)).alias("depth_diff"),
-    )
+    shown = {
+        "scan_id": F.col("scan_id"),
+        "ind_num": F.col("ind_num"),
+        "pred_ind_num": F.coalesce(m["_order"], F.lit("NA")),
+        "is_predicted": m.isNotNull(),
+        "iou": F.round("iou", 6),
+        "flaw_type": F.col("flaw_type"),
+        "depth_reported": F.col("depth_text"),
+        "pred_depth": m["depth_text"],
+        "is_classified_correct": text.plain_flaw_type(F.col("flaw_type")) == text.plain_flaw_type(m["flaw_type"]),
+        **{name: F.round(F.abs(F.col(c) - m[c]), 6) for name, c in BOX_DIFFERENCES.items()},
+        "depth_diff": F.when(m.isNotNull(), F.round(text.depth_difference(F.col("depth_text"), m["depth_text"]), 6)),
+    }
+    wanted = list(shown) if names is None else names
+    payload = ["depth_text", *[c for name, c in BOX_DIFFERENCES.items() if name in wanted], *(["flaw_type"] if "is_classified_correct" in wanted else [])]
+    return matched_reported(spark, sf_dir, ["ind_num", "flaw_type", "depth_text"], payload).select(*[shown[n].alias(n) for n in wanted])
 
 
 @query(
@@ -146,7 +155,8 @@ FROM best WHERE rn = 1""",
     ),
 )
 def label_to_best_prediction(spark, sf_dir):
-    matched = matching.best_match_or_first(reported(spark, sf_dir), predicted(spark, sf_dir), KEYS)
+    flaws = reported(spark, sf_dir).select(*KEYS, *BOX, "ind_num")
+    matched = matching.best_match_or_first(flaws, predicted(spark, sf_dir), KEYS)
     return matched.where("match IS NOT NULL").select(
         "scan_id",
         "ind_num",
@@ -166,7 +176,7 @@ FROM predicted p WHERE NOT EXISTS (SELECT 1 FROM r_best b WHERE b.scan_id = p.sc
     ),
 )
 def false_call_table(spark, sf_dir):
-    extra = matching.false_calls(predicted(spark, sf_dir), matched_reported(spark, sf_dir, ()), KEYS)
+    extra = matching.false_calls(predicted(spark, sf_dir), matched_reported(spark, sf_dir, [], []), KEYS)
     return extra.select(
         "scan_id", "ind_num", F.col("flaw_type").alias("pred_flaw_type"), F.col("depth_text").alias("pred_depth"),
         "axial_start", "rotary_start", "length", "width",
@@ -187,7 +197,7 @@ SELECT reason, count(*)::BIGINT AS n FROM reasons GROUP BY reason""",
     ),
 )
 def overcalls(spark, sf_dir):
-    extra = matching.false_calls(predicted(spark, sf_dir), matched_reported(spark, sf_dir, ()), KEYS)
+    extra = matching.false_calls(predicted(spark, sf_dir), matched_reported(spark, sf_dir, [], []), KEYS)
     reason = text.overcall_reason(F.lit(len(extra.columns)), F.col("depth_text"))
     return extra.select(reason.alias("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
@@ -206,7 +216,7 @@ LEFT JOIN reported r ON r.scan_id = b.scan_id AND r.ind_num = b.r_ind""",
 )
 def flaw_deltas(spark, sf_dir):
     rep = reported(spark, sf_dir).alias("r")
-    pred = matched_predicted(spark, sf_dir).withColumn("reported_id", F.col("match._order")).alias("p")
+    pred = matched_predicted(spark, sf_dir, ["ind_num", "flaw_type"], []).withColumn("reported_id", F.col("match._order")).alias("p")
     joined = pred.join(rep, (F.col("p.scan_id") == F.col("r.scan_id")) & (F.col("p.reported_id") == F.col("r.ind_num")), "left")
     deltas = {"axial_delta": "axial_start", "rotary_delta": "rotary_start", "length_delta": "length", "width_delta": "width"}
     return joined.select(
@@ -230,7 +240,7 @@ LEFT JOIN predicted p ON p.scan_id = b.scan_id AND p.ind_num = b.p_ind GROUP BY
 )
 def reported_detection(spark, sf_dir):
     hits = (
-        matched_predicted(spark, sf_dir)
+        matched_predicted(spark, sf_dir, ["flaw_type"], ["flaw_type"])
         .where("match IS NOT NULL")
         .groupBy("scan_id", F.col("match._order").alias("ind_num"))
         .agg(

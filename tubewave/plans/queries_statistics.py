@@ -192,7 +192,8 @@ def evaluation_summary(spark, sf_dir):
     from ..operators import matching
 
     payload = ["flaw_type", "length", "width", "axial_start", "depth"]
-    m = matching.best_match_or_first(fx.reported(spark, sf_dir), fx.predicted(spark, sf_dir), ["scan_id"], payload=payload)
+    flaws = fx.reported(spark, sf_dir).select("scan_id", "flaw_type", "depth", *matching.BoxColumns().names())
+    m = matching.best_match_or_first(flaws, fx.predicted(spark, sf_dir), ["scan_id"], payload=payload)
     p = F.col("match")
     e = m.where("match IS NOT NULL").select(
         "flaw_type", (F.col("width") > 11).alias("disposition"), (F.col("iou") > 0.1).alias("detected"),
@@ -227,7 +228,8 @@ def depth_records(spark, sf_dir):
     scans = fx.scans(spark, sf_dir).where(F.col("raw_outage").startswith("D")).select(
         "scan_id", text.outage_year(F.col("raw_outage")).alias("year"), F.col("scan_channel").alias("channel")
     )
-    metrics = reported_metrics(spark, sf_dir).where(F.col("pred_depth").isNotNull() & (F.col("pred_depth") != text.SEE_CATEGORIES))
+    names = ["scan_id", "ind_num", "pred_ind_num", "pred_depth", "depth_diff"]
+    metrics = reported_metrics(spark, sf_dir, names).where(F.col("pred_depth").isNotNull() & (F.col("pred_depth") != text.SEE_CATEGORIES))
     return metrics.join(scans, "scan_id").select(
         "scan_id", "ind_num", "pred_ind_num", "year", "channel", text.is_flagged_text(F.col("pred_depth")).alias("flagged"),
         (-F.col("depth_diff")).alias("depth2_delta"),
