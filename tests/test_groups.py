@@ -44,3 +44,67 @@ def test_usual_groups_and_crowds_are_matched_alike(spark, monkeypatch, fallback,
 def test_a_match_of_usual_scans_takes_one_shuffle(spark):
     left, right = flaws(spark, 1), flaws(spark, 2)
     assert shuffles(matching.best_match(left.coalesce(1), right.coalesce(1), ["scan_id"])) <= 3  # two of them deal the rows of the test
+
+
+def boxes(spark, seed, n=150):
+    """Images of many sizes, some crowded and one with a class only, copies, equal confidences, boxes without an area or an image."""
+    rng = np.random.default_rng(seed)
+    pdf = pd.DataFrame({
+        "image_id": rng.choice([0, 0, 0, 1, 1, 2, 3, 4, 5, 6], n), "box_id": [f"{k:04d}" for k in rng.permutation(n)], "cls": rng.choice(["V", "MR", "Spaghetti"], n),
+        "conf": rng.integers(0, 10, n) / 10, "x1": rng.integers(0, 200, n) * 1.0, "y1": rng.integers(0, 90, n) * 1.0,
+    })
+    pdf["x2"], pdf["y2"] = pdf["x1"] + rng.integers(0, 40, n), pdf["y1"] + rng.integers(1, 25, n)
+    pdf.loc[rng.random(n) < 0.1, ["image_id", "x1", "y1", "x2", "y2"]] = [0, 10.0, 10.0, 30.0, 30.0]
+    df = spark.createDataFrame(pdf.astype({"image_id": "int64"}))
+    return df.withColumn("image_id", F.when(F.col("box_id") > "0003", F.col("image_id"))).withColumn("x1", F.when(F.col("box_id") != "0007", F.col("x1"))).repartition(3)
+
+
+def levels(df):
+    named = df.select("image_id", "box_id", F.floor((F.col("y1") + F.col("y2")) / 2).alias("middle_y"), F.col("y1").alias("first_y"), F.col("y2").alias("last_y"), F.col("x1").alias("left_x"))
+    return merging.representative_levels(named, ["image_id"])
+
+
+def overlapped(df):
+    named = df.select("image_id", F.col("box_id").alias("flaw_id"), F.col("cls").alias("flaw_type"), F.col("conf").alias("confidence"), F.col("x1").alias("x_start"),
+                      F.col("x2").alias("x_end"), F.col("y1").alias("y_start"), F.col("y2").alias("y_end"), F.array("cls").alias("possible_category"))
+    return merging.unite_overlapping_flaws(named, ["image_id"], 0.3, merging.PIXELS)
+
+
+MERGES = {
+    "frame": lambda df: merging.merge_frame_boxes(df, ["image_id"], 0.25, True),
+    "frame of any class": lambda df: merging.merge_frame_boxes(df, ["image_id"], 0.25, False),
+    "tile": lambda df: merging.merge_tile_boxes(df, ["image_id"], 0.3, 0.9),
+    "suppressed": lambda df: merging.suppress_overlaps(df.withColumnRenamed("conf", "score"), ["image_id"], 0.3, 0.1),
+    "suppressed without end pixels": lambda df: merging.suppress_overlaps(df.withColumnRenamed("conf", "score"), ["image_id"], 0.3, 0.0, inclusive=False),
+    "v and mr": lambda df: merging.unite_v_and_mr(df, ["image_id"], 0.1),
+    "flaws": overlapped,
+    "levels": levels,
+}
+
+
+@pytest.mark.parametrize("merge", MERGES)
+def test_usual_groups_and_crowds_merge_alike(spark, monkeypatch, merge):
+    df = boxes(spark, 5)
+    found = []
+    for crowd, small, together in ((10_000, 32, 16_384), (10_000, 0, 9), (20, 32, 40), (0, 32, 16_384)):
+        monkeypatch.setattr(groups, "CROWD", crowd)
+        monkeypatch.setattr(groups, "TOGETHER", together)
+        monkeypatch.setattr(merging, "SMALL", small)
+        found.append(sorted(str(tuple(r)) for r in MERGES[merge](df).collect()))
+    assert all(rows == found[0] for rows in found[1:])
+    assert 0 < len(found[0]) < df.count()
+
+
+@pytest.mark.parametrize("merge", MERGES)
+def test_a_merge_of_usual_groups_takes_one_shuffle(spark, merge):
+    assert shuffles(MERGES[merge](boxes(spark, 5).coalesce(1))) <= 3  # the rows of the test are dealt once for each time they are read
+
+
+def test_usual_groups_and_crowds_have_the_same_pairs(spark, monkeypatch):
+    df = flaws(spark, 3)
+    found = []
+    for crowd, inclusive in ((10_000, True), (30, True), (0, True), (10_000, False), (0, False)):
+        monkeypatch.setattr(groups, "CROWD", crowd)
+        rows = matching.pairs_within(df, ["scan_id"], inclusive=inclusive, least=0.2).collect()
+        found.append((inclusive, sorted((r.scan_id, r.a_first._order, r.b_first._order, r.a_n, r.b_n, round(r.iou, 9), r.a_w, r.b_h) for r in rows)))
+    assert found[0] == found[1] == found[2] and found[3] == found[4] and found[0][1] and found[0][1] != found[3][1]

@@ -14,6 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import cut_lineage
 
@@ -39,7 +40,7 @@ def crowds(frames: list[DataFrame], keys: list[str]) -> tuple[DataFrame | None,
     return cut_lineage(counted.where(F.col("_rows") > CROWD).select(*keys), "crowds"), total
 
 
-def gathered(rows: DataFrame, keys: list[str], order: list[str], total: int) -> DataFrame:
+def gathered(rows: DataFrame, keys: list[str], order: list[str | Column], total: int) -> DataFrame:
     """Rows of one key side by side and in order; as many tasks as ``total`` rows need."""
     usual = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     needed = -(-total // TASK_ROWS)
@@ -129,24 +130,32 @@ def each(work: Callable[[Rows], np.ndarray]) -> GroupWork:
     return run
 
 
-def work_on_groups(rows: DataFrame, keys: list[str], order: list[str], used: list[str], changed: list[str], joins: Pairs, work: GroupWork, total: int) -> DataFrame:
-    """The rows that ``work`` leaves of each group, with their changed columns. Groups in which no two rows join stay as they are."""
+def work_on_groups(rows: DataFrame, keys: list[str], order: list[str | Column], used: list[str], changed: list[str], joins: Pairs, work: GroupWork, total: int) -> DataFrame:
+    """The rows that ``work`` leaves of each group, with their changed columns. Groups in which no two rows join stay as they are.
+
+    ``joins`` uses numbers only.
+    """
+
+    plain = [c for c in used if isinstance(rows.schema[c].dataType, T.NumericType)]
 
     def solve(table: pa.Table, at: np.ndarray) -> pa.Table:
-        arrays = numbers(table, used)
-        group = np.repeat(np.arange(len(at) - 1), np.diff(at))
-        met = np.zeros(len(at) - 1, bool)
+        arrays = numbers(table, plain)
+        sizes = np.diff(at)
+        group = np.repeat(np.arange(len(sizes)), sizes)
+        met = np.zeros(len(sizes), bool)
         for i, j in pairs_within(at):
             met[group[i[joins(arrays, i, j)]]] = True
-        which = np.flatnonzero(met)
-        if not len(which):
+        if not met.any():
             return table
-        stays = work(arrays, at[which], at[which + 1])
+        some = table.filter(pa.array(met[group])).combine_chunks()
+        arrays = numbers(some, used)
+        ends = np.cumsum(sizes[met])
+        stays = work(arrays, ends - sizes[met], ends)
         for name in changed:
-            field = table.schema.field(name)
+            field = some.schema.field(name)
             values = arrays[name]
-            table = table.set_column(table.schema.get_field_index(name), field, pa.array(values if values.dtype != object else values.tolist(), field.type, from_pandas=False))
-        return table.filter(pa.array(stays))
+            some = some.set_column(some.schema.get_field_index(name), field, pa.array(values if values.dtype != object else values.tolist(), field.type))
+        return pa.concat_tables([table.filter(pa.array(~met[group])), some.filter(pa.array(stays))])
 
     dealt = gathered(rows, keys, order, total)
     return dealt.mapInArrow(by_groups(keys, solve), dealt.schema)

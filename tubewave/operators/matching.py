@@ -304,11 +304,51 @@ def pairs_within(
 ) -> DataFrame:
     """Pairs of distinct overlapping geometries of one table, each formed once; ``a`` is the one whose first copy comes first."""
     extra = 1.0 if inclusive else 0.0
-    pairs = pairs_of(runs_of(None, distinct_boxes(df, keys, box, order, [], extra), keys, grid), keys, grid, least)
+    crowded, total = groups.crowds([df], keys)
+    if crowded is None:
+        return _less(_pairs_of_groups(df, keys, box, order, extra, least, total), extra)
+    pairs = pairs_of(runs_of(None, distinct_boxes(df.join(crowded, keys, "left_semi"), keys, box, order, [], extra), keys, grid), keys, grid, least)
     sides = ["n", "first", *GEOMETRY]
     swap = F.col("a_first._order") > F.col("b_first._order")
     turned = [F.when(swap, F.col(f"{q}{c}")).otherwise(F.col(f"{p}{c}")).alias(f"{p}{c}") for p, q in (("a_", "b_"), ("b_", "a_")) for c in sides]
-    return _less(pairs.select(*keys, *turned, "iou"), extra)
+    usual = _pairs_of_groups(df.join(crowded, keys, "left_anti"), keys, box, order, extra, least, total)
+    return _less(pairs.select(*keys, *turned, "iou").unionByName(usual), extra)
+
+
+def _pairs_of_groups(df: DataFrame, keys: list[str], box: BoxColumns, order: str, extra: float, least: float, total: int) -> DataFrame:
+    """Pairs within groups of usual size, each of which is in one task after a single shuffle."""
+    geometry = [F.col(c).cast("double").alias(g) for c, g in zip(box.names(), GEOMETRY)]
+    rows = df.where(groups.has_keys(keys)).select(*keys, *geometry, F.struct(F.col(order).alias("_order")).alias("first"))
+    if extra:
+        rows = rows.withColumn("w", F.col("w") + extra).withColumn("h", F.col("h") + extra)
+    dealt = groups.gathered(rows.where(HAS_AREA), keys, ["first"], total)
+    sides = ["n", "first", *GEOMETRY]
+    counted = dealt.withColumn("n", F.lit(0).cast("long"))
+    schema = counted.select(*keys, *[F.col(c).alias(f"{p}{c}") for p in ("a_", "b_") for c in sides], F.lit(0.0).alias("iou")).schema
+
+    def solve(table: pa.Table, at: np.ndarray) -> pa.Table:
+        boxes = groups.numbers(table, GEOMETRY)
+        group = np.repeat(np.arange(len(at) - 1), np.diff(at))
+        values = [group, *boxes.values()]
+        ranked = np.lexsort(values[::-1])  # stable: the first copy in order is in front
+        new = np.append(True, np.any([v[ranked][1:] != v[ranked][:-1] for v in values], axis=0))
+        begins = np.flatnonzero(new)
+        first, many = ranked[begins], np.diff(np.append(begins, len(ranked)))
+        many = many[np.argsort(first)]
+        first = np.sort(first)
+        one = table.take(pa.array(first)).append_column("n", pa.array(many, pa.int64()))
+        square = np.stack([boxes[g][first] for g in GEOMETRY], axis=1)
+        found: list[tuple[np.ndarray, ...]] = []
+        for i, j in groups.pairs_within(np.searchsorted(group[first], np.arange(len(at)))):
+            reached = _reach(square[i], square[j])
+            fits = reached >= max(least, 1e-300)
+            found.append((i[fits], j[fits], reached[fits]))
+        i, j, reached = (np.concatenate(part) for part in zip(*found))
+        a, b = one.take(pa.array(i)), one.take(pa.array(j))
+        columns = [a.column(k) for k in keys] + [side.column(c) for side in (a, b) for c in sides]
+        return pa.Table.from_arrays([*columns, pa.array(reached)], schema.names)
+
+    return dealt.mapInArrow(groups.by_groups(keys, solve), schema)
 
 
 def _less(pairs: DataFrame, extra: float) -> DataFrame:
