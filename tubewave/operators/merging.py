@@ -2,7 +2,8 @@
 
 The outcome of these merges depends on the order in which pairs are met, but boxes influence one another only if
 they overlap, directly or through others. Such sets are connected components of the overlap graph (``overlap_graph``);
-each is handled by one small function, and no image or scan is gathered in one task.
+each is handled by one small function, and no large image or scan is gathered in one task. Images and scans of usual size
+are worked on as a whole after one shuffle (``groups``), which is what the sets stand for in a crowd.
 """
 
 from __future__ import annotations
@@ -16,8 +17,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from . import groups
 from .matching import HAS_AREA, Grid, pairs_of, runs_of
-from .overlap_graph import connected_sets, overlap_sets, settled, work_on_sets
+from .overlap_graph import Corners, connected_sets, overlap_sets, settled, work_on_sets
 
 Rows = dict[str, np.ndarray]
 #: Which of the given rows join row ``i``.
@@ -70,6 +72,58 @@ def _unite(axes: list[tuple[str, str]], joins: Joins, second_on_tie: bool) -> Ca
     return work
 
 
+#: Rows of a group up to which pairs of many groups are united side by side.
+SMALL = 32
+
+
+def _unite_groups(axes: list[tuple[str, str]], joins: Joins, second_on_tie: bool) -> groups.GroupWork:
+    """As ``_unite`` for many groups: in each round every small group unites its first pair that joins."""
+    one_by_one = groups.each(_unite(axes, joins, second_on_tie))
+
+    def work(rows: Rows, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        small = ends - begins <= SMALL
+        here = one_by_one(rows, begins[~small], ends[~small])
+        if not small.any():
+            return here
+        conf, upto = rows["conf"], np.zeros(len(here), np.int64)
+        sizes = (ends - begins)[small]
+        places = np.repeat(begins[small] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+        upto[places] = np.repeat(ends[small], sizes)
+        i, j = (np.concatenate(side) for side in zip(*groups.pairs_between(np.arange(1, len(here) + 1), upto)))
+        while len(i):
+            at = np.flatnonzero(joins(rows, i, j))
+            first = at[np.diff(upto[i[at]], prepend=-1) != 0]  # the first pair of each group
+            a, b = i[first], j[first]
+            second = (conf[b] > conf[a]) | (second_on_tie & (conf[b] == conf[a]))
+            keep, drop = np.where(second, b, a), np.where(second, a, b)
+            for lo, hi in axes:
+                rows[lo][keep], rows[hi][keep] = np.minimum(rows[lo][a], rows[lo][b]), np.maximum(rows[hi][a], rows[hi][b])
+            here[drop] = False
+            open_ = np.zeros(len(here) + 1, bool)
+            open_[upto[a]] = True
+            go_on = open_[upto[i]] & here[i] & here[j]
+            i, j = i[go_on], j[go_on]
+        return here
+
+    return work
+
+
+def _by_groups(
+    rows: DataFrame, keys: list[str], corners: Corners, order: list, used: list[str], changed: list[str], joins: groups.Pairs, work: groups.GroupWork,
+    crowd: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """Groups of usual size worked on as a whole, larger ones by ``crowd``; rows without a key or an area stay as they are."""
+    x1, y1, x2, y2 = (c.cast("double") for c in corners)
+    w, h = x2 - x1, y2 - y1
+    known = groups.has_keys(keys) & (w > 0) & (h > 0) & ~(F.isnan(w) | F.isnan(h) | F.isnan(x1) | F.isnan(y1))
+    boxes, flat = rows.where(known), rows.where(~F.coalesce(known, F.lit(False)))
+    crowded, total = groups.crowds([boxes], keys)
+    if crowded is None:
+        return groups.work_on_groups(boxes, keys, order, used, changed, joins, work, total).unionByName(flat)
+    usual, dense = (boxes.join(crowded, keys, how).select(*rows.columns) for how in ("left_anti", "left_semi"))
+    return groups.work_on_groups(usual, keys, order, used, changed, joins, work, total).unionByName(crowd(dense).select(*rows.columns)).unionByName(flat)
+
+
 def merge_frame_boxes(boxes: DataFrame, keys: list[str], threshold: float, same_class: bool) -> DataFrame:
     """Unite boxes of one frame whose 1-D IoU along x exceeds the threshold (columns x1, x2, cls, conf, box_id).
 
@@ -82,8 +136,12 @@ def merge_frame_boxes(boxes: DataFrame, keys: list[str], threshold: float, same_
         return (shared > 0) & (shared > threshold * (own + theirs - shared))
 
     group = [*keys, "cls"] if same_class else keys
-    sets = overlap_sets(boxes, group, (F.col("x1"), F.lit(0.0), F.col("x2"), F.lit(1.0)), PIXELS)
-    return work_on_sets(sets, "_set", "box_id", ["x1", "x2", "conf"], ["x1", "x2"], _unite(axes, joins, False)).drop("_set")
+    corners, used, changed = (F.col("x1"), F.lit(0.0), F.col("x2"), F.lit(1.0)), ["x1", "x2", "conf"], ["x1", "x2"]
+
+    def crowd(rows: DataFrame) -> DataFrame:
+        return work_on_sets(overlap_sets(rows, group, corners, PIXELS), "_set", "box_id", used, changed, _unite(axes, joins, False))
+
+    return _by_groups(boxes, group, corners, ["box_id"], used, changed, joins, _unite_groups(axes, joins, False), crowd)
 
 
 _SQUARE = [("x1", "x2"), ("y1", "y2")]
@@ -104,7 +162,12 @@ def merge_tile_boxes(boxes: DataFrame, keys: list[str], iou_limit: float, share_
         return (shared / (own + theirs - shared) >= iou_limit) | (shared / np.minimum(own, theirs) >= share_limit)
 
     used, changed = ["x1", "y1", "x2", "y2", "conf"], ["x1", "y1", "x2", "y2"]
-    return settled(boxes, [*keys, "cls"], _corners(1.0), PIXELS, "box_id", used, changed, _unite(_SQUARE, joins, True))
+    group, corners = [*keys, "cls"], _corners(1.0)
+
+    def crowd(rows: DataFrame) -> DataFrame:
+        return settled(rows, group, corners, PIXELS, "box_id", used, changed, _unite(_SQUARE, joins, True))
+
+    return _by_groups(boxes, group, corners, ["box_id"], used, changed, joins, _unite_groups(_SQUARE, joins, True), crowd)
 
 
 def unite_v_and_mr(boxes: DataFrame, keys: list[str], threshold: float = 0.1) -> DataFrame:
@@ -117,7 +180,11 @@ def unite_v_and_mr(boxes: DataFrame, keys: list[str], threshold: float = 0.1) ->
 
     used, changed = ["x1", "y1", "x2", "y2", "conf"], ["x1", "y1", "x2", "y2"]
     both = F.col("cls").isin("V", "MR")
-    united = settled(boxes.where(both), keys, _corners(), PIXELS, "box_id", used, changed, _unite(_SQUARE, joins, False))
+
+    def crowd(rows: DataFrame) -> DataFrame:
+        return settled(rows, keys, _corners(), PIXELS, "box_id", used, changed, _unite(_SQUARE, joins, False))
+
+    united = _by_groups(boxes.where(both), keys, _corners(), ["box_id"], used, changed, joins, _unite_groups(_SQUARE, joins, False), crowd)
     return united.unionByName(boxes.where(~F.coalesce(both, F.lit(False))))
 
 
@@ -133,10 +200,38 @@ def suppress_overlaps(boxes: DataFrame, keys: list[str], threshold: float, confi
     boxes that no open pair beats stay and remove what they beat, as joins; long chains of ever better boxes that are
     left after some rounds are walked through from the best box downwards, each connected set by itself.
     """
-    group = [*keys, "cls"]
-    x1, y1, x2, y2 = (c.cast("double") for c in _corners(1.0 if inclusive else 0.0))
+    group, extra = [*keys, "cls"], 1.0 if inclusive else 0.0
+
+    def rivals(rows: Rows, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        shared, areas, same = 1.0, [1.0, 1.0], True
+        for lo, hi in _SQUARE:
+            start, size = rows[lo], rows[hi] + extra - rows[lo]
+            end = start + size
+            shared = shared * np.maximum(np.minimum(end[i], end[j]) - np.maximum(start[i], start[j]), 0.0)
+            areas = [areas[0] * size[i], areas[1] * size[j]]
+            same = same & (start[i] == start[j]) & (size[i] == size[j])
+        return same | (shared / (areas[0] + areas[1] - shared) > threshold)
+
+    def work(rows: Rows, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        stays = np.ones(len(rows["x1"]), bool)
+        found = [(i[hit], j[hit]) for i, j in groups.pairs_within(np.append(begins, ends[-1])) for hit in [rivals(rows, i, j)]]
+        better, worse = (np.concatenate(side) for side in zip(*found))
+        while len(better):
+            beaten = np.zeros(len(stays), bool)
+            beaten[worse] = True
+            stays[worse[~beaten[better]]] = False
+            open_ = stays[better] & stays[worse]
+            better, worse = better[open_], worse[open_]
+        return stays
+
     good = boxes.where(F.col("score") > confidence)
-    sized = good.select(*group, x1.alias("x"), y1.alias("y"), (x2 - x1).alias("w"), (y2 - y1).alias("h"), F.struct(*boxes.columns).alias("first"))
+    order, used = [F.desc("score"), F.desc("box_id")], ["x1", "y1", "x2", "y2"]
+    return _by_groups(good, group, _corners(extra), order, used, [], rivals, work, lambda rows: _suppress_by_runs(rows, group, threshold, extra, grid))
+
+
+def _suppress_by_runs(good: DataFrame, group: list[str], threshold: float, extra: float, grid: Grid) -> DataFrame:
+    x1, y1, x2, y2 = (c.cast("double") for c in _corners(extra))
+    sized = good.select(*group, x1.alias("x"), y1.alias("y"), (x2 - x1).alias("w"), (y2 - y1).alias("h"), F.struct(*good.columns).alias("first"))
     runs = runs_of(None, sized.where(HAS_AREA), group, grid, [F.desc("first.score"), F.desc("first.box_id")])
     a, b = (F.struct(f"{p}_first.score", f"{p}_first.box_id", F.col(f"{p}_place").alias("place")) for p in ("a", "b"))
     pairs = pairs_of(runs, group, grid, threshold).where(F.col("iou") > threshold).select(F.greatest(a, b).alias("p"), F.least(a, b).alias("q"))
@@ -209,9 +304,16 @@ def unite_overlapping_flaws(flaws: DataFrame, keys: list[str], threshold: float
 
     corners = tuple(F.col(c) for c in ("x_start", "y_start", "x_end", "y_end"))
     listed = flaws.withColumn("possible_category", F.coalesce("possible_category", F.array().cast("array<string>")))
-    sets = overlap_sets(listed, keys, corners, grid, threshold * (1 - 1e-9))
-    used = ["x_start", "y_start", "x_end", "y_end", "flaw_type", "confidence", "possible_category"]
-    return work_on_sets(sets, "_set", "flaw_id", used, ["flaw_type", "possible_category"], work).drop("_set")
+    used, changed = ["x_start", "y_start", "x_end", "y_end", "flaw_type", "confidence", "possible_category"], ["flaw_type", "possible_category"]
+
+    def joins(rows: Rows, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        shared, own, theirs = _shared(rows, i, j, axes)
+        return shared >= threshold * (1 - 1e-9) * (own + theirs - shared)
+
+    def crowd(rows: DataFrame) -> DataFrame:
+        return work_on_sets(overlap_sets(rows, keys, corners, grid, threshold * (1 - 1e-9)), "_set", "flaw_id", used, changed, work)
+
+    return _by_groups(listed, keys, corners, ["flaw_id"], used, changed, joins, groups.each(work), crowd)
 
 
 def representative_levels(boxes: DataFrame, keys: list[str], reach: int = 5, ends: int = 3) -> DataFrame:
@@ -242,8 +344,15 @@ def representative_levels(boxes: DataFrame, keys: list[str], reach: int = 5, end
         return np.array(leftmost, np.int64)
 
     middle, first = F.col("middle_y").cast("double"), F.col("first_y").cast("double")
-    sets = overlap_sets(boxes, keys, (middle, first, middle + (reach + 0.5), first + (ends + 0.5)), PIXELS)
-    return work_on_sets(sets, "_set", "box_id", ["middle_y", "first_y", "last_y", "left_x"], [], work).drop("_set")
+    corners, used = (middle, first, middle + (reach + 0.5), first + (ends + 0.5)), ["middle_y", "first_y", "last_y", "left_x"]
+
+    def joins(rows: Rows, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        return np.all([np.abs(rows[c][i] - rows[c][j]) <= limit for c, limit in limits.items()], axis=0)
+
+    def crowd(rows: DataFrame) -> DataFrame:
+        return work_on_sets(overlap_sets(rows, keys, corners, PIXELS), "_set", "box_id", used, [], work)
+
+    return _by_groups(boxes, keys, corners, ["box_id"], used, [], joins, groups.each(work), crowd)
 
 
 def merge_across_zero(flaws: DataFrame, keys: list[str], axial_tol: float, rotary_tol: float) -> DataFrame:
