@@ -108,3 +108,24 @@ def test_usual_groups_and_crowds_have_the_same_pairs(spark, monkeypatch):
         rows = matching.pairs_within(df, ["scan_id"], inclusive=inclusive, least=0.2).collect()
         found.append((inclusive, sorted((r.scan_id, r.a_first._order, r.b_first._order, r.a_n, r.b_n, round(r.iou, 9), r.a_w, r.b_h) for r in rows)))
     assert found[0] == found[1] == found[2] and found[3] == found[4] and found[0][1] and found[0][1] != found[3][1]
+
+
+def test_usual_scans_and_crowds_unite_alike_across_zero(spark, monkeypatch):
+    """Ids that occur twice, missing depths and confidences, scans without a scrape and rows without a scan or a class."""
+    rng = np.random.default_rng(8)
+    n = 260
+    some = lambda values, share: [None if rng.random() < share else v for v in values]
+    rows = zip(
+        some([int(v) for v in rng.integers(0, 9, n)], 0.03), [f"{v:03d}" for v in rng.integers(0, 150, n)], some([str(v) for v in rng.choice(["Scrape", "CC", "Debris"], n)], 0.03),
+        some([float(v) for v in rng.integers(0, 60, n)], 0.02), [float(v) for v in rng.integers(1, 4, n)], [float(v) for v in rng.choice([0.5, 100.0, 355.0], n)],
+        some([5.0] * n, 0.02), some([float(v) / 10 for v in rng.integers(0, 4, n)], 0.2), some([float(v) / 10 for v in rng.integers(0, 10, n)], 0.1),
+    )
+    df = spark.createDataFrame(list(rows), "scan_id long, ind_num string, flaw_type string, axial_start double, length double, rotary_start double, width double, depth double, confidence double")
+    found = []
+    for crowd, together in ((10_000, 16_384), (10_000, 20), (28, 16_384), (0, 16_384)):
+        monkeypatch.setattr(groups, "CROWD", crowd)
+        monkeypatch.setattr(groups, "TOGETHER", together)
+        found.append(sorted(str(tuple(r)) for r in merging.merge_across_zero(df, ["scan_id"], 5.0, 1.0).collect()))
+    assert found[3] == found[0] == found[1] == found[2] and sum("'" in r.rsplit(",", 1)[-1] for r in found[0]) > 5
+    monkeypatch.setattr(groups, "CROWD", 512)
+    assert shuffles(merging.merge_across_zero(df.coalesce(1), ["scan_id"], 5.0, 1.0)) <= 1

@@ -13,6 +13,7 @@ from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -363,6 +364,109 @@ def merge_across_zero(flaws: DataFrame, keys: list[str], axial_tol: float, rotar
     Partners are mutual: each is the first possible partner of the other. The deeper one survives, on
     equal or missing depth the one at 0; extent is united and confidence averaged.
     """
+    known = groups.has_keys(keys)
+    crowded, total = groups.crowds([flaws], keys)
+    usual = flaws if crowded is None else flaws.join(crowded, keys, "left_anti").select(*flaws.columns)
+    found = _across_zero_in_groups(usual.where(known), keys, axial_tol, rotary_tol, total)
+    if crowded is not None:
+        found = found.unionByName(_across_zero_by_joins(flaws.join(crowded, keys, "left_semi").select(*flaws.columns), keys, axial_tol, rotary_tol))
+    return found.unionByName(flaws.where(~known).withColumn("merged_id", F.lit(None).cast(flaws.schema["ind_num"].dataType)))
+
+
+#: Columns that change where flaws are united across 0 degrees.
+UNITED = ["axial_start", "length", "rotary_start", "width", "confidence"]
+
+
+def _firsts(values: list[np.ndarray], rows: np.ndarray) -> np.ndarray:
+    """The first of the given rows for each combination of values."""
+    ranked = rows[np.lexsort([v[rows] for v in values][::-1])]
+    new = np.append(True, np.any([v[ranked][1:] != v[ranked][:-1] for v in values], axis=0))
+    return np.sort(ranked[new[: len(ranked)]])
+
+
+def _across_zero_in_groups(flaws: DataFrame, keys: list[str], axial_tol: float, rotary_tol: float, total: int) -> DataFrame:
+    """Scans of usual size, each of which is in one task after a single shuffle, ordered by ``ind_num``."""
+    start_zero = F.col("rotary_start") <= rotary_tol
+    end = F.col("rotary_start") + F.col("width")
+    told = {"_zero": start_zero, "_full": F.abs(end - 360) <= rotary_tol, "_scrape": (start_zero | (end >= 360 - rotary_tol)) & F.contains("flaw_type", F.lit("Scrape"))}
+    flagged = flaws.withColumns({c: F.col(c).cast("double") for c in UNITED}).withColumns({c: F.coalesce(v, F.lit(False)) for c, v in told.items()})
+    dealt = groups.gathered(flagged, keys, ["ind_num"], total)
+    flags = list(told)
+    schema = dealt.drop(*flags).schema.add("merged_id", flaws.schema["ind_num"].dataType)
+
+    def solve(table: pa.Table, at: np.ndarray) -> pa.Table:
+        n, sizes = table.num_rows, np.diff(at)
+        group = np.repeat(np.arange(len(sizes)), sizes)
+        zero, full, scrape = (table.column(c).to_numpy() for c in flags)
+        ids, kinds = table.column("ind_num").combine_chunks(), table.column("flaw_type").combine_chunks()
+        kind = pc.fill_null(pc.dictionary_encode(kinds).indices, -1).to_numpy(zero_copy_only=False)
+        values = groups.numbers(table, [*UNITED, "depth"])
+        missing = {c: table.column(c).is_null().to_numpy() for c in values}
+        axial_end = values["axial_start"] + values["length"]
+        # flaws of one id are side by side: number of the id, and the rows it covers
+        new = np.append(True, pc.fill_null(pc.not_equal(ids.slice(1), ids.slice(0, n - 1)), True).to_numpy(zero_copy_only=False) | (np.diff(group) != 0))
+        number, starts = np.cumsum(new) - 1, np.append(np.flatnonzero(new), n)
+        able = np.logical_or.reduceat(scrape, at[:-1])[group] & (kind >= 0) & ids.is_valid().to_numpy(zero_copy_only=False)
+        extent = [group, kind, values["axial_start"], axial_end]
+        ends = [np.zeros(n, bool), np.zeros(n, bool)]
+        for mark, side in zip(ends, (zero, full)):
+            mark[_firsts(extent, np.flatnonzero(able & side))] = True
+        pairs = []
+        for i, j in groups.pairs_between(np.where(ends[0], at[:-1][group], n), np.where(ends[0], at[1:][group], 0)):
+            near = ends[1][j] & (kind[i] == kind[j]) & (number[i] != number[j])
+            i, j = i[near], j[near]
+            near = (np.abs(extent[2][i] - extent[2][j]) <= axial_tol) & (np.abs(axial_end[i] - axial_end[j]) <= axial_tol)
+            pairs.append((kind[i[near]], number[i[near]], number[j[near]]))
+        k, a, b = (np.concatenate(part) for part in zip(*pairs))
+        mutual = np.ones(len(k), bool)
+        for own, other in ((a, b), (b, a)):
+            _, place = np.unique(np.stack([k, own]), axis=1, return_inverse=True)
+            first = np.full(len(k), n)
+            np.minimum.at(first, place.reshape(-1), other)
+            mutual &= other == first[place.reshape(-1)]
+        a, b = np.unique(np.stack([k, a, b])[:, mutual], axis=1)[1:]
+        # every flaw of one id with every flaw of the other
+        many = (starts[a + 1] - starts[a]) * (starts[b + 1] - starts[b])
+        pair = np.repeat(np.arange(len(a)), many)
+        step = np.arange(len(pair)) - np.repeat(np.cumsum(many) - many, many)
+        a, b = a[pair], b[pair]
+        x, y = starts[a] + step // (starts[b + 1] - starts[b]), starts[b] + step % (starts[b + 1] - starts[b])
+        depth, unknown = values["depth"], missing["depth"]
+        deeper = (depth[y] > depth[x]) | (np.isnan(depth[y]) & ~np.isnan(depth[x]))
+        b_wins = np.where(unknown[x] | unknown[y], unknown[x] & ~unknown[y], deeper)
+        wins, loses = np.where(b_wins, b, a), np.where(b_wins, a, b)
+        by_winner = np.argsort(wins, kind="stable")
+        x, y, wins, loses = x[by_winner], y[by_winner], wins[by_winner], loses[by_winner]
+        start, rotary, width, confidence = (values[c] for c in ("axial_start", "rotary_start", "width", "confidence"))
+        least = np.fmin(start[x], start[y])
+        united = {
+            "axial_start": least, "length": np.fmax(axial_end[x], axial_end[y]) - least, "rotary_start": rotary[y],
+            "width": 360 - rotary[y] + rotary[x] + width[x], "confidence": (confidence[x] + confidence[y]) / 2,
+        }
+        known = {c: np.ones(len(x), bool) for c in UNITED}
+        known["confidence"] = ~(missing["confidence"][x] | missing["confidence"][y])
+        known["rotary_start"] = ~missing["rotary_start"][y]
+        known["width"] = known["rotary_start"] & ~(missing["rotary_start"][x] | missing["width"][x])
+        kept = np.flatnonzero(~np.isin(number, loses))
+        low, high = np.searchsorted(wins, number[kept]), np.searchsorted(wins, number[kept], side="right")
+        times = np.maximum(high - low, 1)
+        rows = np.repeat(kept, times)
+        place = np.repeat(low, times) + np.arange(len(rows)) - np.repeat(np.cumsum(times) - times, times)
+        changed = np.repeat(high > low, times)
+        place = np.where(changed, place, 0)
+        out = table.take(pa.array(rows)).drop_columns(flags)
+        for c in UNITED if len(x) else []:
+            new_one = changed & known[c][place]
+            column = pa.array(np.where(new_one, united[c][place], values[c][rows]), pa.float64(), mask=missing[c][rows] & ~new_one)
+            out = out.set_column(out.schema.get_field_index(c), out.schema.field(c), column)
+        loser = starts[loses][place] if len(x) else np.zeros(len(rows), np.int64)
+        return out.append_column("merged_id", ids.take(pa.array(loser, mask=~changed)))
+
+    return dealt.mapInArrow(groups.by_groups(keys, solve), schema)
+
+
+def _across_zero_by_joins(flaws: DataFrame, keys: list[str], axial_tol: float, rotary_tol: float) -> DataFrame:
+    """Scans of any size: extents at both ends meet in cells along the axis."""
     start_zero = F.col("rotary_start") <= rotary_tol
     end_full = F.col("rotary_start") + F.col("width") >= 360 - rotary_tol
     scrapes = flaws.where((start_zero | end_full) & F.contains("flaw_type", F.lit("Scrape"))).select(*keys).distinct()
@@ -403,9 +507,8 @@ def merge_across_zero(flaws: DataFrame, keys: list[str], axial_tol: float, rotar
     )
     kept = flaws.join(merged.select(*keys, F.col("merged_id").alias("ind_num")), [*keys, "ind_num"], "left_anti")
     joined = kept.join(merged, [*keys, "ind_num"], "left")
-    changed = ["axial_start", "length", "rotary_start", "width", "confidence"]
     return joined.select(
-        *[F.coalesce(F.col(f"_m.{c}"), F.col(c)).alias(c) if c in changed else F.col(c) for c in flaws.columns], "merged_id"
+        *[F.coalesce(F.col(f"_m.{c}"), F.col(c)).alias(c) if c in UNITED else F.col(c) for c in flaws.columns], "merged_id"
     )
 
 
