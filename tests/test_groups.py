@@ -129,3 +129,15 @@ def test_usual_scans_and_crowds_unite_alike_across_zero(spark, monkeypatch):
     assert found[3] == found[0] == found[1] == found[2] and sum("'" in r.rsplit(",", 1)[-1] for r in found[0]) > 5
     monkeypatch.setattr(groups, "CROWD", 512)
     assert shuffles(merging.merge_across_zero(df.coalesce(1), ["scan_id"], 5.0, 1.0)) <= 1
+
+
+def test_a_median_is_sorted_once_a_row(spark):
+    """The level of a mirrored signal is no part of what is computed for each sample."""
+    from tubewave.functions import samples as sm
+
+    df = spark.createDataFrame([([1, 5, 250, 3],), ([],), (None,)], "samples array<int>")
+    mirrored = df.select(sm.inverted(F.col("samples"), sm.array_median(F.col("samples"))).alias("s"))
+    assert mirrored._jdf.queryExecution().optimizedPlan().toString().count("array_sort") == 1
+    assert [r.s for r in mirrored.collect()] == [[7.0, 3.0, 0.0, 5.0], [], None]
+    cleared = df.select(sm.without_first_echo(F.col("samples"), F.lit(1), F.lit(3), sm.array_median(F.col("samples"))).alias("s"))
+    assert [r.s for r in cleared.collect()] == [[1.0, 4.0, 4.0, 3.0], [], None]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,21 +24,25 @@ def to_eight_bit(samples: Column, probe: Column) -> Column:
     return F.when(probe.isin("APC", "CPC"), scaled(DAQ_SHIFT["APC"])).otherwise(scaled(DAQ_SHIFT["NB1"]))
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once for a row, also where ``body`` uses it several times or for each element of an array."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def array_median(samples: Column) -> Column:
-    ordered = F.array_sort(samples)
     n = F.size(samples)
-    low, high = F.get(ordered, ((n - 1) / 2).cast("int")), F.get(ordered, (n / 2).cast("int"))
-    return (low + high) / 2.0
+    places = ((n - 1) / 2).cast("int"), (n / 2).cast("int")
+    return bound(F.array_sort(samples), lambda ordered: (F.get(ordered, places[0]) + F.get(ordered, places[1])) / 2.0)
 
 
 def inverted(samples: Column, level: Column) -> Column:
     """Signal mirrored at a level, kept in 0..255."""
-    return F.transform(samples, lambda x: F.greatest(F.least(2 * level - x, F.lit(255.0)), F.lit(0.0)))
+    return bound(level, lambda mirror: F.transform(samples, lambda x: F.greatest(F.least(2 * mirror - x, F.lit(255.0)), F.lit(0.0))))
 
 
 def without_first_echo(samples: Column, start: Column, stop: Column, level: Column) -> Column:
     """Samples from ``start`` up to ``stop`` replaced by a level."""
-    return F.transform(samples, lambda x, i: F.when((i >= start) & (i < stop), level).otherwise(x.cast("double")))
+    return bound(level, lambda put: F.transform(samples, lambda x, i: F.when((i >= start) & (i < stop), put).otherwise(x.cast("double"))))
 
 
 def time_slice(samples: Column, first: Column, last: Column) -> Column:

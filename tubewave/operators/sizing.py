@@ -263,39 +263,54 @@ def category_depth(categories: Column, depths: Column) -> Column:
 PAIR_RESULT = "cost DOUBLE, lag INT, flaw_amp INT, surface_amp INT"
 
 
+#: Rows of pairs that are sorted by size together, and cells of their alignment tables that are filled together.
+TOGETHER, CELLS = 8192, 1_000_000
+
+
 def align_pairs(pairs: DataFrame, block: int = 64) -> DataFrame:
     """Time-warping alignment of each row's ``flaw`` and ``surface`` window.
 
     Adds the alignment cost, and the offset and height of the highest flaw sample matched with the surface
-    peak (``surface_peak``, an index into its window). One row in, one row out, no shuffle.
+    peak (``surface_peak``, an index into its window). One row in, one row out. The work is large for few bytes, so the rows
+    are dealt to several tasks a core, and pairs of equal sizes are aligned side by side, some ``CELLS`` at a time.
     """
     kept = [c for c in pairs.columns if c not in ("flaw", "surface")]
     schema = pairs.select(*kept).schema
     target = T.StructType([*schema.fields, *T.StructType.fromDDL(PAIR_RESULT).fields])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            if batch.num_rows == 0:
-                continue
+            if batch.num_rows:
+                held.append(batch)
+            if sum(b.num_rows for b in held) >= TOGETHER:
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held = []
+        if held:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in several(batches):
             flaw, surface = batch.column("flaw"), batch.column("surface")
             sizes = np.stack([np.asarray(flaw.value_lengths()), np.asarray(surface.value_lengths())], axis=1)
             peaks = batch.column("surface_peak").to_numpy(zero_copy_only=False)
             result = np.zeros((batch.num_rows, 4))
             for size in np.unique(sizes, axis=0):
                 rows = np.flatnonzero((sizes == size).all(axis=1))
-                for part in np.array_split(rows, max(1, -(-len(rows) // block))):
+                many = max(block, CELLS // int(np.prod(size + 1)))
+                for part in np.array_split(rows, max(1, -(-len(rows) // many))):
                     a = sample_matrix(surface.take(pa.array(part))).astype(float)
                     b = sample_matrix(flaw.take(pa.array(part))).astype(float)
                     table = kernels.dtw_table(a, b)
-                    for r, path, s, f, acc in zip(part, kernels.dtw_paths(table), a, b, table):
-                        match = path[path[:, 0] == peaks[r], 1]
-                        at = match[np.argmax(f[match])]
-                        result[r] = np.sqrt(acc[-1, -1]), at - peaks[r], f[at], s[peaks[r]]
+                    at, each = kernels.dtw_matches(table, b, peaks[part]), np.arange(len(part))
+                    result[part] = np.stack([np.sqrt(table[:, -1, -1]), at - peaks[part], b[each, at], a[each, peaks[part]]], axis=1)
             arrays = [batch.column(c) for c in kept]
             arrays += [pa.array(result[:, 0]), *[pa.array(result[:, i].astype(np.int32)) for i in (1, 2, 3)]]
             yield pa.RecordBatch.from_arrays(arrays, names=[f.name for f in target])
 
-    return pairs.select(*kept, "flaw", "surface").mapInArrow(run, target)
+    spark = pairs.sparkSession
+    tasks = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    return pairs.select(*kept, "flaw", "surface").repartition(tasks).mapInArrow(run, target)
 
 
 def size_by_alignment(
