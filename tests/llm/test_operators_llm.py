@@ -7,8 +7,10 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from tubewave.llm import decontaminate as decontaminate_module
+from tubewave.llm import sanitise as sanitising
 from tubewave.llm.components import components
 from tubewave.llm.decontaminate import decontaminate
 from tubewave.llm.html_text import extract_text, fit_weights
@@ -120,6 +122,14 @@ def test_telling_terms_at_all_places(spark):
     assert [(s.kind, long[s.start : s.end]) for s in spans if s.end - s.start < 20] == [("term", "Quimbly"), ("email", "zed@q.org"), ("term", "Querty")]
 
 
+def test_term_test_does_not_fill_up(spark):
+    named = lambda first, n: spark.range(first, first + n).select(F.concat(F.lit("wörd"), "id").alias("term"))
+    for n in (0, 1, 300_000):
+        among = sanitising._among(named(0, n))
+        assert named(0, n).where(among(F.col("term"))).count() == n
+        assert named(n, 100_000).where(among(F.col("term"))).count() < 1_000
+
+
 def test_toxicity(spark, docs, none):
     rows = [(k, f"{'you scum scum go' if k % 4 == 0 else 'a kind word'} number {k} of many") for k in range(200)]
     texts = spark.createDataFrame(rows, "doc_id int, text string")

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,8 +42,10 @@ CONTEXT = 120
 #: Texts without the value that are added to those a term was counted in: what few texts show is trusted less, words that
 #: never look like a name least.
 UNSEEN_NAMED, UNSEEN = 1, 3
-#: Characters of a text that are looked through at a time, and bytes of the first test of a term.
-PIECE, SLOTS = 4096, 1 << 18
+#: Characters of a text that are looked through at a time.
+PIECE = 4096
+#: Bits of the first test of a term for each telling term, digests that it looks at, and bits of one of its parts.
+TERM_BITS, TERM_DIGESTS, PART_BITS = 16, 4, 1 << 15
 #: Shares of the value's information from which a term is generalised, and from which it is removed.
 GENERALISED, REMOVED = 0.8, 0.95
 
@@ -175,12 +178,29 @@ def disclosing_terms(docs: DataFrame) -> DataFrame:
 
 
 def _among(terms: DataFrame) -> Callable[[Column], Column]:
-    """A test that holds for every term of ``terms`` and for few others, of a fixed size."""
-    slot = lambda term: F.pmod(F.xxhash64(term), F.lit(SLOTS)).cast("int")
-    held = bytearray(SLOTS)
-    for r in terms.select(slot(F.col("term")).alias("slot")).distinct().collect():  # SLOTS rows at most
-        held[r.slot] = 1
-    return lambda term: F.substring(F.lit(bytes(held)), slot(term) + 1, F.lit(1)) == F.lit(b"\x01")
+    """A test that holds for every term of ``terms`` and for about one other word in four hundred.
+
+    It takes ``TERM_BITS`` bits a term, so it does not fill up as terms become more. Bits are set where the terms are; the driver gets
+    them by parts of ``PART_BITS``. A byte holds seven bits: it is an ASCII character then, which Spark reads as a number.
+    """
+    n_parts = max(-(-terms.count() * TERM_BITS // PART_BITS), 1)
+    place = lambda term, k: F.pmod(F.xxhash64(term, F.lit(k)), F.lit(n_parts * PART_BITS))
+    places = terms.select(F.explode(F.array(*[place(F.col("term"), k) for k in range(TERM_DIGESTS)])).alias("at"))
+    parts = places.groupBy(F.expr(f"at DIV {PART_BITS}").alias("part")).agg(F.bitmap_construct_agg(F.col("at") % PART_BITS).alias("bits"))
+    bits = np.zeros(n_parts * PART_BITS, np.uint8)
+    for r in parts.collect():  # 4 kB for each 2,048 terms
+        bits[r.part * PART_BITS : (r.part + 1) * PART_BITS] = np.unpackbits(np.frombuffer(r.bits, np.uint8), bitorder="little")
+    held = F.lit(bytes(np.packbits(np.pad(bits, (0, -len(bits) % 7)).reshape(-1, 7), axis=1, bitorder="little").ravel()))
+
+    def among(term: Column) -> Column:
+        found = F.lit(True)
+        for k in range(TERM_DIGESTS):
+            at = place(term, k)
+            seven = F.ascii(F.substring(held, (F.floor(at / 7) + 1).cast("int"), F.lit(1)).cast("string"))
+            found = found & (F.getbit(seven, (at % 7).cast("int")) == 1)
+        return found
+
+    return among
 
 
 def find_personal_data(docs: DataFrame, text: str = "text") -> DataFrame:
