@@ -4,6 +4,7 @@ import random
 from itertools import combinations
 
 import corpus_pipeline
+import numpy as np
 import pytest
 
 from tubewave.llm import decontaminate as decontamination
@@ -54,6 +55,29 @@ def test_links_equal_all_pairs(spark, monkeypatch, trees, size, share):
     assert got == linked(docs, size, share)
 
 
+@pytest.mark.parametrize("size, share", [(5, (80, 100)), (3, (90, 100))])
+def test_common_passages_link_nothing(spark, monkeypatch, size, share):
+    """Only texts that may be similar travel to trees, not all that have a passage in common."""
+    rng = random.Random(3)
+    passage = " ".join(f"common{k}" for k in range(12))
+    docs = [(k, " ".join(f"v{rng.randrange(10**6)}" for _ in range(rng.randint(25, 40))) + " " + passage) for k in range(300)]
+    docs += [(300, docs[7][1] + " tail"), (301, docs[7][1])]
+    sent = []
+    links = jaccard._tree_links
+    monkeypatch.setattr(jaccard, "_tree_links", lambda bodies, *rest: sent.append(bodies.count()) or links(bodies, *rest))
+    got = {r.doc_id: r.component_id for r in similar_documents(spark.createDataFrame(docs, "doc_id long, text string"), size=size, share=share).collect()}
+    assert got == {k: 7 if k >= 300 else k for k in range(302)}
+    assert sent == [2]
+
+
+def test_counted_shingles_come_back_as_they_were():
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 1 << 63, n, np.uint64) * np.uint64(2)) for n in (1, 5, 700)]
+    sets += [sets[2][:300], np.array([0, (1 << 64) - 1], np.uint64)]
+    back = [(e, n) for at, blob in jaccard.counted_blobs(np.arange(len(sets)), sets, 8) for e, n in zip(*map(np.ndarray.tolist, jaccard.read_blob(blob))) if e >> 32 == at]
+    assert sorted(back) == sorted((int(e) >> 24, k) for k, own in enumerate(sets) for e in own)
+
+
 def test_helper_columns_may_clash(spark, monkeypatch):
     text = "Mail Qorvexa at qorvexa@example.org about " + " ".join(f"word{k}" for k in range(60))
     rows = [(1, text, 1, 2, 3, 4, 5, 6), (2, text, 1, 2, 3, 4, 5, 6)]

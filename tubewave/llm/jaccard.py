@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +19,8 @@ from .components import components, union_find
 TREE_SETS = 500
 #: Words whose digests a worker remembers.
 REMEMBERED = 300_000
+#: Bits of a shingle's digest that are counted, and shingles of a task that are sorted and cut into slices at a time.
+COUNTED_BITS, BLOCK = 40, 500_000
 #: A size class reaches so many times as far as sizes of similar sets can differ.
 CLASS_STEPS = 3
 
@@ -80,9 +83,18 @@ def class_parts(last: int, share: tuple[int, int]) -> tuple[int, int]:
     return most + 1 + spare, spare
 
 
+def classes_of(n: int, share: tuple[int, int]) -> list[int]:
+    """Size classes in which a set of size ``n`` meets similar ones: its own and, where a similar set can be in it, the next."""
+    number, last = size_class(n, share)
+    return [number, number + 1] if n * share[1] // share[0] > last else [number]
+
+
 def signatures(own: np.ndarray, share: tuple[int, int]) -> np.ndarray:
     """Digests of the parts of a sorted set, for its size class and, where a similar set can be in it, the next one.
 
+    A search by parts needs no counts; ``similar_documents`` counts shingles instead, because parts that lie in a common passage
+    join what is not similar.
+
     Two sets that reach the share have a digest in common: of their equal parts at least one is not empty, unless both have
     more empty parts than are spared, and then their empty parts have digests, too.
     """
@@ -106,6 +118,31 @@ def signatures(own: np.ndarray, share: tuple[int, int]) -> np.ndarray:
     return np.concatenate(out)
 
 
+def counted_blobs(numbers: np.ndarray, sets: list[np.ndarray], slice_bits: int) -> Iterator[tuple[int, bytes]]:
+    """Leading bits of all elements, in order, by slice (their first ``slice_bits``): number of the slice and its elements.
+
+    An element is the distance to the one before it (five bytes) and the number of its set (four bytes), as planes of bytes, so
+    that leading zeros cost nothing once they are compressed.
+    """
+    values = np.concatenate(sets) >> np.uint64(64 - COUNTED_BITS)
+    of = np.repeat(numbers.astype("<u4"), [len(s) for s in sets])
+    order = np.argsort(values, kind="stable")
+    values, of = values[order], of[order]
+    at = values >> np.uint64(COUNTED_BITS - slice_bits)
+    edges = np.concatenate(([0], np.flatnonzero(at[1:] != at[:-1]) + 1, [len(at)])).tolist()
+    for start, stop in zip(edges[:-1], edges[1:], strict=True):
+        steps = np.diff(values[start:stop], prepend=np.uint64(0)).astype("<u8")
+        planes = [steps.view(np.uint8).reshape(-1, 8)[:, :5].T, of[start:stop].view(np.uint8).reshape(-1, 4).T]
+        yield int(at[start]), np.concatenate(planes).tobytes()
+
+
+def read_blob(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Elements and the numbers of their sets."""
+    planes = np.frombuffer(blob, np.uint8).reshape(9, -1).astype(np.uint64)
+    whole = [sum((own[k] << np.uint64(8 * k) for k in range(len(own))), np.zeros(planes.shape[1], np.uint64)) for own in (planes[:5], planes[5:])]
+    return np.cumsum(whole[0]), whole[1]
+
+
 class PrefixTree:
     """Sets in a common order (elements of many sets first) as a tree whose edges hold runs of elements."""
 
@@ -214,35 +251,88 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text",
     their component is their own key. NULL keys count as keys larger than all; repeated rows and copies link like any other.
 
     1. Rows with the same word sequence are one set (64-bit digest).
-    2. Sets are cut into parts by the range of their elements, more parts than similar sets can differ in, so similar sets
-       have an equal part. Each part's digest links its sets to the smallest of them, which is linear; the components of
-       these links are clusters outside of which no set can have a partner.
+    2. Shingles are ordered by the number of sets that have them. Of two similar sets, the heads in this order (a set's rarest
+       shingles, as many as it may miss and one more) have a shingle in common, and one that only one set has is no link. So shingles
+       are counted first, as slices of sorted digests, and only those met more than once come back to their sets. Each shingle of
+       heads links its sets of a size class to the smallest of them, which is linear; the components of these links are
+       clusters outside of which no set can have a partner.
     3. A cluster is dealt to trees of at most ``TREE_SETS`` sets, the smallest set being in each. Where a cluster has several
        trees and is not in one piece yet, the sets outside its largest piece meet every tree, again in groups of that size.
     """
     lead = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.xxhash64(text).alias("row"))
     kind = lead.schema["key"].dataType.simpleString()
 
+    slice_bits = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 4 - 1, 255).bit_length()
+    names = ["key", "row", "uid", "n", "number", "classes", "slice", "base", "blob"]
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        base, held = number, []  # of the sets whose shingles wait to be sorted
+
+        def blobs(schema: pa.Schema) -> pa.RecordBatch:
+            found = list(counted_blobs(np.arange(len(held)), held, slice_bits))
+            own = [pa.nulls(len(found), schema.field(c).type) for c in names[:6]]
+            told = [pa.array([k for k, _ in found], pa.int32()), pa.array([base] * len(found), pa.int64()), pa.array([b for _, b in found], pa.binary())]
+            return pa.RecordBatch.from_arrays([*own, *told], schema=schema)
+
         for batch in slices(batches, "text"):
             seen: set[int] = set()
-            uids, sizes, digests = [], [], []
+            uids, sizes, numbers, classes = [], [], [], []
             for body in texts_of(batch, "text"):
                 uid, own = shingles(body, size)
                 uids.append(uid if len(own) else None)
                 sizes.append(len(own))
                 fresh = len(own) and uid not in seen
                 seen.add(uid)
-                digests.append(signatures(own, share).view(np.int64) if fresh else np.zeros(0, np.int64))
-            offsets = pa.array(np.cumsum([0, *map(len, digests)]).astype(np.int32))
-            lists = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(digests)))
-            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("row"), pa.array(uids, pa.int64()), pa.array(sizes, pa.int64()), lists], ["key", "row", "uid", "n", "parts"])
-
-    known = cut_lineage(lead.mapInArrow(read, f"key {kind}, row long, uid long, n long, parts array<long>"), "shingles")
+                numbers.append(number if fresh else None)
+                classes.append(classes_of(len(own), share) if fresh else None)
+                if fresh:
+                    held.append(own)
+                    number += 1
+            columns = [batch.column("key"), batch.column("row"), pa.array(uids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(numbers, pa.int64()), pa.array(classes, pa.list_(pa.int32()))]
+            rows = pa.RecordBatch.from_arrays([*columns, *(pa.nulls(batch.num_rows, kind) for kind in (pa.int32(), pa.int64(), pa.binary()))], names)
+            yield rows
+            if sum(map(len, held)) >= BLOCK:
+                yield blobs(rows.schema)
+                base, held = number, []
+        if held:
+            yield blobs(rows.schema)
+
+    def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Shingles that are met more than once, for each of their sets, and how often they are met."""
+        at, held = None, []
+
+        def found() -> pa.RecordBatch:
+            elements, numbers = (np.concatenate(side) for side in zip(*held, strict=True))
+            order = np.argsort(elements, kind="stable")
+            elements, numbers = elements[order], numbers[order]
+            starts = np.concatenate(([0], np.flatnonzero(elements[1:] != elements[:-1]) + 1, [len(elements)]))
+            times = np.repeat(np.diff(starts), np.diff(starts))
+            often = times > 1
+            return pa.RecordBatch.from_arrays([pa.array(c[often].astype(np.int64)) for c in (numbers, times, elements)], ["number", "times", "token"])
+
+        for batch in batches:
+            for own, base, blob in zip(*(batch.column(c).to_pylist() for c in ("slice", "base", "blob")), strict=True):
+                if own != at and held:
+                    yield found()
+                    held = []
+                elements, numbers = read_blob(blob)
+                held.append((elements, numbers + np.uint64(base)))
+                at = own
+        if held:
+            yield found()
+
+    schema = f"key {kind}, row long, uid long, n long, number long, classes array<int>, slice int, base long, blob binary"
+    written = cut_lineage(lead.mapInArrow(read, schema), "shingles")
+    known = written.where("slice IS NULL")
     rows = known.select("key", "row", "uid", "n")
-    parts = known.where("size(parts) > 0").select("uid", F.explode("parts").alias("token"))
-    smallest = parts.groupBy("token").agg(F.min("uid").alias("low"), F.max("uid").alias("high")).where("low < high").select("token", "low")
-    stars = parts.join(smallest, "token").where("uid <> low").select(F.col("low").alias("a"), F.col("uid").alias("b")).distinct()
+    sliced = written.where("slice IS NOT NULL").select("slice", "base", "blob").repartition("slice").sortWithinPartitions("slice")
+    often = sliced.mapInArrow(repeated, "number long, times long, token long").groupBy("number").agg(F.array_sort(F.collect_list(F.struct("times", "token"))).alias("often"))
+    head = F.expr(f"slice(often, 1, cast(greatest(size(often) + 1 - (n * {share[0]} + {share[1] - 1}) DIV {share[1]}, 0) AS int)).token")
+    heads = known.where("number IS NOT NULL").join(often, "number").select("uid", "classes", F.explode(head).alias("token"))
+    parts = heads.select("uid", "token", F.explode("classes").alias("class")).distinct()
+    smallest = parts.groupBy("token", "class").agg(F.min("uid").alias("low"), F.max("uid").alias("high")).where("low < high").select("token", "class", "low")
+    stars = parts.join(smallest, ["token", "class"]).where("uid <> low").select(F.col("low").alias("a"), F.col("uid").alias("b")).distinct()
     clusters = components(stars).withColumnRenamed("node", "uid").withColumnRenamed("component", "cluster")
 
     counts = clusters.groupBy("cluster").agg(F.count("*").alias("members"))
