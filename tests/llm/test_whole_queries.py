@@ -1,6 +1,7 @@
 """Near-duplicate links against all pairs, helper columns that clash, and the stages of the pipeline."""
 
 import random
+from collections import Counter, defaultdict
 from itertools import combinations
 
 import corpus_pipeline
@@ -78,6 +79,35 @@ def test_counted_shingles_come_back_as_they_were():
     assert sorted(back) == sorted((int(e) >> 24, k) for k, own in enumerate(sets) for e in own)
 
 
+@pytest.mark.parametrize("share", [(90, 100), (80, 100)])
+def test_heads_come_from_packed_blobs(share):
+    """What slices have more than once comes back packed, one blob a base, and gives the heads that a plain count gives."""
+    rng = np.random.default_rng(5)
+    pool = np.unique(rng.integers(0, 1 << 63, 400, np.uint64) * np.uint64(2))
+    bases = [[np.sort(rng.choice(pool, rng.integers(1, 90), replace=False)) for _ in range(30)] for _ in range(3)]
+    bases[2] += [np.array([k], np.uint64) for k in (1 << 40, 1 << 50)]  # met once
+    sliced = defaultdict(list)
+    for base, sets in enumerate(bases):
+        for at, blob in jaccard.counted_blobs(np.arange(len(sets)), sets, 4):
+            sliced[at].append((base, *jaccard.read_blob(blob)))
+    back = defaultdict(list)
+    for told in sliced.values():
+        named = np.concatenate([np.full(len(e), base) for base, e, _ in told])
+        found = jaccard.repeated_blobs(named, *(np.concatenate([one[k] for one in told]) for k in (1, 2)))
+        assert len({base for base, _ in found}) == len(found)
+        for base, blob in found:
+            back[base].append(blob)
+    cut = [[[int(e) >> 24 for e in own] for own in sets] for sets in bases]
+    times = Counter(e for sets in cut for own in sets for e in own)
+    for base, sets in enumerate(cut):
+        wanted = set()
+        for k, own in enumerate(sets):
+            head = sorted(own, key=lambda e: (times[e], e))[: len(own) + 1 - -(-share[0] * len(own) // share[1])]
+            wanted |= {(k, e) for e in head if times[e] > 1}
+        of, tokens = jaccard.head_elements(np.array([len(own) for own in sets]), back[base], share)
+        assert set(zip(of.tolist(), tokens.tolist())) == wanted and len(of) == len(wanted)
+
+
 def test_helper_columns_may_clash(spark, monkeypatch):
     text = "Mail Qorvexa at qorvexa@example.org about " + " ".join(f"word{k}" for k in range(60))
     rows = [(1, text, 1, 2, 3, 4, 5, 6), (2, text, 1, 2, 3, 4, 5, 6)]

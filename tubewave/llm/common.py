@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import pairwise
 
 import numpy as np
@@ -14,6 +14,20 @@ from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
+#: How to free what a Python worker keeps from task to task, by operator.
+_KEPT: dict[str, Callable[[], None]] = {}
+
+
+def keeps(operator: str, free: Callable[[], None]) -> None:
+    _KEPT[operator] = free
+
+
+def begin(operator: str) -> None:
+    """A task of ``operator`` begins. Spark gives a worker tasks of all operators in turn; it forgets what it kept for the others."""
+    for other, free in _KEPT.items():
+        if other != operator:
+            free()
+
 
 def lower_ascii(column: Column) -> Column:
     """A-Z in lower case; every other letter stays as it is."""

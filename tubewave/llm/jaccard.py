@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import slices, texts_of
+from .common import begin, keeps, slices, texts_of
 from .components import components, union_find
 
 #: Sets that one prefix tree holds.
@@ -21,6 +22,8 @@ TREE_SETS = 500
 REMEMBERED = 300_000
 #: Bits of a shingle's digest that are counted, and shingles of a task that are sorted and cut into slices at a time.
 COUNTED_BITS, BLOCK = 40, 500_000
+#: Instead of a slice's number: the sets of a base. Bytes of repeated shingles that a task holds before it sends them.
+TOLD, SENT_BYTES = -1, 16 << 20
 #: A size class reaches so many times as far as sizes of similar sets can differ.
 CLASS_STEPS = 3
 
@@ -37,6 +40,7 @@ class _Digests(dict):
 
 
 _digests = _Digests()
+keeps("jaccard", _digests.clear)
 
 
 def shingles(text: bytes, size: int) -> tuple[int, np.ndarray]:
@@ -118,11 +122,26 @@ def signatures(own: np.ndarray, share: tuple[int, int]) -> np.ndarray:
     return np.concatenate(out)
 
 
+def packed(*columns: tuple[np.ndarray, int]) -> bytes:
+    """Numbers of so many bytes each as planes of bytes, so that leading zeros cost nothing once they are compressed."""
+    return np.concatenate([np.ascontiguousarray(c, "<u8").view(np.uint8).reshape(-1, 8)[:, :width].T for c, width in columns]).tobytes()
+
+
+def unpacked(blob: bytes, *widths: int) -> list[np.ndarray]:
+    planes = np.frombuffer(blob, np.uint8).reshape(sum(widths), -1)
+    out, at = [], 0
+    for width in widths:
+        wide = np.zeros((planes.shape[1], 8), np.uint8)
+        wide[:, :width] = planes[at : at + width].T
+        out.append(wide.view("<u8").ravel())
+        at += width
+    return out
+
+
 def counted_blobs(numbers: np.ndarray, sets: list[np.ndarray], slice_bits: int) -> Iterator[tuple[int, bytes]]:
     """Leading bits of all elements, in order, by slice (their first ``slice_bits``): number of the slice and its elements.
 
-    An element is the distance to the one before it (five bytes) and the number of its set (four bytes), as planes of bytes, so
-    that leading zeros cost nothing once they are compressed.
+    An element is the distance to the one before it (five bytes) and the number of its set (four bytes).
     """
     values = np.concatenate(sets) >> np.uint64(64 - COUNTED_BITS)
     of = np.repeat(numbers.astype("<u4"), [len(s) for s in sets])
@@ -131,16 +150,48 @@ def counted_blobs(numbers: np.ndarray, sets: list[np.ndarray], slice_bits: int)
     at = values >> np.uint64(COUNTED_BITS - slice_bits)
     edges = np.concatenate(([0], np.flatnonzero(at[1:] != at[:-1]) + 1, [len(at)])).tolist()
     for start, stop in zip(edges[:-1], edges[1:], strict=True):
-        steps = np.diff(values[start:stop], prepend=np.uint64(0)).astype("<u8")
-        planes = [steps.view(np.uint8).reshape(-1, 8)[:, :5].T, of[start:stop].view(np.uint8).reshape(-1, 4).T]
-        yield int(at[start]), np.concatenate(planes).tobytes()
+        yield int(at[start]), packed((np.diff(values[start:stop], prepend=np.uint64(0)), 5), (of[start:stop], 4))
 
 
 def read_blob(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Elements and the numbers of their sets."""
-    planes = np.frombuffer(blob, np.uint8).reshape(9, -1).astype(np.uint64)
-    whole = [sum((own[k] << np.uint64(8 * k) for k in range(len(own))), np.zeros(planes.shape[1], np.uint64)) for own in (planes[:5], planes[5:])]
-    return np.cumsum(whole[0]), whole[1]
+    steps, of = unpacked(blob, 5, 4)
+    return np.cumsum(steps), of
+
+
+def repeated_blobs(bases: np.ndarray, elements: np.ndarray, numbers: np.ndarray) -> list[tuple[int, bytes]]:
+    """Of a slice, the elements that are met more than once, for each base: in order, with the number of their set and how
+    often they are met."""
+    order = np.argsort(elements, kind="stable")
+    starts = np.concatenate(([0], np.flatnonzero(np.diff(elements[order])) + 1, [len(elements)]))
+    times = np.repeat(np.diff(starts), np.diff(starts))
+    often = order[times > 1]
+    times = times[times > 1]
+    by_base = np.argsort(bases[often], kind="stable")
+    often, times = often[by_base], times[by_base]
+    edges = np.concatenate(([0], np.flatnonzero(np.diff(bases[often])) + 1, [len(often)])).tolist() if len(often) else [0]
+    out = []
+    for start, stop in pairwise(edges):
+        own = often[start:stop]
+        out.append((int(bases[own[0]]), packed((np.diff(elements[own], prepend=np.uint64(0)), 5), (numbers[own], 4), (times[start:stop], 4))))
+    return out
+
+
+def head_elements(sizes: np.ndarray, blobs: list[bytes], share: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of sets and the repeated elements of their heads, from all of ``repeated_blobs`` of a base.
+
+    The order is by the times an element is met; elements met once come first and are no links, so that what a head has beyond
+    them is left.
+    """
+    told = [unpacked(blob, 5, 4, 4) for blob in blobs]
+    elements = np.concatenate([np.cumsum(steps) for steps, _, _ in told])
+    of, times = (np.concatenate([one[k] for one in told]).astype(np.int64) for k in (1, 2))
+    order = np.lexsort((elements, times, of))
+    of, elements = of[order], elements[order]
+    often = np.bincount(of, minlength=len(sizes))
+    heads = often + 1 + -share[0] * sizes // share[1]
+    kept = np.arange(len(of)) - (np.cumsum(often) - often)[of] < heads[of]
+    return of[kept], elements[kept].astype(np.int64)
 
 
 class PrefixTree:
@@ -253,8 +304,8 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text",
     1. Rows with the same word sequence are one set (64-bit digest).
     2. Shingles are ordered by the number of sets that have them. Of two similar sets, the heads in this order (a set's rarest
        shingles, as many as it may miss and one more) have a shingle in common, and one that only one set has is no link. So shingles
-       are counted first, as slices of sorted digests, and only those met more than once come back to their sets. Each shingle of
-       heads links its sets of a size class to the smallest of them, which is linear; the components of these links are
+       are counted first, as slices of sorted digests, and only those met more than once come back to their sets, packed for about
+       ``BLOCK`` shingles of sets that were read one after the other. Each shingle of heads links its sets of a size class to the smallest of them, which is linear; the components of these links are
        clusters outside of which no set can have a partner.
     3. A cluster is dealt to trees of at most ``TREE_SETS`` sets, the smallest set being in each. Where a cluster has several
        trees and is not in one piece yet, the sets outside its largest piece meet every tree, again in groups of that size.
@@ -263,74 +314,100 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text",
     kind = lead.schema["key"].dataType.simpleString()
 
     slice_bits = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 4 - 1, 255).bit_length()
-    names = ["key", "row", "uid", "n", "number", "classes", "slice", "base", "blob"]
+    names = ["key", "row", "uid", "n", "slice", "base", "blob"]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
-        base, held = number, []  # of the sets whose shingles wait to be sorted
+        begin("jaccard")
+        base = TaskContext.get().partitionId() << 32
+        held: list[tuple[int, np.ndarray]] = []  # sets whose shingles wait to be sorted; they share a base and are numbered from 0
 
         def blobs(schema: pa.Schema) -> pa.RecordBatch:
-            found = list(counted_blobs(np.arange(len(held)), held, slice_bits))
-            own = [pa.nulls(len(found), schema.field(c).type) for c in names[:6]]
-            told = [pa.array([k for k, _ in found], pa.int32()), pa.array([base] * len(found), pa.int64()), pa.array([b for _, b in found], pa.binary())]
-            return pa.RecordBatch.from_arrays([*own, *told], schema=schema)
+            sets = [own for _, own in held]
+            told = packed((np.array([uid for uid, _ in held], np.int64), 8), (np.array([len(own) for own in sets]), 8))
+            found = [(TOLD, told), *counted_blobs(np.arange(len(held)), sets, slice_bits)]
+            own = [pa.nulls(len(found), schema.field(c).type) for c in names[:4]]
+            columns = [pa.array([k for k, _ in found], pa.int32()), pa.array([base] * len(found), pa.int64()), pa.array([b for _, b in found], pa.binary())]
+            return pa.RecordBatch.from_arrays([*own, *columns], schema=schema)
 
         for batch in slices(batches, "text"):
             seen: set[int] = set()
-            uids, sizes, numbers, classes = [], [], [], []
+            uids, sizes = [], []
             for body in texts_of(batch, "text"):
                 uid, own = shingles(body, size)
                 uids.append(uid if len(own) else None)
                 sizes.append(len(own))
-                fresh = len(own) and uid not in seen
+                if len(own) and uid not in seen:
+                    held.append((uid, own))
                 seen.add(uid)
-                numbers.append(number if fresh else None)
-                classes.append(classes_of(len(own), share) if fresh else None)
-                if fresh:
-                    held.append(own)
-                    number += 1
-            columns = [batch.column("key"), batch.column("row"), pa.array(uids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(numbers, pa.int64()), pa.array(classes, pa.list_(pa.int32()))]
+            columns = [batch.column("key"), batch.column("row"), pa.array(uids, pa.int64()), pa.array(sizes, pa.int64())]
             rows = pa.RecordBatch.from_arrays([*columns, *(pa.nulls(batch.num_rows, kind) for kind in (pa.int32(), pa.int64(), pa.binary()))], names)
             yield rows
-            if sum(map(len, held)) >= BLOCK:
+            if sum(len(own) for _, own in held) >= BLOCK:
                 yield blobs(rows.schema)
-                base, held = number, []
+                base, held = base + 1, []
         if held:
             yield blobs(rows.schema)
 
     def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Shingles that are met more than once, for each of their sets, and how often they are met."""
-        at, held = None, []
+        """What slices have more than once, by base; a task's slices are told together."""
+        begin("jaccard")
+        at, held, out = None, [], []
 
-        def found() -> pa.RecordBatch:
-            elements, numbers = (np.concatenate(side) for side in zip(*held, strict=True))
-            order = np.argsort(elements, kind="stable")
-            elements, numbers = elements[order], numbers[order]
-            starts = np.concatenate(([0], np.flatnonzero(elements[1:] != elements[:-1]) + 1, [len(elements)]))
-            times = np.repeat(np.diff(starts), np.diff(starts))
-            often = times > 1
-            return pa.RecordBatch.from_arrays([pa.array(c[often].astype(np.int64)) for c in (numbers, times, elements)], ["number", "times", "token"])
+        def sent() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([k for k, _ in out], pa.int64()), pa.array([b for _, b in out], pa.binary())], ["base", "blob"])
+
+        def found() -> list[tuple[int, bytes]]:
+            told = [read_blob(blob) for _, blob in held]
+            bases = np.repeat(np.array([base for base, _ in held], np.int64), [len(e) for e, _ in told])
+            return repeated_blobs(bases, *(np.concatenate(side) for side in zip(*told, strict=True)))
 
         for batch in batches:
-            for own, base, blob in zip(*(batch.column(c).to_pylist() for c in ("slice", "base", "blob")), strict=True):
-                if own != at and held:
-                    yield found()
+            for own, base, blob in zip(*(batch.column(c) for c in ("slice", "base", "blob")), strict=True):
+                if own.as_py() != at and held:
+                    out += found()
                     held = []
-                elements, numbers = read_blob(blob)
-                held.append((elements, numbers + np.uint64(base)))
-                at = own
+                    if sum(len(b) for _, b in out) >= SENT_BYTES:
+                        yield sent()
+                        out = []
+                held.append((base.as_py(), blob.as_py()))
+                at = own.as_py()
+        if held:
+            out += found()
+        if out:
+            yield sent()
+
+    def head_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("jaccard")
+        at, uids, sizes, held = None, np.zeros(0, np.int64), np.zeros(0, np.int64), []
+
+        def found() -> pa.RecordBatch:
+            of, tokens = head_elements(sizes, held, share)
+            classes = {int(n): classes_of(int(n), share) for n in np.unique(sizes[of])}
+            first, last = (np.array([classes[n][k] for n in sizes[of].tolist()], np.int32) for k in (0, -1))
+            more = last != first
+            columns = [(uids[of], uids[of[more]]), (first, last[more]), (tokens, tokens[more])]
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], ["uid", "class", "token"])
+
+        for batch in batches:
+            for own, base, blob in zip(*(batch.column(c) for c in ("slice", "base", "blob")), strict=True):
+                if base.as_py() != at:
+                    if held:
+                        yield found()
+                    at, held = base.as_py(), []
+                if own.as_py() == TOLD:  # the first row of a base
+                    uids, sizes = (c.astype(np.int64) for c in unpacked(blob.as_py(), 8, 8))
+                else:
+                    held.append(blob.as_py())
         if held:
             yield found()
 
-    schema = f"key {kind}, row long, uid long, n long, number long, classes array<int>, slice int, base long, blob binary"
-    written = cut_lineage(lead.mapInArrow(read, schema), "shingles")
-    known = written.where("slice IS NULL")
-    rows = known.select("key", "row", "uid", "n")
-    sliced = written.where("slice IS NOT NULL").select("slice", "base", "blob").repartition("slice").sortWithinPartitions("slice")
-    often = sliced.mapInArrow(repeated, "number long, times long, token long").groupBy("number").agg(F.array_sort(F.collect_list(F.struct("times", "token"))).alias("often"))
-    head = F.expr(f"slice(often, 1, cast(greatest(size(often) + 1 - (n * {share[0]} + {share[1] - 1}) DIV {share[1]}, 0) AS int)).token")
-    heads = known.where("number IS NOT NULL").join(often, "number").select("uid", "classes", F.explode(head).alias("token"))
-    parts = heads.select("uid", "token", F.explode("classes").alias("class")).distinct()
+    written = cut_lineage(lead.mapInArrow(read, f"key {kind}, row long, uid long, n long, slice int, base long, blob binary"), "shingles")
+    rows = written.where("slice IS NULL").select("key", "row", "uid", "n")
+    told = written.where("slice IS NOT NULL").select("slice", "base", "blob")
+    sliced = told.where(f"slice <> {TOLD}").repartition("slice").sortWithinPartitions("slice")
+    often = sliced.mapInArrow(repeated, "base long, blob binary").select(F.lit(TOLD + 1).alias("slice"), "base", "blob")
+    gathered = told.where(f"slice = {TOLD}").unionByName(often).repartition("base").sortWithinPartitions("base", "slice")
+    parts = cut_lineage(gathered.mapInArrow(head_rows, "uid long, class int, token long"), "heads")
     smallest = parts.groupBy("token", "class").agg(F.min("uid").alias("low"), F.max("uid").alias("high")).where("low < high").select("token", "class", "low")
     stars = parts.join(smallest, ["token", "class"]).where("uid <> low").select(F.col("low").alias("a"), F.col("uid").alias("b")).distinct()
     clusters = components(stars).withColumnRenamed("node", "uid").withColumnRenamed("component", "cluster")
@@ -378,6 +455,7 @@ def _tree_links(bodies: DataFrame, places: DataFrame, size: int, share: tuple[in
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("jaccard")
         group: tuple | None = None
         held: dict[int, tuple[np.ndarray, int]] = {}
 
