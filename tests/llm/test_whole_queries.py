@@ -6,10 +6,11 @@ from itertools import combinations
 
 import corpus_pipeline
 import numpy as np
+import public_tokenizers
 import pytest
 
 from tubewave.llm import decontaminate as decontamination
-from tubewave.llm import jaccard
+from tubewave.llm import common, jaccard, tokens
 from tubewave.llm.decontaminate import decontaminate
 from tubewave.llm.jaccard import similar_documents
 from tubewave.llm.sanitise import sanitise
@@ -108,6 +109,19 @@ def test_heads_come_from_packed_blobs(share):
         assert set(zip(of.tolist(), tokens.tolist())) == wanted and len(of) == len(wanted)
 
 
+def test_workers_forget_what_other_operators_keep():
+    """A worker serves all stages of the pipeline in turn: the words of packing must not stay while sets are compared."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    common.begin("tokens")
+    tokens.encoder(path, "dropped").encode([b"some words"])
+    jaccard.shingles(b"some other words", 2)
+    common.begin("tokens")
+    assert tokens.encoder.cache_info().currsize == 1 and not jaccard._digests
+    jaccard.shingles(b"some other words", 2)
+    common.begin("jaccard")
+    assert tokens.encoder.cache_info().currsize == 0 and jaccard._digests
+
+
 def test_helper_columns_may_clash(spark, monkeypatch):
     text = "Mail Qorvexa at qorvexa@example.org about " + " ".join(f"word{k}" for k in range(60))
     rows = [(1, text, 1, 2, 3, 4, 5, 6), (2, text, 1, 2, 3, 4, 5, 6)]

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import own_name, sha256_hex, slices, texts_of, with_schema
+from .common import begin, keeps, own_name, sha256_hex, slices, texts_of, with_schema
 
 #: Words of a window; an item with fewer words is one window.
 WINDOW = 10
@@ -139,6 +139,9 @@ def _automaton(items: tuple[tuple[str, bytes], ...], window: int) -> Automaton:
     return Automaton([(name, words_of(text)) for name, text in items], window)
 
 
+keeps("decontaminate", _automaton.cache_clear)
+
+
 def without_words(text: bytes, hit: np.ndarray) -> str:
     """The text without the words that were hit and what stands between two of them; a line break or space stays at the seam."""
     kept, at = [], 0
@@ -179,6 +182,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
     rows = spark.sparkContext.broadcast(tuple(sorted({(r.item, r.body.encode()) for r in items.collect()})))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("decontaminate")
         automaton = _automaton(rows.value, window)
         for batch in slices(batches, text):
             out = []

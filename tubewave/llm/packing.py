@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import own_name, slices, texts_of
+from .common import begin, own_name, slices, texts_of
 from .tokens import encoder
 
 LENGTH = 2048
@@ -107,6 +107,7 @@ def pack(
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("tokens")
         encode, windows = encoder(tokenizer, spaces).encode, Windows(length, open_windows)
         part, count = TaskContext.get().partitionId(), 0
         kept: list[pa.RecordBatch] = []

@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import slices, texts_of
+from .common import begin, slices, texts_of
 from .token_coder import decode_blocks, encode_blocks
 from .tokens import encoder
 
@@ -33,6 +33,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, spaces: str, e
     schema = pa.schema([("part", pa.int32()), ("record", pa.int32()), ("keys", pa.list_(probe)), ("sizes", pa.list_(pa.int64())), ("coded", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("tokens")
         encode, part = encoder(tokenizer, spaces).encode, TaskContext.get().partitionId()
         keys, sizes, ids, held, record = [], [], [], 0, 0
 

@@ -9,6 +9,8 @@ from itertools import chain, pairwise
 
 import numpy as np
 
+from .common import keeps
+
 #: Most words that a Python worker remembers (about 0.2 kB each); the memory starts afresh beyond it.
 REMEMBERED_WORDS = 1_200_000
 _TWO_SPACES = re.compile(r"\s\s")
@@ -59,3 +61,6 @@ class Encoder:
 @lru_cache(maxsize=2)
 def encoder(path: str, spaces: str) -> Encoder:
     return Encoder(path, spaces)
+
+
+keeps("tokens", encoder.cache_clear)

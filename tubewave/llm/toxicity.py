@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import own_name, slices, texts_of, with_schema
+from .common import begin, own_name, slices, texts_of, with_schema
 
 #: Most labelled rows that weights are learned from.
 TRAINING_ROWS = 20_000
@@ -100,6 +100,7 @@ def score_toxicity(docs: DataFrame, lexicon: Lexicon, text: str = "text") -> Dat
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)  # at most MOST_TERMS short terms
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("toxicity")
         automaton, curve = shared.value.automaton(), np.array(shared.value.curve)
         for batch in slices(batches, text):
             found = np.array([features(body.decode(), automaton) for body in texts_of(batch, text)], dtype=float).reshape(-1, 3)
@@ -136,6 +137,7 @@ def fit_lexicon(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: s
         return Lexicon()
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        begin("toxicity")
         for frame in frames:
             sums: dict[str, list[float]] = {}
             for body, toxic in zip(frame["text"], frame["toxic"], strict=True):
