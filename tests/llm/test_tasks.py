@@ -17,7 +17,7 @@ from tubewave.llm.jaccard import PrefixTree, class_parts, least_overlap, shingle
 from tubewave.llm.packing import Windows
 from tubewave.llm.substrings import minimisers
 from tubewave.llm.token_coder import decode_blocks, encode_blocks
-from tubewave.llm.tokens import encoder
+from tubewave.llm.tokens import Encoder, encoder
 from tubewave.llm.toxicity import Lexicon, features, fold
 from tubewave.llm.vectors import Rotation, unit
 
@@ -188,6 +188,28 @@ def test_checksums_are_of_little_endian_ids():
     assert re.fullmatch(rb"(....)*", encoder(path, "dropped").encode([b"one two"])[0], re.S)
 
 
+ODD_TEXTS = [
+    "It's THEY'll don't 'S ,'s x'", "12 3a4 a1b2 3.14", "stra\u00dfe \u00dcBER \u00ff\u0178 2\u00d73\u00f74 \u00aa\u00ba\u00b5", "e\u0301t\u00e9 \u00e9 \u0301x cafe\u0301s", "\u03a3\u03a3 \u03c2 \u0130I\u0131 \ufb01n \u017f",
+    "a\xa0b\x85c\u2028d\u3000e f\x1cg \x00h\x01 \x7f", "\u2018it\u2019s\u2019 \u2014\u2026", "\u6f22\u5b57 \u3042a \U0001f642ok", "<|endoftext|> x<|startoftext|>", "\t\r\n\x0b\x0c ", "", "ab" * 500 + "!" * 500 + "\u2014",
+]
+
+
+def test_cut_pieces_are_those_of_the_tokenizer():
+    own = encoder(public_tokenizers.path("word_bpe_49k.json"), "dropped")
+    rng = random.Random(7)
+    texts = [*ODD_TEXTS, *("".join(rng.choice("".join(ODD_TEXTS[:-1])) for _ in range(rng.randint(1, 30))) for _ in range(3000))]
+    wanted = [np.array(own.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes() for text in texts]
+    for _ in range(2):  # new, then remembered
+        assert own.encode([text.encode() for text in texts]) == wanted
+
+
+def test_words_of_known_pieces_are_not_encoded_again():
+    own = Encoder(public_tokenizers.path("word_bpe_49k.json"), "dropped")
+    words = [before + form(word) + after for word in ("one", "two", "\u00e9t\u00e9") for form in (str.lower, str.title, str.upper) for before in ("", '"', "(") for after in ("", ",", ".", "'s", "?!")]
+    own.encode([" ".join(words).encode()])
+    assert len(words) == 135 and len(own.known) == 9  # three words, quote, bracket and four endings
+
+
 @pytest.mark.parametrize("share", [(90, 100), (80, 100)])
 def test_similar_sets_have_a_signature_in_common(share):
     rng = np.random.default_rng(6)
