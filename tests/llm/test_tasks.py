@@ -17,7 +17,7 @@ from tubewave.llm.jaccard import PrefixTree, class_parts, least_overlap, shingle
 from tubewave.llm.packing import Windows
 from tubewave.llm.substrings import minimisers
 from tubewave.llm.token_coder import decode_blocks, encode_blocks
-from tubewave.llm.tokens import Encoder, encoder
+from tubewave.llm.tokens import REMEMBERED_PIECES, REMEMBERED_WORDS, Encoder, encoder
 from tubewave.llm.toxicity import Lexicon, features, fold
 from tubewave.llm.vectors import Rotation, unit
 
@@ -210,6 +210,17 @@ def test_words_of_known_pieces_are_not_encoded_again():
     assert len(words) == 135 and len(own.known) == 9  # three words, quote, bracket and four endings
 
 
+def test_pieces_take_less_memory_than_words():
+    """What packing remembers adds to the memory of an executor that ran all other stages before."""
+    own = Encoder(public_tokenizers.path("word_bpe_49k.json"), "dropped")
+    assert own.most == REMEMBERED_PIECES <= REMEMBERED_WORDS // 2 and Encoder(public_tokenizers.path("byte_bpe_50k.json"), "kept").most == REMEMBERED_WORDS
+    own.most = 50
+    for k in range(0, 600, 30):
+        text = " ".join(f"w{'abcdefghij'[n // 100]}{'abcdefghij'[n // 10 % 10]}{'abcdefghij'[n % 10]}" for n in range(k, k + 30))
+        assert own.encode([text.encode()]) == [np.array(own.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()]
+        assert len(own.known) <= 50 + 30
+
+
 @pytest.mark.parametrize("share", [(90, 100), (80, 100)])
 def test_similar_sets_have_a_signature_in_common(share):
     rng = np.random.default_rng(6)

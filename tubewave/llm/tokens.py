@@ -12,8 +12,8 @@ import numpy as np
 
 from .common import keeps
 
-#: Most words, or pieces of words, that a Python worker remembers (about 0.2 kB each); the memory starts afresh beyond it.
-REMEMBERED_WORDS = 600_000
+#: Most words, or pieces where words are cut, that a Python worker remembers (about 0.2 kB each); the memory starts afresh beyond it.
+REMEMBERED_WORDS, REMEMBERED_PIECES = 1_200_000, 600_000
 _TWO_SPACES = re.compile(r"\s\s")
 
 #: The form of tokenizer whose pieces are cut here: lower case, then contractions, runs of letters, single digits and runs of other
@@ -54,8 +54,9 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # the names of special tokens in a text are ordinary text
         self.split = {"dropped": bytes.split, "kept": self._spaced, "whole": lambda text: [text]}[spaces]
+        self.most = REMEMBERED_WORDS
         if spaces == "dropped" and _cuts(path):
-            self.split = self._cut
+            self.split, self.most = self._cut, REMEMBERED_PIECES
             # the same model, with pieces between line breaks
             self.model = Tokenizer(self.tokenizer.model)
             self.model.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split("\n", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
@@ -95,7 +96,7 @@ class Encoder:
     def encode(self, texts: list[bytes]) -> list[bytes]:
         parts = [self.split(text) for text in texts]
         known = self.known
-        if len(known) > REMEMBERED_WORDS:
+        if len(known) > self.most:
             known.clear()
         found = [list(map(known.get, own)) for own in parts]
         gaps = [k for k, ids in enumerate(found) if None in ids]
